@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardsentry.plans.oracle import with_fixtures
 from cardsentry.sources import tables
+from cardsentry.sources.storage import materialize
 
 
 class Inputs:
@@ -43,7 +44,10 @@ class Inputs:
 
     @cached_property
     def payments_feed(self) -> DataFrame:
-        return tables.payments_feed(self.spark, self.sf_dir, self.payments)
+        # The feed is a landing table of arrived files: write it once to the
+        # shared folder so every consumer reads plain text columns instead of
+        # re-deriving (and re-inlining) the defect expressions.
+        return materialize(tables.payments_feed(self.spark, self.sf_dir, self.payments), "payments_feed")
 
 
 QueryFn = Callable[[Inputs], DataFrame]
