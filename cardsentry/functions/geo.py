@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cardsentry.functions.numeric import round_binary
 from cardsentry.schemas import EARTH_RADIUS_KM
 
 
@@ -23,4 +24,4 @@ def haversine_km(lat1, lon1, lat2, lon2, decimals: int | None = 2) -> Column:
     dlon = F.radians(_c(lon2)) - F.radians(_c(lon1))
     a = F.pow(F.sin(dlat / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlon / 2), 2)
     km = F.lit(EARTH_RADIUS_KM) * (F.lit(2.0) * F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a)))
-    return km if decimals is None else F.round(km, decimals)
+    return km if decimals is None else round_binary(km, decimals)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cardsentry.functions.numeric import round_binary
+
 from cardsentry.schemas import (
     ALERT_THRESHOLD, EMAIL_PENDING, EMAIL_SENT, NOT_AVAILABLE, RISK_LEVELS, RISK_TOP_LEVEL,
     STATUS_FRAUD, STATUS_LEGIT,
@@ -21,7 +23,7 @@ def risk_level(p: Column) -> Column:
 
 def confidence(p: Column, decimals: int = 4) -> Column:
     """Distance from the 0.5 decision point, scaled to [0, 1]."""
-    return F.round(F.abs(p - F.lit(0.5)) * 2, decimals)
+    return round_binary(F.abs(p - F.lit(0.5)) * 2, decimals)
 
 
 def above_threshold(p: Column) -> Column:
@@ -35,7 +37,7 @@ def money(amount: Column) -> Column:
 
 def percent(p: Column) -> Column:
     """``12.3%`` display text; rounding done numerically first."""
-    return F.format_string("%.1f%%", F.round(p * 100, 1))
+    return F.format_string("%.1f%%", round_binary(p * 100, 1))
 
 
 def percent_or_na(p: Column) -> Column:
