@@ -1,3 +1,58 @@
-"""Registered queries (q_sources)."""
+"""Registered source queries: history CSV and split-orient JSON feed, each
+written from the fixture payments to the shared folder and read back."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cardsentry.plans.catalog import Inputs, register
+from cardsentry.plans.oracle import clean_merchant_sql
+from cardsentry.sources import feed
+from cardsentry.sources.storage import new_location
+
+_FEED_COLS = ["trans_num", "cc_num", "merchant", "category", "amt", "gender", "city", "state", "zip", "lat",
+              "long", "city_pop", "dob", "merch_lat", "merch_long", "is_fraud", "current_time"]
+
+
+@register("src_csv_history", """
+SELECT strftime(transaction_time, '%Y-%m-%d %H:%M:%S') AS trans_date_trans_time, cc_num, merchant, category,
+  CAST(amt AS DOUBLE) AS amt, CAST(NULL AS VARCHAR) AS first, CAST(NULL AS VARCHAR) AS last, gender,
+  CAST(NULL AS VARCHAR) AS street, city, state, zip, lat, long, city_pop, CAST(NULL AS VARCHAR) AS job, dob,
+  trans_num, epoch_us(transaction_time) // 1000000 AS unix_time, merch_lat, merch_long, is_fraud
+FROM payments
+""")
+def src_csv_history(i: Inputs):
+    path = feed.write_history_csv(i.payments, new_location(i.spark, "history_csv"))
+    return feed.read_history_csv(i.spark, path)
+
+
+def _feed_lines(i: Inputs):
+    pay = i.payments.withColumn("current_time", F.unix_millis(F.col("transaction_time").cast("timestamp")))
+    lines = feed.encode_split_documents(pay, _FEED_COLS, "id", rows_per_doc=100)
+    path = new_location(i.spark, "feed_json")
+    lines.select("value").write.text(path)
+    return i.spark.read.text(path)
+
+
+_MS = "make_timestamp((epoch_us(transaction_time) // 1000) * 1000)"
+
+
+@register("src_json_split", f"""
+SELECT trans_num, cc_num, {clean_merchant_sql('merchant')} AS merchant, category, CAST(amt AS DOUBLE) AS amt,
+  gender, city, state, zip, lat, long, city_pop, dob, merch_lat, merch_long, is_fraud,
+  {_MS} AS transaction_time
+FROM payments
+""")
+def src_json_split(i: Inputs):
+    df = feed.extract_feed(_feed_lines(i))
+    cols = [c for c in _FEED_COLS if c != "current_time"] + ["transaction_time"]
+    return df.select(*cols)
+
+
+@register("src_feed_time", f"""
+SELECT trans_num, {_MS} AS transaction_time, strftime({_MS}, '%Y-%m-%d %H:%M:%S.%g') AS transaction_time_text
+FROM payments
+""")
+def src_feed_time(i: Inputs):
+    df = feed.feed_time(feed.decode_split_documents(_feed_lines(i)))
+    return df.select("trans_num", "transaction_time", "transaction_time_text")
