@@ -1,3 +1,84 @@
-"""Registered queries (q_stream)."""
+"""Registered streaming queries. Each runs a real Structured Streaming query
+(file source, ``foreachBatch`` writers, checkpoint in the shared folder)
+over landed fixture files and returns what the target tables then hold; the
+SQL twin is the batch result the stream must equal."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cardsentry.operators import store as ST
+from cardsentry.plans.catalog import Inputs, register
+from cardsentry.plans.q_store import _FIRST_VALID, _PAY_COLS, _PAY_SQL, ALERT_TIME
+from cardsentry.sources.storage import new_location
+from cardsentry.sources.tables import FIXTURE_AGE_AS_OF
+from cardsentry.streaming import stream as SS
+
+
+def _landed_feed(i: Inputs) -> str:
+    if not hasattr(i, "_landing"):
+        i._landing = SS.land_batches(i.payments_feed, new_location(i.spark, "landing_feed"))
+    return i._landing
+
+
+@register("stream_ingest", "SELECT batch_id, row_idx, trans_num, dob, transaction_time FROM payments_feed")
+def stream_ingest(i: Inputs):
+    bronze = ST.KeyedTable.create(i.spark, "bronze_feed")
+    SS.run(SS.read_landed(i.spark, _landed_feed(i)), SS.raw_appender(bronze), "ingest")
+    return bronze.read().select("batch_id", "row_idx", "trans_num", "dob", "transaction_time")
+
+
+@register("stream_insert_ignore", f"SELECT {_PAY_SQL} FROM {_FIRST_VALID}")
+def stream_insert_ignore(i: Inputs):
+    target = ST.KeyedTable.create(i.spark, "payments_stream")
+    SS.run(SS.read_landed(i.spark, _landed_feed(i)), SS.payment_inserter(target), "insert_ignore")
+    return target.read().select(*_PAY_COLS).withColumn("amt", F.col("amt").cast("double"))
+
+
+def _score_tables(i: Inputs):
+    if not hasattr(i, "_scored_tables"):
+        pay = ST.KeyedTable.create(i.spark, "payments_stream")
+        pred = ST.KeyedTable.create(i.spark, "predictions_stream")
+        alerts = ST.KeyedTable.create(i.spark, "alerts_stream")
+        writer = SS.score_and_alert(pay, pred, alerts, SS.lookup_scorer(i.predictions),
+                                    as_of=FIXTURE_AGE_AS_OF, alert_time=ALERT_TIME)
+        SS.run(SS.read_landed(i.spark, _landed_feed(i)), writer, "score_alert")
+        i._scored_tables = (pay, pred, alerts)
+    return i._scored_tables
+
+
+_RISK = ("CASE WHEN p.fraud_probability < 0.3 THEN 'LOW' WHEN p.fraud_probability < 0.6 THEN 'MEDIUM' "
+         "WHEN p.fraud_probability < 0.8 THEN 'HIGH' ELSE 'CRITICAL' END")
+
+
+@register("stream_score", f"""
+SELECT fv.trans_num, p.fraud_probability > 0.5 AS is_fraud, p.fraud_probability, {_RISK} AS risk_level,
+  round(abs(p.fraud_probability - 0.5) * 2, 4) AS confidence
+FROM {_FIRST_VALID} JOIN predictions p ON p.trans_num = fv.trans_num
+""")
+def stream_score(i: Inputs):
+    _, pred, _ = _score_tables(i)
+    return pred.read().select("trans_num", "is_fraud", "fraud_probability", "risk_level", "confidence")
+
+
+@register("stream_alerts", f"""
+SELECT fv.trans_num, false AS email_sent, CAST(NULL AS TIMESTAMP) AS email_sent_at,
+  TIMESTAMP '{ALERT_TIME.isoformat(sep=" ")}' AS created_at
+FROM {_FIRST_VALID} JOIN predictions p ON p.trans_num = fv.trans_num WHERE p.fraud_probability > 0.5
+""")
+def stream_alerts(i: Inputs):
+    _, _, alerts = _score_tables(i)
+    return alerts.read().select("trans_num", "email_sent", "email_sent_at", "created_at")
+
+
+@register("stream_daily_counts", """
+SELECT CAST(predicted_at AS DATE) AS day, is_fraud AS predicted_fraud, count(*) AS n
+FROM predictions GROUP BY 1, 2
+""")
+def stream_daily_counts(i: Inputs):
+    landing = new_location(i.spark, "landing_predictions")
+    i.predictions.repartition(4).write.parquet(landing)
+    out = new_location(i.spark, "daily_counts")
+    counts = SS.daily_counts_stream(SS.read_landed(i.spark, landing))
+    SS.run(counts, SS.overwrite_writer(out), "daily_counts", output_mode="complete")
+    return i.spark.read.parquet(out)
