@@ -31,17 +31,18 @@ def above_threshold(p: Column) -> Column:
 
 
 def money(amount: Column) -> Column:
-    """``$12.30`` display text."""
-    return F.format_string("$%.2f", amount.cast("double"))
+    """``$12.30`` display text (null stays null)."""
+    return F.when(amount.isNotNull(), F.format_string("$%.2f", amount.cast("double")))
 
 
 def percent(p: Column) -> Column:
     """``12.3%`` display text; rounding done numerically first."""
-    return F.format_string("%.1f%%", round_binary(p * 100, 1))
+    return F.when(p.isNotNull(), F.format_string("%.1f%%", round_binary(p * 100, 1)))
 
 
 def percent_or_na(p: Column) -> Column:
-    return F.coalesce(percent(p), F.lit(NOT_AVAILABLE))
+    # format_string renders a null argument as the text "null": test first
+    return F.when(p.isNull(), F.lit(NOT_AVAILABLE)).otherwise(percent(p))
 
 
 def fraud_status(flag: Column) -> Column:

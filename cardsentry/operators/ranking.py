@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardsentry.sources.storage import shared_root
+
 DEFAULT_BUCKETS = 1000
 
 
@@ -39,6 +41,7 @@ def exact_quantiles(
     probs: Sequence[float],
     names: Sequence[str],
     buckets: int = DEFAULT_BUCKETS,
+    checkpoint: bool = True,
 ) -> DataFrame:
     """Linearly interpolated quantiles (``percentile`` / ``quantile_cont``).
 
@@ -50,13 +53,21 @@ def exact_quantiles(
     base = base.where(F.col("_v").isNotNull())
 
     # (1) distinct values with multiplicity: a hot value becomes one row per task.
+    # Three branches below read this table; a reliable checkpoint in the
+    # shared folder computes it once and cuts the input's lineage.
     counts = base.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
-
-    # (2) bucket boundaries from a mergeable quantile sketch, plus group sizes.
+    if checkpoint:
+        shared_root(df.sparkSession)
+        counts = counts.checkpoint(eager=True)
+
+    # (2) bucket boundaries from a mergeable quantile sketch over the distinct
+    # values (so a bucket holds about 1/buckets of a group's distinct values,
+    # which is what the in-bucket window sorts), plus group sizes. Everything
+    # below reads ``counts``; the input is scanned once.
     cuts = [i / buckets for i in range(1, buckets)]
-    stats = base.groupBy(*g).agg(
+    stats = counts.groupBy(*g).agg(
         F.percentile_approx("_v", cuts, 10 * buckets).alias("_b"),
-        F.count(F.lit(1)).alias("_n"),
+        F.sum("_c").alias("_n"),
     )
     tagged = counts.join(stats.select(*g, "_b"), g).select(
         *g, "_v", "_c", F.size(F.filter("_b", lambda b: b < F.col("_v"))).alias("_bk")
