@@ -121,6 +121,13 @@ def model_features(df: DataFrame, keep: list[str] | None = None, numeric_cast: b
     return df.select(*(keep or []), *cols)
 
 
+def split_by_dtype(df: DataFrame, columns: list[str] | None = None) -> tuple[list[str], list[str]]:
+    """(numeric, other) column names by schema type (plan-time, no data read)."""
+    cols = columns or df.columns
+    numeric_cols = [c for c in cols if isinstance(df.schema[c].dataType, T.NumericType)]
+    return numeric_cols, [c for c in cols if c not in numeric_cols]
+
+
 def complete_time_features(df: DataFrame) -> Column:
     """Rows whose time features exist (others go to quarantine)."""
     return F.col("hour").isNotNull()

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from cardsentry.sources.storage import shared_root
 
-DEFAULT_BUCKETS = 1000
+DEFAULT_BUCKETS = 256
 
 
 def _keys(group_cols: Sequence[str]) -> list[str]:

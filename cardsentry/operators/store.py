@@ -17,6 +17,21 @@ from pyspark.sql import functions as F
 from cardsentry.sources.storage import new_location
 
 
+def create_tables(spark: SparkSession, root: str) -> dict[str, str]:
+    """Create the four stored tables, empty, with their fixed schemas, as
+    Parquet folders under ``root``; key rules are enforced by the writers
+    (insert-ignore, atomic append) and checked by the quality operators."""
+    from cardsentry import schemas as S
+
+    paths = {}
+    for name, schema in (("payments", S.PAYMENTS), ("training_data", S.TRAINING_DATA),
+                         ("predictions", S.PREDICTIONS), ("fraud_alerts", S.FRAUD_ALERTS)):
+        path = f"{root.rstrip('/')}/{name}"
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+        paths[name] = path
+    return paths
+
+
 def first_arrival(batch: DataFrame, key: str = "trans_num",
                   order_cols: Sequence[str] = ("batch_id", "row_idx")) -> DataFrame:
     """One row per key: the earliest by ``order_cols`` (first arrival wins).

@@ -56,3 +56,39 @@ FROM payments
 def src_feed_time(i: Inputs):
     df = feed.feed_time(feed.decode_split_documents(_feed_lines(i)))
     return df.select("trans_num", "transaction_time", "transaction_time_text")
+
+
+# ------------------------------------------------------------ notebook history path
+
+_HIST_TS = "TRY_CAST(trans_date_trans_time AS TIMESTAMP)"
+
+
+def _history_twin() -> str:
+    from cardsentry.plans.oracle import age_sql, flags_sql, haversine_sql, time_parts_sql
+
+    parts = time_parts_sql(_HIST_TS)
+    fl = flags_sql(_HIST_TS, "training")
+    cols = ["cc_num", f"{clean_merchant_sql('merchant')} AS merchant", "category", "CAST(amt AS DOUBLE) AS amt",
+            "gender", "state", "zip", "city_pop", "is_fraud",
+            f"{age_sql('dob')} AS age", f"{haversine_sql('lat', 'long', 'merch_lat', 'merch_long')} AS distance_km",
+            f"{parts['hour']} AS hour"]
+    cols += [f"{fl[k]} AS {k}" for k in ("is_night", "is_morning", "is_afternoon", "is_evening",
+                                         "is_business_hour")]
+    cols += [f"{parts[k]} AS {k}" for k in ("year", "month", "day", "dayofweek")] + [f"{fl['is_we']} AS is_we"]
+    return ("SELECT " + ", ".join(cols) + " FROM (SELECT strftime(transaction_time, '%Y-%m-%d %H:%M:%S') AS "
+            "trans_date_trans_time, * EXCLUDE (transaction_time) FROM payments) h")
+
+
+@register("history_features", _history_twin())
+def history_features(i: Inputs):
+    """The training notebook's path: history CSV -> merchant cleaning ->
+    features with the ``training`` flag variant -> drop the 14 raw columns."""
+    from cardsentry.operators import features as FE
+    from cardsentry.schemas import HISTORY_DROP_COLUMNS
+    from cardsentry.sources.tables import FIXTURE_AGE_AS_OF
+
+    path = feed.write_history_csv(i.payments, new_location(i.spark, "history_csv"))
+    hist = FE.clean_merchant(feed.read_history_csv(i.spark, path))
+    feats = FE.add_distance(FE.add_age(hist, as_of=FIXTURE_AGE_AS_OF))
+    feats = FE.add_time_features(feats, time_col="trans_date_trans_time", variant="training")
+    return FE.drop_for_training(feats, HISTORY_DROP_COLUMNS)
