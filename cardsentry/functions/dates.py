@@ -30,7 +30,7 @@ def as_timestamp(col, dtype: T.DataType | None = None) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return _c(col)
     if isinstance(dtype, (T.LongType, T.IntegerType)):
-        return F.timestamp_millis(_c(col))
+        return epoch_to_ntz(_c(col), "MILLISECOND")  # epoch milliseconds
     return F.try_to_timestamp(_c(col).cast("string"))
 
 
@@ -96,3 +96,20 @@ def time_parts(ts: Column) -> dict[str, Column]:
         "day": F.dayofmonth(ts),
         "dayofweek": F.weekday(ts),
     }
+
+
+# ------------------------------------------------------------ zone-free epoch arithmetic
+# Wall-clock (TIMESTAMP_NTZ) values are converted to and from epoch counts
+# as if they were UTC, whatever the session time zone is.
+
+_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def ntz_epoch(col: Column, unit: str = "MILLISECOND") -> Column:
+    """Whole ``unit``s since 1970-01-01 00:00 of a wall-clock timestamp."""
+    return F.timestamp_diff(unit, F.expr(_EPOCH_NTZ), col.cast("timestamp_ntz"))
+
+
+def epoch_to_ntz(count: Column, unit: str = "MILLISECOND") -> Column:
+    """Wall-clock timestamp ``count`` ``unit``s after 1970-01-01 00:00."""
+    return F.timestamp_add(unit, count, F.expr(_EPOCH_NTZ))

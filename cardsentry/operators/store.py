@@ -112,7 +112,10 @@ class KeyedTable:
 
 def alerts_from_scores(scored: DataFrame, created_at=None, label: str = "is_fraud_pred") -> DataFrame:
     """One pending alert per predicted fraud (email not sent)."""
-    ts = F.current_timestamp().cast("timestamp_ntz") if created_at is None else F.lit(created_at)
+    if created_at is None:
+        ts = F.current_timestamp().cast("timestamp_ntz")
+    else:  # a wall-clock literal, independent of the session time zone
+        ts = F.lit(created_at.isoformat(sep=" ")).cast("timestamp_ntz")
     return scored.where(F.col(label) == 1).select(
         "trans_num",
         F.lit(False).alias("email_sent"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cardsentry.functions import dates
 from cardsentry.plans.catalog import Inputs, register
 from cardsentry.plans.oracle import clean_merchant_sql
 from cardsentry.sources import feed
@@ -27,7 +28,7 @@ def src_csv_history(i: Inputs):
 
 
 def _feed_lines(i: Inputs):
-    pay = i.payments.withColumn("current_time", F.unix_millis(F.col("transaction_time").cast("timestamp")))
+    pay = i.payments.withColumn("current_time", dates.ntz_epoch(F.col("transaction_time"), "MILLISECOND"))
     lines = feed.encode_split_documents(pay, _FEED_COLS, "id", rows_per_doc=100)
     path = new_location(i.spark, "feed_json")
     lines.select("value").write.text(path)

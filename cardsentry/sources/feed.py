@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardsentry.functions import text
+from cardsentry.functions import dates, text
 
 # ------------------------------------------------------------------ history CSV
 
@@ -55,7 +55,7 @@ def to_history_layout(payments: DataFrame) -> DataFrame:
     cols = {
         "_index": F.col("id"),
         "trans_date_trans_time": F.date_format(ts, "yyyy-MM-dd HH:mm:ss"),
-        "unix_time": F.unix_seconds(ts.cast("timestamp")),
+        "unix_time": dates.ntz_epoch(ts, "SECOND"),
         "amt": F.col("amt").cast("double"),
     }
     out = []
@@ -131,7 +131,7 @@ def decode_split_documents(lines: DataFrame, value_col: str = "value",
 def feed_time(df: DataFrame, source: str = "current_time", target: str = "transaction_time") -> DataFrame:
     """Rename the feed clock to ``transaction_time``: epoch milliseconds to a
     timestamp (no zone shift), plus its display text with milliseconds."""
-    ts = F.timestamp_millis(F.col(source)).cast("timestamp_ntz")
+    ts = dates.epoch_to_ntz(F.col(source), "MILLISECOND")
     return df.withColumn(target, ts).withColumn(
         f"{target}_text", F.date_format(F.col(target), "yyyy-MM-dd HH:mm:ss.SSS")).drop(source)
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cardsentry.functions import scoring
+from cardsentry.functions import dates, scoring
 from cardsentry.operators import features as FE
 from cardsentry.operators import quality as Q
 from cardsentry.operators import store as ST
@@ -152,13 +152,16 @@ def daily_counts_stream(stream: DataFrame, time_col: str = "predicted_at", label
                         delay: str = "1 day") -> DataFrame:
     """Counts per day and predicted label with a watermark (event time must
     be a zoned timestamp for the watermark)."""
-    ts = F.col(time_col).cast("timestamp")
+    # wall clock read as UTC: the instant, the window and the day do not
+    # depend on the session time zone
+    ts = F.timestamp_micros(dates.ntz_epoch(F.col(time_col), "MICROSECOND"))
+    day = F.to_date(dates.epoch_to_ntz(F.unix_micros(F.col("w.start")), "MICROSECOND"))
     return (
         stream.withColumn("_event_time", ts)
         .withWatermark("_event_time", delay)
         .groupBy(F.window("_event_time", "1 day").alias("w"), F.col(label).alias("predicted_fraud"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.to_date(F.col("w.start")).alias("day"), "predicted_fraud", "n")
+        .select(day.alias("day"), "predicted_fraud", "n")
     )
 
 

@@ -55,7 +55,17 @@ def main():
     args = sys.argv[1:]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     keys = [a for a in args if not a.startswith("/")]
-    spark = get_session(shuffle_partitions=8)
+    if os.environ.get("PLAIN_SESSION"):
+        # what a driver with default settings would use (1g driver memory)
+        from pyspark.sql import SparkSession
+
+        b = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+             .config("spark.ui.enabled", "false"))
+        if os.environ.get("SESSION_TZ"):
+            b = b.config("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
+        spark = b.getOrCreate()
+    else:
+        spark = get_session(shuffle_partitions=8)
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"
