@@ -36,6 +36,10 @@ class ForestConfig:
     max_bins: int = 32
     feature_subset_strategy: str = "sqrt"
     class_weighted: bool = True
+    # execution only (the model definition does not change): split statistics
+    # of more nodes per pass over the data, and node ids cached between levels
+    max_memory_mb: int = 1024
+    cache_node_ids: bool = True
 
 
 def build_pipeline(label: str = "is_fraud", config: ForestConfig | None = None) -> Pipeline:
@@ -49,6 +53,8 @@ def build_pipeline(label: str = "is_fraud", config: ForestConfig | None = None)
         seed=cfg.seed,
         maxBins=cfg.max_bins,
         featureSubsetStrategy=cfg.feature_subset_strategy,
+        maxMemoryInMB=cfg.max_memory_mb,
+        cacheNodeIds=cfg.cache_node_ids,
     )
     if cfg.class_weighted:
         forest.setWeightCol("weight")
@@ -65,7 +71,14 @@ def prepare_training_rows(df: DataFrame, label: str = "is_fraud", weighted: bool
 
 def train(train_rows: DataFrame, label: str = "is_fraud", config: ForestConfig | None = None) -> PipelineModel:
     """Fit preprocessing + forest. ``train_rows`` must hold the 21 features,
-    the label and (when weighted) a ``weight`` column."""
+    the label and (when weighted) a ``weight`` column.
+
+    Every tree level is one pass over the rows, so the rows are spread over
+    at least the cluster's default parallelism (a no-op when the input already
+    has more partitions, as any large table does)."""
+    parallelism = train_rows.sparkSession.sparkContext.defaultParallelism
+    if train_rows.rdd.getNumPartitions() < parallelism:
+        train_rows = train_rows.repartition(parallelism)
     return build_pipeline(label, config).fit(train_rows)
 
 
