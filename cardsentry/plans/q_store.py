@@ -11,7 +11,7 @@ from cardsentry.operators import features as FE
 from cardsentry.operators import store as ST
 from cardsentry.plans import reports as R
 from cardsentry.plans.catalog import Inputs, register
-from cardsentry.plans.q_quality import RULES_SQL, VALID_SQL, typed_good
+from cardsentry.plans.q_quality import VALID_SQL, typed_good
 from cardsentry.plans.q_reports import _DAILY
 from cardsentry.schemas import FEED_DROP_COLUMNS
 from cardsentry.sources.storage import new_location
@@ -83,10 +83,30 @@ def sink_insert_counts(i: Inputs):
     )
 
 
-_TRAIN_SQL_COLS = None  # filled below
+# SQL twin of the stored training rows: features of the first valid arrival.
+def _training_twin() -> str:
+    from cardsentry.plans.oracle import age_sql, clean_merchant_sql, flags_sql, haversine_sql, time_parts_sql
+
+    ts = "CAST(transaction_time AS TIMESTAMP)"
+    parts = time_parts_sql(ts)
+    fl = flags_sql(ts, "stream")
+    hav = haversine_sql("CAST(lat AS DOUBLE)", "CAST(long AS DOUBLE)",
+                        "CAST(merch_lat AS DOUBLE)", "CAST(merch_long AS DOUBLE)")
+    keep = [c for c in _PAY_COLS if c not in FEED_DROP_COLUMNS]
+    sel = {
+        "id": "CAST(id AS BIGINT)", "amt": "CAST(CAST(amt AS DECIMAL(10,2)) AS DOUBLE)",
+        "city_pop": "CAST(city_pop AS INTEGER)", "is_fraud": "CAST(is_fraud AS INTEGER)",
+        "merchant": clean_merchant_sql("merchant"),
+    }
+    cols = [f"{sel.get(c, c)} AS {c}" for c in keep]
+    cols += [f"{age_sql('dob')} AS age", f"{hav} AS distance_km"]
+    cols += [f"{parts['hour']} AS hour"] + [f"{v} AS {k}" for k, v in fl.items() if k != "is_we"]
+    cols += [f"{parts[k]} AS {k}" for k in ("year", "month", "day", "dayofweek")]
+    cols += [f"{fl['is_we']} AS is_we"]
+    return f"SELECT {', '.join(cols)} FROM {_FIRST_VALID}"
 
 
-@register("sink_training_insert_ignore", None)
+@register("sink_training_insert_ignore", _training_twin())
 def sink_training_insert_ignore(i: Inputs):
     payments = _load_payments(i)
     good = typed_good(i)
@@ -168,33 +188,3 @@ def cascade_delete(i: Inputs):
         )
         out = part if out is None else out.unionByName(part)
     return out
-
-
-# SQL twin of the stored training rows: features of the first valid arrival.
-def _training_twin() -> str:
-    from cardsentry.plans.oracle import age_sql, clean_merchant_sql, flags_sql, haversine_sql, time_parts_sql
-
-    ts = "CAST(transaction_time AS TIMESTAMP)"
-    parts = time_parts_sql(ts)
-    fl = flags_sql(ts, "stream")
-    hav = haversine_sql("CAST(lat AS DOUBLE)", "CAST(long AS DOUBLE)",
-                        "CAST(merch_lat AS DOUBLE)", "CAST(merch_long AS DOUBLE)")
-    keep = [c for c in _PAY_COLS if c not in FEED_DROP_COLUMNS]
-    sel = {
-        "id": "CAST(id AS BIGINT)", "amt": "CAST(CAST(amt AS DECIMAL(10,2)) AS DOUBLE)",
-        "city_pop": "CAST(city_pop AS INTEGER)", "is_fraud": "CAST(is_fraud AS INTEGER)",
-        "merchant": clean_merchant_sql("merchant"),
-    }
-    cols = [f"{sel.get(c, c)} AS {c}" for c in keep]
-    cols += [f"{age_sql('dob')} AS age", f"{hav} AS distance_km"]
-    cols += [f"{parts['hour']} AS hour"] + [f"{v} AS {k}" for k, v in fl.items() if k != "is_we"]
-    cols += [f"{parts[k]} AS {k}" for k in ("year", "month", "day", "dayofweek")]
-    cols += [f"{fl['is_we']} AS is_we"]
-    return f"SELECT {', '.join(cols)} FROM {_FIRST_VALID}"
-
-
-from cardsentry.plans.catalog import ORACLE  # noqa: E402
-from cardsentry.plans.oracle import with_fixtures  # noqa: E402
-
-ORACLE["sink_training_insert_ignore"] = with_fixtures(_training_twin())
-_ = RULES_SQL

@@ -82,3 +82,19 @@ def stream_daily_counts(i: Inputs):
     counts = SS.daily_counts_stream(SS.read_landed(i.spark, landing))
     SS.run(counts, SS.overwrite_writer(out), "daily_counts", output_mode="complete")
     return i.spark.read.parquet(out)
+
+
+@register("stream_score_model")
+def stream_score_model(i: Inputs):
+    """The feed stream scored by the fitted forest (preprocessing + model
+    loaded once, applied to every micro-batch); no SQL twin."""
+    from cardsentry.plans.q_ml import _fitted
+
+    model = _fitted(i)
+    pay = ST.KeyedTable.create(i.spark, "payments_model_stream")
+    pred = ST.KeyedTable.create(i.spark, "predictions_model_stream")
+    alerts = ST.KeyedTable.create(i.spark, "alerts_model_stream")
+    writer = SS.score_and_alert(pay, pred, alerts, SS.model_scorer(model), as_of=FIXTURE_AGE_AS_OF,
+                                alert_time=ALERT_TIME)
+    SS.run(SS.read_landed(i.spark, _landed_feed(i)), writer, "score_model")
+    return pred.read().select("trans_num", "is_fraud", "fraud_probability", "risk_level", "confidence")

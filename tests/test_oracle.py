@@ -39,7 +39,8 @@ def con():
 def test_every_key_has_a_callable():
     q, o = queries(), oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"ml_train_score", "ml_feature_importance", "ml_roundtrip", "ml_model_run"}
+    assert set(q) - set(o) == {"ml_train_score", "ml_feature_importance", "ml_roundtrip", "ml_model_run",
+                              "stream_score_model"}
 
 
 @pytest.mark.parametrize("key", KEYS)
