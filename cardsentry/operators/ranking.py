@@ -42,11 +42,14 @@ def exact_quantiles(
     names: Sequence[str],
     buckets: int = DEFAULT_BUCKETS,
     checkpoint: bool = True,
+    with_summary: bool = False,
 ) -> DataFrame:
     """Linearly interpolated quantiles (``percentile`` / ``quantile_cont``).
 
-    Returns one row per group with ``count``-free columns ``names[i]`` holding
-    the ``probs[i]`` quantile of ``value_col`` (nulls ignored).
+    Returns one row per group with columns ``names[i]`` holding the
+    ``probs[i]`` quantile of ``value_col`` (nulls ignored); ``with_summary``
+    adds ``n``, ``min_value`` and ``max_value`` from the same distinct-value
+    table, so the input is not read again for them.
     """
     g = _keys(group_cols)
     base = _with_key(df, group_cols).select(*g, F.col(value_col).cast("double").alias("_v"))
@@ -68,6 +71,8 @@ def exact_quantiles(
     stats = counts.groupBy(*g).agg(
         F.percentile_approx("_v", cuts, 10 * buckets).alias("_b"),
         F.sum("_c").alias("_n"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
     )
     tagged = counts.join(stats.select(*g, "_b"), g).select(
         *g, "_v", "_c", F.size(F.filter("_b", lambda b: b < F.col("_v"))).alias("_bk")
@@ -113,6 +118,9 @@ def exact_quantiles(
     out = val.groupBy(*g).agg(
         *[F.max(F.when(F.col("qi") == i, F.col("_q"))).alias(name) for i, name in enumerate(names)]
     )
+    if with_summary:
+        out = out.join(stats.select(*g, F.col("_n").alias("n"), F.col("_min").alias("min_value"),
+                                    F.col("_max").alias("max_value")), g)
     return out if group_cols else out.drop("_all")
 
 

@@ -32,7 +32,11 @@ def _extract(i: Inputs):
 
 
 def _split(i: Inputs):
-    return P.stratified_split(_extract(i), "is_fraud")
+    """The split reads its input three times (bucket counts, the cut bucket,
+    the rest): write the joined extract once instead of re-joining thrice."""
+    if not hasattr(i, "_extract_rows"):
+        i._extract_rows = materialize(_extract(i), "train_extract")
+    return P.stratified_split(i._extract_rows, "is_fraud")
 
 
 def _split_rows(i: Inputs):

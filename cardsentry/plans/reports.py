@@ -167,14 +167,12 @@ def avg_amount_by_label(scored: DataFrame) -> DataFrame:
 
 def amount_quartiles(scored: DataFrame) -> DataFrame:
     """Box-plot numbers of the amount per predicted label (exact, distributed)."""
-    q = exact_quantiles(scored, ["predicted_fraud"], "amt", [0.25, 0.5, 0.75], ["q1", "median", "q3"])
-    mm = scored.groupBy("predicted_fraud").agg(
-        F.min("amt").alias("min_amt"), F.max("amt").alias("max_amt"), F.count("amt").alias("n")
-    )
-    return mm.join(q, "predicted_fraud").select(
-        "predicted_fraud", "n", "min_amt",
+    q = exact_quantiles(scored, ["predicted_fraud"], "amt", [0.25, 0.5, 0.75], ["q1", "median", "q3"],
+                        with_summary=True)
+    return q.select(
+        "predicted_fraud", "n", F.col("min_value").alias("min_amt"),
         F.round("q1", 4).alias("q1"), F.round("median", 4).alias("median"), F.round("q3", 4).alias("q3"),
-        "max_amt",
+        F.col("max_value").alias("max_amt"),
     )
 
 
