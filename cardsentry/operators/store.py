@@ -109,6 +109,22 @@ class KeyedTable:
         self.append(batch)
         return True
 
+    def write(self, batch: DataFrame, on_conflict: str = "ignore",
+              order_cols: Sequence[str] = ()) -> bool:
+        """Write a batch keyed on ``key``.
+
+        ``on_conflict="ignore"`` (default) inserts the new keys and skips the
+        rest, so a retried stream batch is idempotent; ``"fail"`` is the
+        original all-or-nothing append (returns False and writes nothing when
+        any key clashes).
+        """
+        if on_conflict == "ignore":
+            self.insert_ignore(batch, order_cols=order_cols)
+            return True
+        if on_conflict == "fail":
+            return self.append_atomic(batch)
+        raise ValueError("on_conflict must be 'ignore' or 'fail'")
+
 
 def alerts_from_scores(scored: DataFrame, created_at=None, label: str = "is_fraud_pred") -> DataFrame:
     """One pending alert per predicted fraud (email not sent)."""

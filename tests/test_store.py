@@ -55,3 +55,13 @@ def test_export_csv_roundtrip(spark):
     path = ST.export_csv(df, new_location(spark, "csv"), single_file=True)
     back = spark.read.schema(df.schema).option("header", True).csv(path)
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_write_on_conflict_modes(spark):
+    t = ST.KeyedTable.create(spark, "test_modes")
+    a = spark.createDataFrame([("T1", 0.2)], "trans_num string, p double")
+    b = spark.createDataFrame([("T1", 0.9), ("T2", 0.4)], "trans_num string, p double")
+    assert t.write(a, on_conflict="fail") is True
+    assert t.write(b, on_conflict="fail") is False
+    assert t.write(b) is True  # ignore: only T2 is new
+    assert sorted((r.trans_num, r.p) for r in t.read().collect()) == [("T1", 0.2), ("T2", 0.4)]
