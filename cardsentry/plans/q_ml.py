@@ -127,7 +127,7 @@ def prep_matrix_shape(i: Inputs):
     pm = Pipeline(stages=P.preprocessing_stages()).fit(train)
     out = pm.transform(train)
     return out.agg(F.count(F.lit(1)).alias("n_rows"),
-                   F.max(F.size(vector_to_array("features"))).alias("width"))
+                   F.max(F.size(vector_to_array("features"))).cast("long").alias("width"))
 
 
 @register("ml_class_weights", f"""

@@ -81,8 +81,10 @@ def filter_previous_day(i: Inputs):
 _EVAL_SRC = """(SELECT p.is_fraud AS label, CAST(pred.is_fraud AS INTEGER) AS prediction,
     pred.fraud_probability AS p
   FROM predictions pred JOIN payments p ON pred.trans_num = p.trans_num) e"""
-_COUNTS = f"""(SELECT count_if(label = 1 AND prediction = 1) AS tp, count_if(label = 0 AND prediction = 1) AS fp,
-    count_if(label = 0 AND prediction = 0) AS tn, count_if(label = 1 AND prediction = 0) AS fn
+_COUNTS = f"""(SELECT CAST(count_if(label = 1 AND prediction = 1) AS BIGINT) AS tp,
+    CAST(count_if(label = 0 AND prediction = 1) AS BIGINT) AS fp,
+    CAST(count_if(label = 0 AND prediction = 0) AS BIGINT) AS tn,
+    CAST(count_if(label = 1 AND prediction = 0) AS BIGINT) AS fn
   FROM {_EVAL_SRC}) c"""
 
 

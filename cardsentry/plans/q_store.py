@@ -53,9 +53,9 @@ _V = f"(SELECT batch_id, trans_num, {VALID_SQL} AS ok FROM payments_feed)"
 
 
 @register("sink_insert_counts", f"""
-SELECT v.batch_id, count(*) AS n_rows, count_if(NOT v.ok) AS n_invalid,
+SELECT v.batch_id, count(*) AS n_rows, CAST(count_if(NOT v.ok) AS BIGINT) AS n_invalid,
   coalesce(max(ins.n_inserted), 0) AS n_inserted,
-  count(*) - count_if(NOT v.ok) - coalesce(max(ins.n_inserted), 0) AS n_skipped
+  CAST(count(*) - count_if(NOT v.ok) - coalesce(max(ins.n_inserted), 0) AS BIGINT) AS n_skipped
 FROM {_V} v LEFT JOIN (
   SELECT b AS batch_id, count(*) AS n_inserted
   FROM (SELECT trans_num, min(batch_id) AS b FROM {_V} x WHERE ok GROUP BY trans_num) f GROUP BY b

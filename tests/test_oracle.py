@@ -11,7 +11,7 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-from oracle_check import TABLES, digest  # noqa: E402
+from oracle_check import TABLES, digest, type_diffs  # noqa: E402
 
 from cardsentry.plans.catalog import oracle_sql, queries  # noqa: E402
 
@@ -51,6 +51,7 @@ def test_key_matches_oracle(spark, con, key):
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
+    assert type_diffs(sdf, con, oracle_sql()[key]) == []
     assert len(srows) == len(drows)
     assert digest(sdf.columns, srows)[0] == digest(dcols, drows)[0]
 

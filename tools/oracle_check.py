@@ -51,6 +51,25 @@ def digest(columns, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16], lines
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE", "float": "FLOAT",
+    "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def type_diffs(sdf, con, sql):
+    """(column, spark type, duckdb type) where the two engines disagree."""
+    duck = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    out = []
+    for f in sdf.schema.fields:
+        st = f.dataType.simpleString()
+        want = SPARK_TO_DUCK.get(st, st.upper())
+        if duck.get(f.name) != want:
+            out.append((f.name, st, duck.get(f.name)))
+    return out
+
+
 def main():
     args = sys.argv[1:]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
@@ -100,6 +119,10 @@ def main():
             print(f"FAIL {k}: columns spark={sorted(scols)} duckdb={sorted(dcols)}")
             bad += 1
             continue
+        if os.environ.get("CHECK_TYPES"):
+            diffs = type_diffs(sdf, con, sqls[k])
+            if diffs:
+                print(f"TYPES {k}: {diffs}")
         hs, ls = digest(scols, srows)
         hd, ld = digest(dcols, drows)
         if len(srows) != len(drows) or hs != hd:
