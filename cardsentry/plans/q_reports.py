@@ -257,12 +257,12 @@ FROM scored {{where}} ORDER BY predicted_at DESC, trans_num DESC LIMIT 50
 
 @register("fmt_recent", _FMT_RECENT.format(where=""))
 def fmt_recent(i: Inputs):
-    return R.fmt_recent(_scored(i))
+    return R.fmt_recent(i.predictions, i.payments)
 
 
 @register("fmt_recent_frauds", _FMT_RECENT.format(where="WHERE predicted_fraud"))
 def fmt_recent_frauds(i: Inputs):
-    return R.fmt_recent(_scored(i), only_fraud=True)
+    return R.fmt_recent(i.predictions, i.payments, only_fraud=True)
 
 
 @register("fmt_alerts", f"""
@@ -285,7 +285,7 @@ SELECT trans_num, substr(trans_num, 1, 30) AS id_text, printf('$%.2f', amt) AS a
 FROM scored WHERE fraud_probability > 0.5 ORDER BY predicted_at, trans_num LIMIT 10
 """)
 def alert_digest(i: Inputs):
-    return R.alert_digest(_scored(i), 10)
+    return R.alert_digest(i.predictions, i.payments, 10)
 
 
 @register("sample_rows", """

@@ -39,7 +39,8 @@ def latest_payments(payments: DataFrame, limit: int = LATEST_PAYMENTS_DEFAULT) -
     )
 
 
-def scored_payments(predictions: DataFrame, payments: DataFrame, limit: int | None = None) -> DataFrame:
+def scored_payments(predictions: DataFrame, payments: DataFrame, limit: int | None = None,
+                    newest_first: bool = True) -> DataFrame:
     """Predictions joined to their payments, optionally only the ``limit`` newest.
 
     With a limit the top-k is taken on ``predictions`` *before* the join: the
@@ -54,7 +55,9 @@ def scored_payments(predictions: DataFrame, payments: DataFrame, limit: int | No
         "predicted_at",
     )
     if limit is not None:
-        pred = pred.orderBy(F.col("predicted_at").desc(), F.col("trans_num").desc()).limit(limit)
+        order = ([F.col("predicted_at").desc(), F.col("trans_num").desc()] if newest_first
+                 else [F.col("predicted_at"), F.col("trans_num")])
+        pred = pred.orderBy(*order).limit(limit)
     pay = payments.select("trans_num", _amount().alias("amt"), "merchant", "category", "city", "state")
     return pred.join(pay, "trans_num").select(
         "trans_num", "amt", "merchant", "category", "city", "state",
@@ -262,12 +265,13 @@ def daily_report_summary(predictions: DataFrame, training: DataFrame, as_of: _dt
 
 # ---------------------------------------------------------------- display (S-11, F-04/05/07)
 
-def fmt_recent(scored: DataFrame, only_fraud: bool = False, head: int = 50) -> DataFrame:
-    """Dashboard table rows: money and percent text, status label, first ``head``."""
-    df = scored.where(F.col("predicted_fraud")) if only_fraud else scored
+def fmt_recent(predictions: DataFrame, payments: DataFrame, only_fraud: bool = False,
+               head: int = 50) -> DataFrame:
+    """Dashboard table rows: money and percent text, status label, newest
+    ``head`` (top-k on predictions, then the join, as in ``scored_payments``)."""
+    pred = predictions.where(F.col("is_fraud")) if only_fraud else predictions
     return (
-        df.orderBy(F.col("predicted_at").desc(), F.col("trans_num").desc())
-        .limit(head)
+        scored_payments(pred, payments, limit=head)
         .select(
             "trans_num",
             scoring.money(F.col("amt")).alias("amt"),
@@ -294,16 +298,17 @@ def fmt_alerts(alert_rows: DataFrame, head: int = 20) -> DataFrame:
     )
 
 
-def alert_digest(scored: DataFrame, head: int = 10) -> DataFrame:
+def alert_digest(predictions: DataFrame, payments: DataFrame, head: int = 10) -> DataFrame:
     """First ``head`` frauds (p > 0.5) of a scored batch as digest lines, with
     the total and the "and N more" remainder as columns.
 
-    The total is a scalar subquery and the first rows a distributed top-k, so
-    no task or driver holds the batch.
+    The total is a scalar subquery over the predictions alone and the first
+    rows a distributed top-k taken before the join to payments, so no task
+    or driver holds the batch and only ``head`` rows are joined.
     """
-    frauds = scored.where(scoring.above_threshold(F.col("fraud_probability")))
+    frauds = predictions.where(scoring.above_threshold(F.col("fraud_probability")))
     total = frauds.select(F.count(F.lit(1))).scalar()
-    first = frauds.orderBy("predicted_at", "trans_num").limit(head)
+    first = scored_payments(frauds, payments, limit=head, newest_first=False)
     return first.select(
         "trans_num",
         F.substring("trans_num", 1, 30).alias("id_text"),
