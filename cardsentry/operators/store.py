@@ -52,13 +52,37 @@ def first_arrival(batch: DataFrame, key: str = "trans_num",
     )
 
 
+# Largest number of batch keys broadcast to the target scan (about 100 MB of
+# hashed string keys); above it the plain shuffle join is used.
+BROADCAST_KEYS_LIMIT = 1_000_000
+
+
+def stored_keys(target: DataFrame, keys: DataFrame, key: str = "trans_num",
+                broadcast_limit: int = BROADCAST_KEYS_LIMIT) -> DataFrame:
+    """Keys of ``keys`` already present in ``target``.
+
+    The target grows without bound and a micro-batch is small, so the target
+    scan probes the batch keys (semi join) instead of being shuffled. The
+    keys are broadcast only after counting them; beyond the limit the plain
+    shuffle join is used.
+    """
+    keys = keys.select(key).distinct()
+    if keys.count() <= broadcast_limit:
+        return target.select(key).join(F.broadcast(keys), key, "left_semi")
+    return target.select(key).join(keys, key, "left_semi")
+
+
 def new_rows(batch: DataFrame, target: DataFrame | None, key: str = "trans_num",
              order_cols: Sequence[str] = ("batch_id", "row_idx")) -> DataFrame:
-    """Rows of ``batch`` to insert: deduplicated, and absent from ``target``."""
+    """Rows of ``batch`` to insert: deduplicated, and absent from ``target``.
+
+    ``batch LEFT ANTI target`` could only broadcast the target; instead the
+    (small) set of batch keys already stored is found first and removed.
+    """
     rows = first_arrival(batch, key, order_cols)
     if target is None:
         return rows
-    return rows.join(target.select(key), key, "left_anti")
+    return rows.join(stored_keys(target, rows, key), key, "left_anti")
 
 
 @dataclass
@@ -103,7 +127,7 @@ class KeyedTable:
         target = self.read()
         clash = False
         if target is not None:
-            clash = batch.select(key).join(target.select(key), key, "left_semi").limit(1).count() > 0
+            clash = stored_keys(target, batch, key).limit(1).count() > 0
         if dup_in_batch or clash:
             return False
         self.append(batch)
