@@ -22,6 +22,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardsentry.operators.joins import broadcast_if_small
 from cardsentry.operators.ranking import hash_rank_flag
 from cardsentry.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
@@ -204,7 +205,10 @@ def one_hot_long(df: DataFrame, train: DataFrame, key: str = "trans_num",
     first = dictionary.groupBy("column").agg(F.min("value").alias("first_value"))
     encoded = dictionary.join(first, "column").where(F.col("value") != F.col("first_value")).select(
         "column", "value")
-    return rows.join(encoded, ["column", "value"]).select(
+    # a frequent category (one gender, say) is a hot join key; the dictionary
+    # is bounded by the number of categories, so it is broadcast when a count
+    # confirms it is small and no row is shuffled by category at all
+    return rows.join(broadcast_if_small(encoded), ["column", "value"]).select(
         key, F.concat_ws("_", "column", "value").alias("feature"))
 
 

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardsentry.operators.joins import BROADCAST_ROWS_LIMIT, broadcast_if_small
 from cardsentry.sources.storage import new_location
 
 
@@ -52,13 +53,8 @@ def first_arrival(batch: DataFrame, key: str = "trans_num",
     )
 
 
-# Largest number of batch keys broadcast to the target scan (about 100 MB of
-# hashed string keys); above it the plain shuffle join is used.
-BROADCAST_KEYS_LIMIT = 1_000_000
-
-
 def stored_keys(target: DataFrame, keys: DataFrame, key: str = "trans_num",
-                broadcast_limit: int = BROADCAST_KEYS_LIMIT) -> DataFrame:
+                broadcast_limit: int = BROADCAST_ROWS_LIMIT) -> DataFrame:
     """Keys of ``keys`` already present in ``target``.
 
     The target grows without bound and a micro-batch is small, so the target
@@ -66,9 +62,7 @@ def stored_keys(target: DataFrame, keys: DataFrame, key: str = "trans_num",
     keys are broadcast only after counting them; beyond the limit the plain
     shuffle join is used.
     """
-    keys = keys.select(key).distinct()
-    if keys.count() <= broadcast_limit:
-        return target.select(key).join(F.broadcast(keys), key, "left_semi")
+    keys = broadcast_if_small(keys.select(key).distinct(), broadcast_limit)
     return target.select(key).join(keys, key, "left_semi")
 
 
