@@ -227,4 +227,4 @@ def with_class_weights(df: DataFrame, label: str = "is_fraud", weight_col: str =
     """Attach the balanced weight of each row's class. The weight table has
     one row per class (two here), so broadcasting it is bounded."""
     w = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
-    return df.join(F.broadcast(w), label)
+    return df.join(broadcast_if_small(w), label)

@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardsentry.operators.joins import broadcast_if_small
 from cardsentry.sources.storage import shared_root
 
 DEFAULT_BUCKETS = 256
@@ -74,7 +75,9 @@ def exact_quantiles(
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
     )
-    tagged = counts.join(stats.select(*g, "_b"), g).select(
+    # joins on the group key: a group may hold half the rows, so the small
+    # per-group tables (bounded by groups x buckets) are broadcast after a count
+    tagged = counts.join(broadcast_if_small(stats.select(*g, "_b")), g).select(
         *g, "_v", "_c", F.size(F.filter("_b", lambda b: b < F.col("_v"))).alias("_bk")
     )
     per_bucket = tagged.groupBy(*g, "_bk").agg(F.sum("_c").alias("_bc"))
@@ -101,7 +104,7 @@ def exact_quantiles(
 
     # (3) exact ranks inside the targeted buckets only.
     target_buckets = located.select(*g, "_bk").distinct()
-    inside = tagged.join(target_buckets, g + ["_bk"], "left_semi")
+    inside = tagged.join(broadcast_if_small(target_buckets), g + ["_bk"], "left_semi")
     w = Window.partitionBy(*g, "_bk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     inside = inside.withColumn("_end", F.sum("_c").over(w))
     hits = located.join(inside, g + ["_bk"]).where(
@@ -157,8 +160,8 @@ def hash_rank_flag(
     limits = sizes.join(cut, g, "left").select(
         *g, F.coalesce("_cut_bk", F.lit(-1)).alias("_cut_bk"), F.coalesce("_take", F.lit(0)).alias("_take")
     )
-    # limits has one row per group: small, bounded by the number of groups
-    d = d.join(F.broadcast(limits), g)
+    # limits has one row per group: broadcast after a count confirms it is small
+    d = d.join(broadcast_if_small(limits), g)
     in_cut = d.where(F.col("_bk") == F.col("_cut_bk"))
     w = Window.partitionBy(*g, "_bk").orderBy("_h", tie_col)
     ranked_cut = in_cut.withColumn(flag_name, F.row_number().over(w) <= F.col("_take"))
