@@ -114,7 +114,8 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
     return c.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def champion_challenger(runs: DataFrame, champion_stage: str = "Production") -> DataFrame:
+def champion_challenger(runs: DataFrame, champion_stage: str = "Production",
+                        order_col: str = "run_id") -> DataFrame:
     """Deploy decision for every non-champion run.
 
     Rules: with no champion, deploy; when the comparison cannot be made
@@ -123,19 +124,25 @@ def champion_challenger(runs: DataFrame, champion_stage: str = "Production") ->
     loses less than 0.05 and F1 improves. Missing champion metrics count as 0.
 
     ``runs``: run_id, stage, recall, precision, f1_score, meets_requirements.
-    The champion is one row (the stage's single current model), joined on a
-    constant key, so every challenger meets it without a cross join.
+    The champion is the latest run (largest ``order_col``) in the stage. It is
+    picked by a global ``max_by`` aggregate, which yields exactly one row
+    (all null when the stage is empty) however many runs the stage holds, so
+    broadcasting it is bounded and each challenger gets one decision row.
     """
-    champ = runs.where(F.col("stage") == champion_stage).select(
-        F.lit(1).alias("_k"),
+    champ_row = F.struct(
         F.col("run_id").alias("champion_run_id"),
         F.coalesce("recall", F.lit(0.0)).alias("champion_recall"),
         F.coalesce("precision", F.lit(0.0)).alias("champion_precision"),
         F.coalesce("f1_score", F.lit(0.0)).alias("champion_f1"),
         F.col("recall").isNull().alias("_unknown"),
     )
+    champ = (
+        runs.where(F.col("stage") == champion_stage)
+        .agg(F.max_by(champ_row, F.col(order_col)).alias("_c"))
+        .select(F.lit(1).alias("_k"), "_c.*")
+    )
     challengers = runs.where(F.col("stage").isNull() | (F.col("stage") != champion_stage)).withColumn("_k", F.lit(1))
-    j = challengers.join(F.broadcast(champ), "_k", "left")  # champ: at most one row
+    j = challengers.join(F.broadcast(champ), "_k", "left")  # champ: exactly one row
     d_r = F.col("recall") - F.col("champion_recall")
     d_p = F.col("precision") - F.col("champion_precision")
     d_f = F.col("f1_score") - F.col("champion_f1")

@@ -59,6 +59,14 @@ def test_champion_rules(spark):
     assert d["fails_gates"][0] is False
 
 
+def test_latest_champion_only(spark):
+    # two runs in the stage: the latest is the champion, and no challenger is duplicated
+    rows = [("r1", "Production", 0.99, 0.99, 0.99, True), ("r2", "Production", 0.90, 0.80, 0.85, True),
+            ("new", None, 0.95, 0.79, 0.86, True)]
+    out = EV.champion_challenger(spark.createDataFrame(rows, RUNS)).collect()
+    assert len(out) == 1 and out[0].champion_run_id == "r2" and out[0].should_deploy is True
+
+
 def test_comparison_failure_uses_gates(spark):
     rows = [("prod", "Production", None, None, None, True), ("a", None, 0.95, 0.9, 0.9, True),
             ("b", None, 0.5, 0.5, 0.5, False)]
