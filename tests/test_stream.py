@@ -34,3 +34,13 @@ def test_stream_replay_inserts_nothing_twice(spark):
     SS.run(SS.read_landed(spark, landing), writer, "replay_b")
     assert target.read().count() == first
     assert target.read().groupBy("trans_num").count().where(F.col("count") > 1).count() == 0
+
+
+def test_empty_micro_batch_is_skipped(spark):
+    from cardsentry.streaming import stream as SS
+
+    calls = []
+    w = SS.skip_empty(lambda df, bid: calls.append(bid))
+    w(spark.range(0), 0)
+    w(spark.range(3), 1)
+    assert calls == [1]
