@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardsentry.operators.joins import broadcast_if_small
+from cardsentry.operators.joins import BROADCAST_ROWS_LIMIT, broadcast_if_small
 from cardsentry.sources.storage import shared_root
 
 DEFAULT_BUCKETS = 256
@@ -76,8 +76,12 @@ def exact_quantiles(
         F.max("_v").alias("_max"),
     )
     # joins on the group key: a group may hold half the rows, so the small
-    # per-group tables (bounded by groups x buckets) are broadcast after a count
-    tagged = counts.join(broadcast_if_small(stats.select(*g, "_b")), g).select(
+    # per-group tables (bounded by groups x buckets) are broadcast after a
+    # count. A boundary row holds ``buckets - 1`` doubles, so its row limit
+    # is divided by the bucket count: the broadcast stays within the bytes
+    # of BROADCAST_ROWS_LIMIT short rows, whatever the number of groups.
+    boundaries = broadcast_if_small(stats.select(*g, "_b"), BROADCAST_ROWS_LIMIT // buckets)
+    tagged = counts.join(boundaries, g).select(
         *g, "_v", "_c", F.size(F.filter("_b", lambda b: b < F.col("_v"))).alias("_bk")
     )
     per_bucket = tagged.groupBy(*g, "_bk").agg(F.sum("_c").alias("_bc"))
