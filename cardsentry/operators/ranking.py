@@ -76,11 +76,14 @@ def exact_quantiles(
         F.max("_v").alias("_max"),
     )
     # joins on the group key: a group may hold half the rows, so the small
-    # per-group tables (bounded by groups x buckets) are broadcast after a
-    # count. A boundary row holds ``buckets - 1`` doubles, so its row limit
-    # is divided by the bucket count: the broadcast stays within the bytes
-    # of BROADCAST_ROWS_LIMIT short rows, whatever the number of groups.
-    boundaries = broadcast_if_small(stats.select(*g, "_b"), BROADCAST_ROWS_LIMIT // buckets)
+    # per-group tables are broadcast when one count of the groups proves
+    # them small. A boundary row holds ``buckets - 1`` doubles, so its row
+    # limit is divided by the bucket count: the broadcast stays within the
+    # bytes of BROADCAST_ROWS_LIMIT short rows, whatever the number of groups.
+    n_groups = stats.count()
+    boundaries = stats.select(*g, "_b")
+    if n_groups <= BROADCAST_ROWS_LIMIT // buckets:
+        boundaries = F.broadcast(boundaries)
     tagged = counts.join(boundaries, g).select(
         *g, "_v", "_c", F.size(F.filter("_b", lambda b: b < F.col("_v"))).alias("_bk")
     )
@@ -107,8 +110,11 @@ def exact_quantiles(
     ).select(*g, "qi", "pos", "r", "_bk", "_start")
 
     # (3) exact ranks inside the targeted buckets only.
+    # at most two buckets per wanted quantile and group: bounded by the count above
     target_buckets = located.select(*g, "_bk").distinct()
-    inside = tagged.join(broadcast_if_small(target_buckets), g + ["_bk"], "left_semi")
+    if n_groups * 2 * len(probs) <= BROADCAST_ROWS_LIMIT:
+        target_buckets = F.broadcast(target_buckets)
+    inside = tagged.join(target_buckets, g + ["_bk"], "left_semi")
     w = Window.partitionBy(*g, "_bk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     inside = inside.withColumn("_end", F.sum("_c").over(w))
     hits = located.join(inside, g + ["_bk"]).where(
