@@ -75,6 +75,9 @@ def exact_quantiles(
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
     )
+    if checkpoint:
+        # one row per group, read by the size check and three branches below
+        stats = stats.checkpoint(eager=True)
     # joins on the group key: a group may hold half the rows, so the small
     # per-group tables are broadcast when one count of the groups proves
     # them small. A boundary row holds ``buckets - 1`` doubles, so its row
@@ -170,7 +173,11 @@ def hash_rank_flag(
     limits = sizes.join(cut, g, "left").select(
         *g, F.coalesce("_cut_bk", F.lit(-1)).alias("_cut_bk"), F.coalesce("_take", F.lit(0)).alias("_take")
     )
-    # limits has one row per group: broadcast after a count confirms it is small
+    # limits has one row per group, but computing it is a pass over the
+    # input: write it once to the shared folder, so the size check and the
+    # join read the small written table instead of aggregating the input twice
+    shared_root(df.sparkSession)
+    limits = limits.checkpoint(eager=True)
     d = d.join(broadcast_if_small(limits), g)
     in_cut = d.where(F.col("_bk") == F.col("_cut_bk"))
     w = Window.partitionBy(*g, "_bk").orderBy("_h", tie_col)
