@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from cardsentry.operators.joins import broadcast_if_small
 from cardsentry.operators.ranking import hash_rank_flag
 from cardsentry.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from cardsentry.sources.storage import shared_root
 
 # ------------------------------------------------------------------ split
 
@@ -207,7 +208,10 @@ def one_hot_long(df: DataFrame, train: DataFrame, key: str = "trans_num",
         "column", "value")
     # a frequent category (one gender, say) is a hot join key; the dictionary
     # is bounded by the number of categories, so it is broadcast when a count
-    # confirms it is small and no row is shuffled by category at all
+    # confirms it is small and no row is shuffled by category at all. It is
+    # written once, so the count and the join do not both re-read ``train``.
+    shared_root(df.sparkSession)
+    encoded = encoded.checkpoint(eager=True)
     return rows.join(broadcast_if_small(encoded), ["column", "value"]).select(
         key, F.concat_ws("_", "column", "value").alias("feature"))
 
@@ -225,6 +229,8 @@ def class_weights(df: DataFrame, label: str = "is_fraud") -> DataFrame:
 
 def with_class_weights(df: DataFrame, label: str = "is_fraud", weight_col: str = "weight") -> DataFrame:
     """Attach the balanced weight of each row's class. The weight table has
-    one row per class (two here), so broadcasting it is bounded."""
-    w = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
+    one row per class (two here), so broadcasting it is bounded; it is
+    written once, so the size check and the join do not both aggregate ``df``."""
+    shared_root(df.sparkSession)
+    w = class_weights(df, label).select(label, F.col("weight").alias(weight_col)).checkpoint(eager=True)
     return df.join(broadcast_if_small(w), label)
