@@ -54,16 +54,22 @@ def first_arrival(batch: DataFrame, key: str = "trans_num",
 
 
 def stored_keys(target: DataFrame, keys: DataFrame, key: str = "trans_num",
-                broadcast_limit: int = BROADCAST_ROWS_LIMIT) -> DataFrame:
+                broadcast_limit: int = BROADCAST_ROWS_LIMIT, bound: DataFrame | None = None) -> DataFrame:
     """Keys of ``keys`` already present in ``target``.
 
     The target grows without bound and a micro-batch is small, so the target
     scan probes the batch keys (semi join) instead of being shuffled. The
-    keys are broadcast only after counting them; beyond the limit the plain
-    shuffle join is used.
+    keys are broadcast only after a count proves them few; beyond the limit
+    the plain shuffle join is used. ``bound`` is a frame with at least one
+    row per distinct key (the batch before deduplication): counting its rows
+    needs no shuffle, unlike counting the distinct keys themselves.
     """
-    keys = broadcast_if_small(keys.select(key).distinct(), broadcast_limit)
-    return target.select(key).join(keys, key, "left_semi")
+    distinct = keys.select(key).distinct()
+    if bound is None:
+        distinct = broadcast_if_small(distinct, broadcast_limit)
+    elif bound.count() <= broadcast_limit:
+        distinct = F.broadcast(distinct)
+    return target.select(key).join(distinct, key, "left_semi")
 
 
 def new_rows(batch: DataFrame, target: DataFrame | None, key: str = "trans_num",
@@ -76,7 +82,7 @@ def new_rows(batch: DataFrame, target: DataFrame | None, key: str = "trans_num",
     rows = first_arrival(batch, key, order_cols)
     if target is None:
         return rows
-    return rows.join(stored_keys(target, rows, key), key, "left_anti")
+    return rows.join(stored_keys(target, rows, key, bound=batch), key, "left_anti")
 
 
 @dataclass
@@ -121,7 +127,7 @@ class KeyedTable:
         target = self.read()
         clash = False
         if target is not None:
-            clash = stored_keys(target, batch, key).limit(1).count() > 0
+            clash = stored_keys(target, batch, key, bound=batch).limit(1).count() > 0
         if dup_in_batch or clash:
             return False
         self.append(batch)
