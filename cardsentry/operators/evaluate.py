@@ -126,8 +126,9 @@ def champion_challenger(runs: DataFrame, champion_stage: str = "Production",
     ``runs``: run_id, stage, recall, precision, f1_score, meets_requirements.
     The champion is the latest run (largest ``order_col``) in the stage. It is
     picked by a global ``max_by`` aggregate, which yields exactly one row
-    (all null when the stage is empty) however many runs the stage holds, so
-    broadcasting it is bounded and each challenger gets one decision row.
+    (null when the stage is empty) however many runs the stage holds, and is
+    read as a scalar subquery: computed once, no join, one decision row per
+    challenger.
     """
     champ_row = F.struct(
         F.col("run_id").alias("champion_run_id"),
@@ -138,11 +139,11 @@ def champion_challenger(runs: DataFrame, champion_stage: str = "Production",
     )
     champ = (
         runs.where(F.col("stage") == champion_stage)
-        .agg(F.max_by(champ_row, F.col(order_col)).alias("_c"))
-        .select(F.lit(1).alias("_k"), "_c.*")
+        .select(F.max_by(champ_row, F.col(order_col)))
+        .scalar()
     )
-    challengers = runs.where(F.col("stage").isNull() | (F.col("stage") != champion_stage)).withColumn("_k", F.lit(1))
-    j = challengers.join(F.broadcast(champ), "_k", "left")  # champ: exactly one row
+    challengers = runs.where(F.col("stage").isNull() | (F.col("stage") != champion_stage))
+    j = challengers.withColumn("_c", champ).select("*", "_c.*").drop("_c")
     d_r = F.col("recall") - F.col("champion_recall")
     d_p = F.col("precision") - F.col("champion_precision")
     d_f = F.col("f1_score") - F.col("champion_f1")
