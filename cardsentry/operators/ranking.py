@@ -25,6 +25,18 @@ from cardsentry.operators.joins import BROADCAST_ROWS_LIMIT, broadcast_if_small
 from cardsentry.sources.storage import shared_root
 
 DEFAULT_BUCKETS = 256
+# With ``buckets=None`` the bucket count grows with the widest group so that
+# one bucket (the largest window a task sorts) holds about this many
+# distinct values; at most MAX_BUCKETS boundaries are kept per group.
+BUCKET_TARGET_VALUES = 1 << 18
+MAX_BUCKETS = 1 << 16
+
+
+def auto_buckets(widest: int, minimum: int = DEFAULT_BUCKETS) -> int:
+    """Power-of-two bucket count giving at most ~BUCKET_TARGET_VALUES values
+    per bucket for a group of ``widest`` distinct values (clamped)."""
+    need = max(1, -(-int(widest) // BUCKET_TARGET_VALUES))
+    return max(minimum, min(MAX_BUCKETS, 1 << (need - 1).bit_length()))
 
 
 def _keys(group_cols: Sequence[str]) -> list[str]:
@@ -41,7 +53,7 @@ def exact_quantiles(
     value_col: str,
     probs: Sequence[float],
     names: Sequence[str],
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
     checkpoint: bool = True,
     with_summary: bool = False,
 ) -> DataFrame:
@@ -50,7 +62,8 @@ def exact_quantiles(
     Returns one row per group with columns ``names[i]`` holding the
     ``probs[i]`` quantile of ``value_col`` (nulls ignored); ``with_summary``
     adds ``n``, ``min_value`` and ``max_value`` from the same distinct-value
-    table, so the input is not read again for them.
+    table, so the input is not read again for them. ``buckets=None`` sizes
+    the bucket count from the widest group (see ``auto_buckets``).
     """
     g = _keys(group_cols)
     base = _with_key(df, group_cols).select(*g, F.col(value_col).cast("double").alias("_v"))
@@ -63,6 +76,10 @@ def exact_quantiles(
     if checkpoint:
         shared_root(df.sparkSession)
         counts = counts.checkpoint(eager=True)
+    if buckets is None:
+        # one aggregate row: the distinct-value count of the widest group
+        widest = counts.groupBy(*g).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
+        buckets = auto_buckets(widest or 0)
 
     # (2) bucket boundaries from a mergeable quantile sketch over the distinct
     # values (so a bucket holds about 1/buckets of a group's distinct values,

@@ -62,3 +62,13 @@ def test_split_is_repeatable_and_seeded(spark):
     b = sorted(r.trans_num for r in stratified_split(df).where("is_test").collect())
     c = sorted(r.trans_num for r in stratified_split(df, seed=7).where("is_test").collect())
     assert a == b and a != c and len(a) == 80
+
+
+def test_auto_buckets_bound_the_in_bucket_window():
+    from cardsentry.operators.ranking import BUCKET_TARGET_VALUES, MAX_BUCKETS, auto_buckets
+
+    assert auto_buckets(0) == 256 and auto_buckets(1000) == 256
+    for widest in (256 * BUCKET_TARGET_VALUES + 1, 10**10, 3 * 10**9 + 7):
+        b = auto_buckets(widest)
+        assert b & (b - 1) == 0 and widest / b <= BUCKET_TARGET_VALUES
+    assert auto_buckets(10**15) == MAX_BUCKETS
