@@ -108,11 +108,13 @@ class KeyedTable:
     def insert_ignore(self, batch: DataFrame, order_cols: Sequence[str] = ("batch_id", "row_idx"),
                       keep_order_cols: bool = False) -> None:
         """Insert the batch rows whose key is new; duplicates are skipped."""
-        rows = new_rows(batch, self.read(), self.key, order_cols)
+        # one read (one listing of the growing target folder) per batch
+        target = self.read()
+        rows = new_rows(batch, target, self.key, order_cols)
         if not keep_order_cols:
             rows = rows.drop(*[c for c in order_cols if c != self.key])
-        if self.created:
-            rows = rows.select(*self.read().columns)
+        if target is not None:
+            rows = rows.select(*target.columns)
         self.append(rows)
 
     def append_atomic(self, batch: DataFrame) -> bool:
