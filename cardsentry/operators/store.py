@@ -53,6 +53,17 @@ def first_arrival(batch: DataFrame, key: str = "trans_num",
     )
 
 
+def stored_rows(target: DataFrame, keys: DataFrame, key: str = "trans_num",
+                broadcast_limit: int = BROADCAST_ROWS_LIMIT, bound: DataFrame | None = None) -> DataFrame:
+    """Rows of ``target`` whose key is among ``keys`` (see ``stored_keys``)."""
+    distinct = keys.select(key).distinct()
+    if bound is None:
+        distinct = broadcast_if_small(distinct, broadcast_limit)
+    elif bound.count() <= broadcast_limit:
+        distinct = F.broadcast(distinct)
+    return target.join(distinct, key, "left_semi")
+
+
 def stored_keys(target: DataFrame, keys: DataFrame, key: str = "trans_num",
                 broadcast_limit: int = BROADCAST_ROWS_LIMIT, bound: DataFrame | None = None) -> DataFrame:
     """Keys of ``keys`` already present in ``target``.
@@ -64,12 +75,7 @@ def stored_keys(target: DataFrame, keys: DataFrame, key: str = "trans_num",
     row per distinct key (the batch before deduplication): counting its rows
     needs no shuffle, unlike counting the distinct keys themselves.
     """
-    distinct = keys.select(key).distinct()
-    if bound is None:
-        distinct = broadcast_if_small(distinct, broadcast_limit)
-    elif bound.count() <= broadcast_limit:
-        distinct = F.broadcast(distinct)
-    return target.select(key).join(distinct, key, "left_semi")
+    return stored_rows(target.select(key), keys, key, broadcast_limit, bound)
 
 
 def new_rows(batch: DataFrame, target: DataFrame | None, key: str = "trans_num",

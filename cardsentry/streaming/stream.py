@@ -104,11 +104,16 @@ def payment_inserter(target: ST.KeyedTable, quarantine: ST.KeyedTable | None = N
 
 def lookup_scorer(probabilities: DataFrame, key: str = "trans_num",
                   column: str = "fraud_probability") -> Callable[[DataFrame], DataFrame]:
-    """Scorer that reads stored probabilities (stream-static join on the key)."""
+    """Scorer that reads stored probabilities (stream-static join on the key).
+
+    The stored table grows without bound and a micro-batch is small, so the
+    stored scan probes the batch keys (semi join, keys broadcast when the
+    batch's row count proves them few) instead of being shuffled per batch.
+    """
     probs = probabilities.select(key, F.col(column).alias("fraud_probability"))
 
     def score(rows: DataFrame) -> DataFrame:
-        return rows.join(probs, key)
+        return rows.join(ST.stored_rows(probs, rows, key, bound=rows), key)
 
     return score
 
