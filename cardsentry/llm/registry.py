@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardsentry.llm import bpe, minhash, mixing, quality, secrets
+from cardsentry.llm import bpe, minhash, mixing, quality, secrets, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix": suffix.op1_suffix,
     "op2_mix": mixing.op2_mix,
     "op6_secrets": secrets.op6_secrets,
     "op7_bpe": bpe.op7_bpe,
