@@ -13,7 +13,9 @@ map-only, and a lost task is simply run again.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,8 +34,14 @@ SPLIT = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
     rf"| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
-# The caches hold this many pieces at most; then they start afresh.
-CACHE = 200_000
+# Parts of texts that a worker's cache holds; when it is full, the older half goes.
+CACHE = 600_000
+# Longer fragments are merged one by one with a heap, shorter ones together.
+SHORT = 32
+# Texts are looked up by parts that end where a single space follows one
+# visible character and precedes another: the pattern always splits there.
+ODD_SPACE = re.compile(rf"[{SPACE}] | [{SPACE}]")
+PARTS = regex.compile(rf"(?<=[^{SPACE}])(?= [^{SPACE}])")
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -62,87 +70,200 @@ class Codec:
         vocab = {t: i for t, i in spec["model"]["vocab"].items() if t not in self.special}
         self.ids = {to_bytes(t): i for t, i in vocab.items()}
         self.token = {i: b for b, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
-        merges = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
-        self.rank = {(to_bytes(a), to_bytes(b)): r for r, (a, b) in enumerate(merges)}
-        # joined[a, b]: some token holds byte a followed by byte b
-        self.joined = np.zeros((256, 256), bool)
+        # pair of ids -> rank, and what the merge of a rank makes
+        self.rank: dict[tuple[int, int], int] = {}
+        made: list[int] = []
+        for rank, m in enumerate(spec["model"]["merges"]):
+            a, b = map(to_bytes, m.split(" ") if isinstance(m, str) else m)
+            self.rank[self.ids[a], self.ids[b]] = rank
+            made.append(self.ids[a + b])
+        self.made = np.array([*made, -1], np.int64)
+        self.never = len(made)
+        self._hash_ranks()
+        self.single = np.array([self.ids[bytes([b])] for b in range(256)], np.int64)
+        # joined[256 * a + b]: some token holds byte a followed by byte b
+        joined = np.zeros(1 << 16, bool)
         for t in self.ids:
-            b = np.frombuffer(t, np.uint8)
-            self.joined[b[:-1], b[1:]] = True
+            b = np.frombuffer(t, np.uint8).astype(np.int64)
+            joined[b[:-1] * 256 + b[1:]] = True
+        self.joined = joined
         self.split = regex.compile(SPLIT)
-        self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.fragments: dict[bytes, tuple[int, ...]] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def cut(self, piece: bytes) -> list[bytes]:
-        """The piece cut between the bytes of every pair that no token holds."""
-        if len(piece) < 2:
-            return [piece]
-        b = np.frombuffer(piece, np.uint8)
-        at = [0, *(np.flatnonzero(~self.joined[b[:-1], b[1:]]) + 1).tolist(), len(piece)]
-        return [piece[i:j] for i, j in zip(at, at[1:])]
-
-    def merge(self, fragment: bytes) -> tuple[int, ...]:
-        """Ids of one fragment: the lowest-ranked adjacent pair is joined, the
-        leftmost first, until none is left. A heap over a linked list keeps
-        long fragments at n log n."""
-        known = self.fragments.get(fragment)
-        if known is not None:
-            return known
-        import heapq
-
-        parts: list[bytes | None] = [fragment[i : i + 1] for i in range(len(fragment))]
-        after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
-        heap = [(r, i, p, q) for i, (p, q) in enumerate(zip(parts, parts[1:])) if (r := self.rank.get((p, q))) is not None]
+        marks = sorted(self.special, key=len, reverse=True)
+        self.marks = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
+        self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        # all tokens one after the other, for decoding
+        n = max(self.token) + 1
+        self.size = np.array([len(self.token.get(i, b"")) for i in range(n)], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.pool = np.frombuffer(b"".join(self.token.get(i, b"") for i in range(n)), np.uint8)
+
+    def _hash_ranks(self) -> None:
+        """A hash table of the pairs for look-ups of whole arrays."""
+        bits = max(8, int(self.never * 4).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.keys = np.full((1 << bits) + 64, -1, np.int64)
+        self.ranks = np.full((1 << bits) + 64, self.never, np.int64)
+        for (a, b), rank in self.rank.items():
+            key = a << 32 | b
+            at = (key * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> int(self.shift)
+            while self.keys[at] != -1:
+                at += 1
+            self.keys[at], self.ranks[at] = key, rank
+
+    def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of every pair; pairs that are never merged get ``never``."""
+        key = a << 32 | b
+        at = (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+        found = self.keys[at]
+        out = self.ranks[at]
+        todo = np.flatnonzero((found != key) & (found != -1))
+        out[found != key] = self.never
+        while len(todo):
+            at[todo] += 1
+            found = self.keys[at[todo]]
+            hit = found == key[todo]
+            out[todo[hit]] = self.ranks[at[todo[hit]]]
+            todo = todo[~hit & (found != -1)]
+        return out
+
+    def merge_long(self, ids: list[int]) -> list[int]:
+        """Merges of one fragment with a heap over a linked list: n log n."""
+        rank, n = self.rank.get, len(ids)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, *pair) for i, pair in enumerate(zip(ids, ids[1:])) if (r := rank(pair)) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, p, q = heapq.heappop(heap)
+            r, i, a, b = heapq.heappop(heap)
             j = after[i]
-            if parts[i] != p or j >= len(parts) or parts[j] != q:
+            if ids[i] != a or j >= n or ids[j] != b:
                 continue  # one side has changed meanwhile
-            parts[i], parts[j] = p + q, None
+            ids[i], ids[j] = int(self.made[r]), -1
             after[i] = after[j]
-            if after[i] < len(parts):
+            if after[i] < n:
                 before[after[i]] = i
             for left in (before[i], i):
-                if left >= 0 and after[left] < len(parts):
-                    pair = (parts[left], parts[after[left]])
-                    if (r := self.rank.get(pair)) is not None:
+                if left >= 0 and after[left] < n:
+                    pair = (ids[left], ids[after[left]])
+                    if (r := rank(pair)) is not None:
                         heapq.heappush(heap, (r, left, *pair))
-        out = tuple(self.ids[p] for p in parts if p is not None)
-        if len(self.fragments) >= CACHE:
-            self.fragments.clear()
-        if len(fragment) <= 64:
-            self.fragments[fragment] = out
+        return [i for i in ids if i >= 0]
+
+    def merge(self, ids: np.ndarray) -> np.ndarray:
+        """Merges of many fragments of one length, a row each: the lowest-ranked
+        adjacent pair is joined, the leftmost first, until none is left. What
+        a row no longer needs is -1 at its end."""
+        out = np.full(ids.shape, -1, np.int64)
+        row = np.arange(len(ids))
+        ranks = self.pair_ranks(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(ids), -1)
+        while ids.shape[1] > 1 and len(ids):
+            at = ranks.argmin(axis=1)
+            best = ranks[np.arange(len(ids)), at]
+            go = best < self.never
+            out[row[~go], : ids.shape[1]] = ids[~go]
+            row, at, best, ids, ranks = row[go], at[go], best[go], ids[go], ranks[go]
+            each, width = np.arange(len(ids)), ids.shape[1]
+            moved = np.arange(width - 1) > at[:, None]
+            ids[each, at] = self.made[best]
+            ids = np.where(moved, ids[:, 1:], ids[:, :-1])
+            ranks = np.where(moved[:, :-1], ranks[:, 1:], ranks[:, :-1])
+            left, right = at > 0, at < width - 2
+            ranks[each[left], at[left] - 1] = self.pair_ranks(ids[each[left], at[left] - 1], ids[each[left], at[left]])
+            ranks[each[right], at[right]] = self.pair_ranks(ids[each[right], at[right]], ids[each[right], at[right] + 1])
+        out[row, : ids.shape[1]] = ids
+        return out
+
+    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, counts): the ids of all pieces one after the other, and how
+        many each has. Pieces are cut between the bytes of every pair that no
+        token holds, and the fragments are merged independently."""
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        b = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64)
+        bound = np.zeros(len(b) + 1, bool)
+        bound[1:-1] = ~self.joined[b[:-1] << 8 | b[1:]]  # the certain cuts
+        bound[np.cumsum(size)] = True
+        bound[0] = True
+        begin = np.flatnonzero(bound)
+        length = np.diff(begin)
+        begin = begin[:-1]
+        ids = self.single[b]
+        for n in np.unique(length[length > 1]).tolist():
+            at = begin[length == n][:, None] + np.arange(n)
+            if n <= SHORT:
+                ids[at] = self.merge(ids[at])
+            else:
+                for place in at:
+                    merged = self.merge_long(ids[place].tolist())
+                    ids[place] = merged + [-1] * (n - len(merged))
+        used = ids >= 0
+        upto = np.concatenate([[0], np.cumsum(used)])
+        ends = np.cumsum(size)
+        return ids[used], upto[ends] - upto[ends - size]
+
+    def learn(self, parts: set[str]) -> None:
+        """Put the ids of all these parts into the cache."""
+        new = []
+        for part in parts:
+            known = self.older.get(part)
+            if part in self.special:
+                self.parts[part] = np.array([self.special[part]], "<u4").tobytes()
+            elif known is None:
+                new.append(part)
+            else:
+                self.parts[part] = known
+        pieces: list[bytes] = []
+        upto = []
+        for part in new:
+            if (part[1:] if part[:1] == " " else part).isalpha():
+                pieces.append(part.encode())
+            else:
+                pieces.extend([p.encode() for p in self.split.findall(part)])
+            upto.append(len(pieces))
+        if not pieces:
+            return
+        ids, counts = self.encode_pieces(pieces)
+        blob = ids.astype("<u4").tobytes()
+        ends = (4 * np.cumsum(counts)[np.array(upto) - 1]).tolist()
+        self.parts.update(zip(new, [blob[i:j] for i, j in zip([0, *ends], ends)]))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = []
+        for at in range(0, len(texts), 256):
+            split = [self.cut_up(t) for t in texts[at : at + 256]]
+            want = set().union(*split).difference(self.parts)
+            if len(self.parts) + len(want) > CACHE // 2:
+                self.older, self.parts = self.parts, {}
+                want = set().union(*split)
+            self.learn(want)
+            out.extend([b"".join(map(self.parts.__getitem__, s)) for s in split])
+            for part in [p for p in want if len(p) > 256]:  # long parts are not worth the room
+                del self.parts[part]
         return out
 
-    def piece(self, text: str) -> bytes:
-        """Little-endian ids of one piece of the pre-tokeniser."""
-        known = self.pieces.get(text)
-        if known is None:
-            ids = [i for f in self.cut(text.encode()) for i in self.merge(f)]
-            known = np.array(ids, "<u4").tobytes()
-            if len(self.pieces) >= CACHE:
-                self.pieces.clear()
-            if len(text) <= 64:
-                self.pieces[text] = known
-        return known
+    def cut_up(self, text: str) -> list[str]:
+        """The parts of a text; special tokens are parts of their own."""
+        if self.marks is not None and any(m in text for m in self.special):
+            return [p for t in self.marks.split(text) for p in ([t] if t in self.special else self.cut_up(t))]
+        if not text:
+            return []
+        if text[0] == " " or text[-1] == " " or ODD_SPACE.search(text):
+            return PARTS.split(text)
+        first, *rest = text.split(" ")
+        return [first, *[" " + r for r in rest]]
 
     def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
-        out = []
-        for part in self.marks.split(text) if self.marks else [text]:
-            if part in self.special:
-                out.append(np.array([self.special[part]], "<u4").tobytes())
-            elif part:
-                out.extend(map(self.piece, self.split.findall(part)))
-        return b"".join(out)
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> str:
         """The text of ids that ``encode`` gave, or of any others; bytes that
         are not UTF-8 become replacement characters."""
-        token = self.token
-        return b"".join([token.get(i, b"") for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+        i = np.frombuffer(ids, "<u4").astype(np.int64)
+        i = i[i < len(self.size)]
+        size = self.size[i]
+        end = np.cumsum(size)
+        at = np.arange(int(end[-1]) if len(end) else 0) + np.repeat(self.begin[i] - (end - size), size)
+        return self.pool[at].tobytes().decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=4)
@@ -163,7 +284,7 @@ def with_ids(docs: DataFrame, path: str | None = None, out: str = "ids", text: s
     def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         c = codec(path)
         for t in texts:
-            yield pd.Series([c.encode(x) if x else b"" for x in t], dtype=object)
+            yield pd.Series(c.encode_all([x or "" for x in t]), dtype=object)
 
     return docs.select(packed(docs), F.col(text).alias("text")).select("row", encode("text").alias("ids")).select(
         *unpacked(docs.columns, {out: F.col("ids")})
