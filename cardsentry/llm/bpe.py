@@ -35,7 +35,7 @@ SPLIT = (
     rf"| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
 # Parts of texts that a worker's cache holds; when it is full, the older half goes.
-CACHE = 600_000
+CACHE = 100_000
 # Longer fragments are merged one by one with a heap, shorter ones together.
 SHORT = 32
 # Texts are looked up by parts that end where a single space follows one
