@@ -6,15 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardsentry.llm import bpe, minhash, mixing, quality, secrets, suffix
+from cardsentry.llm import (
+    bpe, html_text, language, minhash, mixing, neighbours, quality, secrets, suffix, toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix": suffix.op1_suffix,
     "op2_mix": mixing.op2_mix,
+    "op3_language": language.op3_language,
+    "op4_html": html_text.op4_html,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_secrets": secrets.op6_secrets,
     "op7_bpe": bpe.op7_bpe,
     "op8_minhash": minhash.op8_minhash,
     "op9_quality": quality.op9_quality,
+    "op10_neighbours": neighbours.op10_neighbours,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_mix": mixing.OP2_SQL,
