@@ -186,7 +186,7 @@ def near_components(docs: DataFrame, near: Near = Near()) -> DataFrame:
     buckets = materialize(banded.join(shared, ["band", "key"]), "near-buckets")
     wanted = buckets.select("id").distinct()
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi")
-    texts = materialize(texts.dropDuplicates(["id"]) if _repeats(signed) else texts, "near-texts")
+    texts = materialize(texts.dropDuplicates(["id"]) if repeats_ids(signed) else texts, "near-texts")
 
     pairs = materialize(_star(buckets, F.min("id")), "near-pairs")
     links = materialize(confirm(pairs, texts, near), "near-links")
@@ -215,9 +215,9 @@ def near_components(docs: DataFrame, near: Near = Near()) -> DataFrame:
     )
 
 
-def _repeats(signed: DataFrame) -> bool:
+def repeats_ids(docs: DataFrame) -> bool:
     """Whether any id stands on several rows."""
-    return not signed.groupBy("doc_id").count().where("count > 1").limit(1).isEmpty()
+    return not docs.groupBy("doc_id").count().where("count > 1").limit(1).isEmpty()
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
