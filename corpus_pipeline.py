@@ -1,24 +1,74 @@
 """Corpus pipeline: the stages that turn raw documents into training data.
 
 Each stage takes (spark, docs, sf_dir) and returns the rows for the next one;
-``run`` writes every result as Parquet and reads it again.
+``run`` writes every result as Parquet and reads it again. All stages but the
+last return the columns of ``documents``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cardsentry.llm import bpe
+from cardsentry.llm import bpe, language, minhash, mixing, secrets
 from cardsentry.llm.common import read
 from cardsentry.sources.storage import materialize
 
+# A document whose best language is less likely than this is of none of them.
+LEAST_SCORE = 0.4
+
+
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: documents without letters, or of no language that the
+    network tells apart, go. The network is trained on the stage's input."""
+    net = language.fit_languages(docs)
+    labelled = language.with_language(docs, net)
+    kept = labelled.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup, five-word shingles and a similarity of 0.8: the
+    document with the smallest id of each group stays. Of rows that repeat an
+    id, one stays; rows without an id are in no group and all stay."""
+    found = minhash.near_components(docs.select("doc_id", "text"))
+    first = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi")
+    if minhash.repeats_ids(docs):
+        kept = kept.dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret scans: every secret in a text is replaced by its kind."""
+    return secrets.redacted(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: every source gets the same weight, one epoch in all; documents
+    are repeated as drawn and shuffled."""
+    return mixing.mix_sources(docs).select(*docs.columns)
+
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document."""
-    return bpe.with_ids(docs)
+    """BPE: the token ids of every document, and whether they decode to its text."""
+    encoded = bpe.with_ids(docs)
+    decoded = bpe.with_text(encoded, out="decoded")
+    return decoded.select(
+        *docs.columns,
+        "ids",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
 
 
-STAGES = [("bpe", encode)]
+STAGES = [
+    ("language", identify),
+    ("near_dedup", near_dedup),
+    ("secrets", redact),
+    ("mix", mix),
+    ("bpe", encode),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,5 +79,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-# Language identification is a trained network, which SQL cannot express.
+# Language identification is a trained network, which SQL cannot express;
+# tests check each stage against a plain version of it instead.
 ORACLE_SQL: str | None = None
