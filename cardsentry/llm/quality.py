@@ -22,7 +22,7 @@ from cardsentry.sources.storage import materialize
 
 BUCKETS = 16384
 # Mean log ratio, in millionths, from which a document is kept.
-THRESHOLD = -45_000
+THRESHOLD = -60_000
 SYMBOLS = "#*$%&|<>"
 
 
@@ -191,6 +191,6 @@ WITH tab AS (  -- the table of the public CRC-32 polynomial
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND s >= -45000 * n AS kept
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND s >= -60000 * n AS kept
 FROM f
 """

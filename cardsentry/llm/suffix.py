@@ -13,9 +13,9 @@ A byte goes if a string of WINDOW bytes covers it that also starts earlier.
 4. The distinct pieces of a hash are a lane. Each lane's suffixes are put in
    order by the linear grouping of ``lyndon``; neighbours that agree on WINDOW
    bytes are equal windows, and all but the earliest are repeats.
-5. A hash with more than LANE distinct pieces (a common line in changing
-   surroundings) is dealt anew by whole windows, so that no lane grows with
-   the input.
+5. The pieces of a hash with more than LANE distinct ones (a common line in
+   changing surroundings) go through steps 1 to 4 again with longer strings,
+   in the end whole windows, so that no lane grows with the input.
 6. Each document gets its runs and verdicts back and cuts its text.
 
 Texts are read where they lie in steps 1 and 2; two shuffles carry them, by
@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -41,8 +42,10 @@ from cardsentry.sources.storage import materialize
 
 WINDOW = 100
 K = 32
-# Distinct pieces under one hash that a lane takes at most.
-LANE = 256
+# Distinct pieces under one hash that a lane takes at most, and the lengths of
+# string by which larger ones are dealt anew.
+LANE = 64
+FINER = (64, 84, 94, WINDOW)
 # Bytes of text that are hashed at once, and bytes that are ordered at once.
 SEGMENT = 1 << 18
 CHUNK = 1 << 19
@@ -54,8 +57,8 @@ _BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
 _START_SPAN = 1 << 31
 
 
-def text_runs(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, windows) of the runs of one text's bytes.
+def text_runs(b: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, windows) of the runs of one text's bytes, by k-byte strings.
 
     Long texts are hashed in segments; a run that a segment's end cuts is two
     runs with the same hash, which changes no result.
@@ -65,12 +68,12 @@ def text_runs(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         part = b[at : at + SEGMENT + WINDOW - 1]
         if len(part) < WINDOW:
             break
-        n = len(part) - K + 1
+        n = len(part) - k + 1
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(_BYTE[part] * _table(BASE, len(part)), out=sums[1:])
-        full = _mixed((sums[K:] - sums[:-K]) * _table(INVERSE, n))
+        full = _mixed((sums[k:] - sums[:-k]) * _table(INVERSE, n) + U(k))
         low = (full & ~_PLACE) | np.arange(n, dtype=np.uint64)
-        wide, span = WINDOW - K + 1, 1
+        wide, span = WINDOW - k + 1, 1
         while 2 * span <= wide:
             low = np.minimum(low[:-span], low[span:])
             span *= 2
@@ -180,17 +183,24 @@ def lane_repeats(lanes: DataFrame) -> DataFrame:
     return lanes.mapInPandas(run, f"key {kind}, start int, a int, b int")
 
 
-def hot_repeats(lanes: DataFrame) -> DataFrame:
-    """The same for pieces of hot hashes, each window dealt by its own bytes."""
-    windows = lanes.select(
-        "hash", "key", "start", "piece", F.explode(F.sequence(F.lit(0), F.octet_length("piece") - WINDOW)).alias("a")
-    )
-    # the two digests of the window's bytes and the hash of its piece
-    cut = F.substring("piece", F.col("a") + 1, WINDOW)
-    windows = windows.select("hash", F.sha2(cut, 256).alias("w"), "key", (F.col("start") + F.col("a")).alias("at"), "start", "a")
-    first = windows.groupBy("hash", "w").agg(F.min(F.struct("key", "at")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    late = windows.join(first, ["hash", "w"]).where((F.col("key") != F.col("first.key")) | (F.col("at") != F.col("first.at")))
-    return late.select("key", "start", "a", (F.col("a") + 1).alias("b"))
+def finer_pieces(lanes: DataFrame, k: int) -> DataFrame:
+    """The pieces of hot lanes as runs by k-byte strings, in the same columns."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = [text_runs(np.frombuffer(p, np.uint8), k) for p in b["piece"]]
+            sizes = [len(f[0]) for f in found]
+            at = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
+            cut = [p[i : i + n + WINDOW - 1] for p, f in zip(b["piece"], found) for i, n in zip(f[1].tolist(), f[2].tolist())]
+            yield pd.DataFrame({
+                "hash": np.concatenate([f[0] for f in found]).view(np.int64) if found else at,
+                "piece": cut,
+                "key": np.repeat(b["key"].to_numpy(), sizes),
+                "start": (np.repeat(b["start"].to_numpy(), sizes) + at).astype(np.int32),
+            })
+
+    kind = dict(lanes.dtypes)["key"]
+    return lanes.select("piece", "key", "start").mapInPandas(run, f"hash bigint, piece binary, key {kind}, start int")
 
 
 @contextmanager
@@ -221,6 +231,20 @@ def _place(key_is_id: bool) -> tuple[Column, Column, Column]:
     return both, F.expr(f"(first - pmod(first, cast({_START_SPAN} as decimal(38,0)))) div {_START_SPAN}"), start.cast("int")
 
 
+def _lanes(distinct: DataFrame) -> DataFrame:
+    """Distinct pieces that share their hash with others, and how many do."""
+    sizes = distinct.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    return materialize(distinct.join(sizes, "hash"), "suffix-lanes")
+
+
+def _ordered(lanes: DataFrame) -> DataFrame:
+    """The lanes that are not too large, each in one task. Lanes that are put in
+    order together take as many steps as the largest, so lanes of a size stand
+    together."""
+    small = lanes.where(F.col("n") <= LANE).repartition("hash")
+    return small.sortWithinPartitions("n", "hash").drop("n")
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(key, marks) for ``docs`` (key, text): what every document with runs
     needs for its cut; marks are structs (kind, start, a, b).
@@ -238,15 +262,20 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         cut = pieces(docs.join(by_doc, "key").select("key", "text", "runs"))
         value, key, start = _place(key_is_id)
         distinct = cut.select("hash", "piece", value.alias("first")).groupBy("hash", "piece").agg(F.min("first").alias("first"))
-        distinct = distinct.select("hash", "piece", key.alias("key"), start.alias("start"))
-        distinct = materialize(distinct, "suffix-pieces")
-        sizes = distinct.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
-        lanes = materialize(distinct.join(sizes, "hash"), "suffix-lanes")
-        small = lanes.where(F.col("n") <= LANE).drop("n").repartition("hash")
-        small = small.sortWithinPartitions("hash")
-        repeats = materialize(
-            lane_repeats(small).unionByName(hot_repeats(lanes.where(F.col("n") > LANE).drop("n"))), "suffix-repeats"
-        )
+        distinct = materialize(distinct.select("hash", "piece", key.alias("key"), start.alias("start")), "suffix-pieces")
+        lanes = _lanes(distinct)
+        found = [lane_repeats(_ordered(lanes))]
+        for k in FINER:
+            hot = lanes.where(F.col("n") > LANE)
+            if hot.isEmpty():
+                break
+            parts = materialize(finer_pieces(hot, k).withColumn("value", value), "suffix-parts")
+            first = parts.groupBy("hash", "piece").agg(F.min("value").alias("first"))
+            late = parts.join(first, ["hash", "piece"]).where(F.col("value") != F.col("first"))
+            found.append(late.select("key", "start", F.lit(0).alias("a"), (F.octet_length("piece") - WINDOW + 1).alias("b")))
+            lanes = _lanes(first.select("hash", "piece", key.alias("key"), start.alias("start")))
+            found.append(lane_repeats(_ordered(lanes)))
+        repeats = materialize(reduce(DataFrame.unionByName, found), "suffix-repeats")
     zero = F.lit(0)
     marks = (
         runs.select("key", F.struct(zero.alias("kind"), "start", zero.alias("a"), F.col("windows").alias("b")).alias("m"))
