@@ -18,6 +18,15 @@ def _turned(edges: DataFrame) -> DataFrame:
     return edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
+def _tangled(edges: DataFrame) -> bool:
+    """Whether the edges are not yet stars around their smaller ends."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    roles = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not roles.where("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """(id, component) for every id in ``links`` (u, v); component is the
     smallest id that links reach.
@@ -30,16 +39,10 @@ def connected_components(links: DataFrame) -> DataFrame:
     repeated links do no harm; no link gives no row.
     """
     edges = materialize(_turned(links.where("u is not null and v is not null")), "component-edges")
-    state = None
-    while True:
+    while _tangled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _minimum(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = _turned(large)
-        small = _minimum(large).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+        small = _minimum(large.where("u <> v")).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         edges = materialize(_turned(small), "component-edges")
-        seen = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if tuple(seen) == state or not seen["n"]:
-            break
-        state = tuple(seen)
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)

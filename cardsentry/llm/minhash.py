@@ -117,17 +117,6 @@ def signatures(docs: DataFrame, near: Near) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, schema)
 
 
-def _star(buckets: DataFrame, centre) -> DataFrame:
-    """(a, c): every member of a bucket with the centre, once per pair.
-
-    ``buckets`` holds (band, key, id); ``centre`` is an aggregate over the ids
-    of a bucket.
-    """
-    centres = buckets.groupBy("band", "key").agg(centre.alias("c"), F.count("*").alias("n")).where("n > 1")
-    pairs = buckets.join(centres.drop("n"), ["band", "key"]).where("id <> c")
-    return pairs.select(F.least("id", "c").alias("c"), F.greatest("id", "c").alias("a")).distinct()
-
-
 def confirm(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
     """The pairs (a, c) that are similar enough on their full sets, as (u, v).
 
@@ -176,33 +165,35 @@ def near_components(docs: DataFrame, near: Near = Near()) -> DataFrame:
     """
     signed = materialize(signatures(docs, near), "near-signatures")
     usable = signed.where("digest is not null and doc_id is not null")
-    classes = usable.groupBy("digest").agg(F.min("doc_id").alias("id"))
-    members = signed.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
-    # the smallest id stands for a class; two texts under one id share its component
-    heads = usable.join(classes, (usable.doc_id == classes.id) & (usable.digest == classes.digest), "left_semi")
-    heads = heads.select(F.col("doc_id").alias("id"), "bands").dropDuplicates(["id"])
+    # the smallest id stands for a class, with its bands
+    classes = usable.groupBy("digest").agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands"))
+    classes = materialize(classes, "near-classes")
+    members = signed.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "id"), "digest", "left")
+    repeated = repeats_ids(signed)
+    # two texts under one id share its component
+    heads = classes.dropDuplicates(["id"]) if repeated else classes
     banded = heads.select("id", F.posexplode("bands").alias("band", "key"))
-    shared = banded.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    buckets = materialize(banded.join(shared, ["band", "key"]), "near-buckets")
+    centres = banded.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("id").alias("c")).where("n > 1")
+    buckets = materialize(banded.join(centres.drop("n"), ["band", "key"]), "near-buckets")
     wanted = buckets.select("id").distinct()
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi")
-    texts = materialize(texts.dropDuplicates(["id"]) if repeats_ids(signed) else texts, "near-texts")
+    texts = materialize(texts.dropDuplicates(["id"]) if repeated else texts, "near-texts")
 
-    pairs = materialize(_star(buckets, F.min("id")), "near-pairs")
+    pairs = materialize(buckets.where("id <> c").select(F.col("id").alias("a"), "c").distinct(), "near-pairs")
     links = materialize(confirm(pairs, texts, near), "near-links")
     component = connected_components(links)
     turn = 0
     while True:
         turn += 1
-        labelled = buckets.join(component.withColumnRenamed("component", "comp"), "id", "left")
+        labelled = buckets.drop("c").join(component.withColumnRenamed("component", "comp"), "id", "left")
         labelled = labelled.withColumn("comp", F.coalesce("comp", "id"))
-        mixed = labelled.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        mixed = labelled.join(mixed.where("lo < hi").select("band", "key"), ["band", "key"])
         centre = F.min_by(F.struct("id", "comp"), F.xxhash64("id", "band", F.lit(turn)))
-        centres = mixed.groupBy("band", "key").agg(centre.alias("m"))
-        fresh = mixed.join(centres, ["band", "key"]).where("comp <> m.comp")
-        fresh = fresh.select(F.least("id", "m.id").alias("c"), F.greatest("id", "m.id").alias("a")).distinct()
-        fresh = materialize(fresh.join(pairs, ["a", "c"], "left_anti").select("c", "a"), "near-pairs")
+        mixed = labelled.groupBy("band", "key").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), centre.alias("m")
+        ).where("lo < hi")
+        fresh = labelled.join(mixed.select("band", "key", "m"), ["band", "key"]).where("comp <> m.comp")
+        fresh = fresh.select(F.greatest("id", "m.id").alias("a"), F.least("id", "m.id").alias("c")).distinct()
+        fresh = materialize(fresh.join(pairs, ["a", "c"], "left_anti"), "near-pairs")
         if fresh.isEmpty():
             break
         found = materialize(confirm(fresh, texts, near), "near-links")
