@@ -226,9 +226,8 @@ def document_probabilities(net: Network, texts: list[str | None]) -> np.ndarray:
 def fit_languages(docs: DataFrame, held_out: int = 2, folds: int = 4) -> Network:
     """Train on rows with text and language outside the held-out fold, at most
     SAMPLE per language."""
-    rows = docs.select("doc_id", "text", "lang").where("text is not null and lang is not null")
-    rows = rows.where(fold(F.col("doc_id"), folds) != held_out)
-    return train([(r[0], r[1]) for r in bounded_sample(rows, "lang", SAMPLE)])
+    known = docs.select("doc_id", "lang").where("lang is not null").where(fold(F.col("doc_id"), folds) != held_out)
+    return train(bounded_sample(known, docs, "lang", SAMPLE))
 
 
 def with_language(docs: DataFrame, net: Network) -> DataFrame:

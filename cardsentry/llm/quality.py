@@ -52,7 +52,7 @@ def fit_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> D
     flags = trusted.where("doc_id is not null").select("doc_id").distinct().withColumn("is_trusted", F.lit(1))
     grams = (
         docs.select("doc_id", "text")
-        .join(flags, "doc_id", "left")
+        .join(flags.hint("merge"), "doc_id", "left")  # the labels grow with the corpus
         .select(F.col("is_trusted"), words_of(F.col("text")).alias("words"))
         .select("is_trusted", F.explode(buckets_of(F.col("words"), buckets)).alias("bucket"))
     )

@@ -13,19 +13,28 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("~")).cast("binary")) % F.lit(folds)
 
 
-def bounded_sample(rows: DataFrame, label: str, per_label: int, most_labels: int = 64) -> list:
+def bounded_sample(labelled: DataFrame, docs: DataFrame, label: str, per_label: int, most_labels: int = 64) -> list:
     """At most ``per_label`` rows (label, text) of each label, the same on
-    every run: those with the smallest hashes of their ids.
-
-    Each label is a top-k, which every task cuts to ``per_label`` rows before
-    anything is sent. The labels themselves are a grouped count; more than
-    ``most_labels`` is an error, as each costs a job.
+    every run: the documents with the smallest hashes of their ids.
+
+    ``labelled`` holds doc_id and the label, ``docs`` doc_id and text. Ids are
+    picked first: each label is a top-k, which every task cuts to ``per_label``
+    ids before anything is sent. Texts are then looked up by broadcasting the
+    picked ids, whose number the parameters bound, so no text is shuffled but
+    theirs. Rows without an id are not picked, of rows that share one a single
+    one is. More than ``most_labels`` labels is an error, as each costs a job.
     """
-    labels = [r[0] for r in rows.groupBy(label).count().orderBy(label).limit(most_labels + 1).collect()]
+    labelled = labelled.where("doc_id is not null").select("doc_id", F.col(label).alias("label"))
+    labels = [r[0] for r in labelled.groupBy("label").count().orderBy("label").limit(most_labels + 1).collect()]
     if len(labels) > most_labels:
         raise ValueError(f"more than {most_labels} labels")
-    out = []
+    picked = []
     for value in labels:
-        top = rows.where(F.col(label) == F.lit(value)).orderBy(key_hash("sample", F.col("doc_id")), "doc_id")
-        out += top.limit(per_label).select(label, "text").collect()
-    return out
+        top = labelled.where(F.col("label") == F.lit(value)).orderBy(key_hash("sample", F.col("doc_id")), "doc_id")
+        picked += top.limit(per_label).collect()
+    if not picked:
+        return []
+    ids = docs.sparkSession.createDataFrame(picked, labelled.schema).dropDuplicates(["doc_id"])
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where("text is not null")
+    rows = found.dropDuplicates(["doc_id"]).collect()
+    return [(r.label, r.text) for r in sorted(rows, key=lambda r: (r.label, r.doc_id))]

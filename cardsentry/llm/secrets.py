@@ -206,7 +206,8 @@ def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     if found is None:
         rows = rows.withColumn("kinds", F.lit(None).cast("array<string>"))
     else:
-        rows = rows.join(found, F.col("key").eqNullSafe(F.col("id")), "left")
+        # candidates grow with the corpus, so they are never broadcast
+        rows = rows.join(found.hint("merge"), F.col("key").eqNullSafe(F.col("id")), "left")
     none = F.array().cast("array<struct<start:int, rank:int, kind:string, stop:int>>")
     each = []
     for rank, rule in enumerate(rules):

@@ -142,32 +142,39 @@ def train(rows: list[tuple[int, str]], rounds: int = ROUNDS, seed: int = 7) -> M
         model.weight[:] = 0
         model.bias[:] = (5, -5) if not labels.any() else (-5, 5)
         return model
-    # the n-grams of all stretches of all rows, one after the other
+    # every distinct word once with its n-grams; stretches as word numbers
     split = [words_of(text) for _, text in rows]
-    parts = [(r, w[i : i + STRETCH]) for r, w in enumerate(split) for i in range(0, max(1, len(w)), STRETCH)]
-    owner = np.array([r for r, _ in parts])
     every = sorted(set().union(*split))
     number = {w: i for i, w in enumerate(every)}
     grams, counts = grams_of(every) if every else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    bounds = np.concatenate([[0], np.cumsum(counts)]).tolist()
-    lists = []
-    for _, words in parts:
-        lists += [grams[bounds[k] : bounds[k + 1]] for k in (number[w] for w in words)]
-        lists.append(np.full(BLANK * (STRETCH - len(words)), BUCKETS - 1))
-    flat = np.concatenate(lists)
-    size = np.array([sum(int(counts[number[w]]) for w in words) + BLANK * (STRETCH - len(words)) for _, words in parts])
-    begin = np.concatenate([[0], np.cumsum(size)])
+    grams = grams.astype(np.int32)
+    bounds = np.concatenate([[0], np.cumsum(counts)])
+    words = np.fromiter((number[w] for part in split for w in part), np.int32)
+    lengths = [min(STRETCH, len(w) - i) for w in split for i in range(0, max(1, len(w)), STRETCH)]
+    owner = np.array([r for r, w in enumerate(split) for _ in range(0, max(1, len(w)), STRETCH)])
+    begin = np.concatenate([[0], np.cumsum(lengths)])
+    blanks = BLANK * (STRETCH - np.array(lengths))
     head = np.flatnonzero(np.diff(owner, prepend=-1))
     share = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (1 - labels).sum()) * len(labels)
 
+    def part_sums(of_words: np.ndarray, of_blank: float) -> np.ndarray:
+        sums = np.concatenate([[0.0], np.cumsum(of_words[words])])
+        return sums[begin[1:]] - sums[begin[:-1]] + blanks * of_blank
+
+    size = part_sums(counts, 1)
+    part_grams = lambda k: np.concatenate(
+        [grams[bounds[w] : bounds[w + 1]] for w in words[begin[k] : begin[k + 1]]] + [np.full(blanks[k], BUCKETS - 1, np.int32)]
+    )
+
     # a first guess of the toxic stretch: n-grams that more toxic rows have
-    of_row = owner[np.repeat(np.arange(len(size)), size)]
-    once = np.unique(of_row * BUCKETS + flat)
-    toxic = labels[once // BUCKETS] == 1
-    on = np.bincount(once[toxic] % BUCKETS, minlength=BUCKETS)
-    off = np.bincount(once[~toxic] % BUCKETS, minlength=BUCKETS)
+    on, off = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for y, part in zip(labels, split):
+        if part:
+            own = np.concatenate([grams[bounds[k] : bounds[k + 1]] for k in (number[w] for w in part)])
+            (on if y else off)[np.unique(own)] += 1
     # rare n-grams say little: a few rows are added to both sides
     odds = np.log((on + 3) / (labels.sum() + 6)) - np.log((off * labels.sum() / (1 - labels).sum() + 3) / (labels.sum() + 6))
+    odds[-1] = 0
     # warm start: the first guess is one direction of the table, which the
     # softmax reads out; training then moves table, weights and bias together
     model.table *= 0.1
@@ -175,21 +182,20 @@ def train(rows: list[tuple[int, str]], rounds: int = ROUNDS, seed: int = 7) -> M
     model.weight[0] = (-START_WEIGHT, START_WEIGHT)
     model.bias[:] = (START_BIAS, -START_BIAS)
     for turn in range(rounds):
-        sums = np.concatenate([[0.0], np.cumsum(odds[flat])])
-        mean = (sums[begin[1:]] - sums[begin[:-1]]) / np.maximum(size, 1)
+        by_gram = np.concatenate([[0.0], np.cumsum(odds[grams])])
+        mean = part_sums(by_gram[bounds[1:]] - by_gram[bounds[:-1]], odds[-1]) / size
         # the stretch of each row that scores highest
         best = np.lexsort((-mean, owner))[head]
         pace = 1 - turn / rounds
         for part in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // 16)):
-            s = best[part]
-            n = size[s]
-            at = np.repeat(begin[s] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            g, of = flat[at], np.repeat(np.arange(len(s)), n)
+            each = [part_grams(k) for k in best[part]]
+            n = np.array([len(x) for x in each])
+            g, of = np.concatenate(each), np.repeat(np.arange(len(part)), n)
             vectors = np.add.reduceat(model.table[g], np.cumsum(n) - n) / n[:, None]
             z = vectors @ model.weight + model.bias
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(s)), labels[part]] -= 1
+            p[np.arange(len(part)), labels[part]] -= 1
             p *= share[part][:, None]
             back = p @ model.weight.T / n[:, None]
             np.subtract.at(model.table, g, (pace * TABLE_RATE * back)[of].astype(np.float32))
@@ -210,8 +216,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: int = 0, folds:
     """
     docs = docs.select("doc_id", "text")
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.join(known.where(fold(F.col("doc_id"), folds) != held_out), "doc_id")
-    model = train([(r[0], r[1]) for r in bounded_sample(rows, "toxic", SAMPLE)])
+    known = known.where(fold(F.col("doc_id"), folds) != held_out)
+    known = known.join(docs.select("doc_id").hint("merge"), "doc_id", "left_semi")  # ids only
+    model = train(bounded_sample(known, docs, "toxic", SAMPLE))
     # one number per bucket; the size is a parameter
     sent = docs.sparkSession.sparkContext.broadcast((model.logits().astype(np.float32), model.offset()))
 
