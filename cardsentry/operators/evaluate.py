@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardsentry.schemas import (
-    CLASS_NAMES, MAX_PRECISION_LOSS, MIN_F1, MIN_PRECISION, MIN_RECALL, MIN_RECALL_GAIN,
+    CLASS_NAMES, MAX_PRECISION_LOSS, MIN_F1, MIN_PRECISION, MIN_RECALL, MIN_RECALL_GAIN, REASONS,
 )
 
 
@@ -46,9 +46,10 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
     ).select("cell.*")
 
 
-def metrics_from_counts(c: DataFrame, decimals: int = 6, keep: list[str] | None = None) -> DataFrame:
+def metrics_from_counts(c: DataFrame, decimals: int | None = 6, keep: list[str] | None = None) -> DataFrame:
     """recall, precision, f1, accuracy (0 when undefined) from tp/fp/tn/fn;
-    ``keep`` names pass-through columns (e.g. a run id)."""
+    ``keep`` names pass-through columns (e.g. a run id). ``decimals=None``
+    leaves them unrounded, as the gates need them."""
     tp, fp, tn, fn = (F.col(x) for x in ("tp", "fp", "tn", "fn"))
     recall = _ratio(tp, tp + fn)
     precision = _ratio(tp, tp + fp)
@@ -56,19 +57,23 @@ def metrics_from_counts(c: DataFrame, decimals: int = 6, keep: list[str] | None
     accuracy = _ratio(tp + tn, tp + tn + fp + fn)
     return c.select(
         *(keep or []),
-        *[F.round(x, decimals).alias(n) for x, n in
+        *[(x if decimals is None else F.round(x, decimals)).alias(n) for x, n in
           ((recall, "recall"), (precision, "precision"), (f1, "f1_score"), (accuracy, "accuracy"))],
         (tp + fp + tn + fn).alias("support"),
     )
 
 
-def metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    return metrics_from_counts(confusion_counts(df, label, prediction))
+def metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
+            decimals: int | None = 6) -> DataFrame:
+    return metrics_from_counts(confusion_counts(df, label, prediction), decimals)
 
 
 def gates(m: DataFrame, min_recall: float = MIN_RECALL, min_precision: float = MIN_PRECISION,
-          min_f1: float = MIN_F1, keep: list[str] | None = None) -> DataFrame:
-    """Minimum-quality gates as booleans plus the list of failed gates."""
+          min_f1: float = MIN_F1, keep: list[str] | None = None, decimals: int = 6) -> DataFrame:
+    """Minimum-quality gates as booleans plus the list of failed gates.
+
+    The gates compare the metrics as given, which should be unrounded; the
+    metrics in the result are rounded."""
     ok_r = F.col("recall") >= min_recall
     ok_p = F.col("precision") >= min_precision
     ok_f = F.col("f1_score") >= min_f1
@@ -77,7 +82,7 @@ def gates(m: DataFrame, min_recall: float = MIN_RECALL, min_precision: float = M
     ))
     return m.select(
         *(keep or []),
-        "recall", "precision", "f1_score",
+        *[F.round(n, decimals).alias(n) for n in ("recall", "precision", "f1_score")],
         ok_r.alias("recall_ok"), ok_p.alias("precision_ok"), ok_f.alias("f1_ok"),
         (ok_r & ok_p & ok_f).alias("meets_requirements"),
         F.array_join(failures, ",").alias("failures"),
@@ -118,10 +123,10 @@ def champion_challenger(runs: DataFrame, champion_stage: str = "Production",
                         order_col: str = "run_id") -> DataFrame:
     """Deploy decision for every non-champion run.
 
-    Rules: with no champion, deploy; when the comparison cannot be made
-    (champion metrics unknown), deploy if the gates are met; otherwise deploy
-    only if the gates are met and recall gains more than 0.01, precision
-    loses less than 0.05 and F1 improves. Missing champion metrics count as 0.
+    Rules: with no champion, deploy; otherwise deploy only if the gates are met
+    and recall gains more than 0.01, precision loses less than 0.05 and F1
+    improves. A missing champion metric counts as 0. When the comparison
+    itself fails (the challenger lacks a metric), deploy if the gates are met.
 
     ``runs``: run_id, stage, recall, precision, f1_score, meets_requirements.
     The champion is the latest run (largest ``order_col``) in the stage. It is
@@ -135,7 +140,6 @@ def champion_challenger(runs: DataFrame, champion_stage: str = "Production",
         F.coalesce("recall", F.lit(0.0)).alias("champion_recall"),
         F.coalesce("precision", F.lit(0.0)).alias("champion_precision"),
         F.coalesce("f1_score", F.lit(0.0)).alias("champion_f1"),
-        F.col("recall").isNull().alias("_unknown"),
     )
     champ = (
         runs.where(F.col("stage") == champion_stage)
@@ -147,14 +151,16 @@ def champion_challenger(runs: DataFrame, champion_stage: str = "Production",
     d_r = F.col("recall") - F.col("champion_recall")
     d_p = F.col("precision") - F.col("champion_precision")
     d_f = F.col("f1_score") - F.col("champion_f1")
-    better = F.col("meets_requirements") & (d_r > MIN_RECALL_GAIN) & (d_p > MAX_PRECISION_LOSS) & (d_f > 0)
+    met = F.coalesce("meets_requirements", F.lit(False))
+    failed = (d_r + d_p + d_f).isNull()
+    better = met & (d_r > MIN_RECALL_GAIN) & (d_p > MAX_PRECISION_LOSS) & (d_f > 0)
     no_champ = F.col("champion_run_id").isNull()
-    decision = F.when(no_champ, F.lit(True)).when(F.col("_unknown"), F.col("meets_requirements")).otherwise(better)
+    decision = F.when(no_champ, F.lit(True)).when(failed, met).otherwise(better)
     reason = (
-        F.when(no_champ, F.lit("no production model"))
-        .when(F.col("_unknown"), F.lit("comparison failed"))
-        .when(better, F.lit("better performance"))
-        .otherwise(F.lit("not better enough"))
+        F.when(no_champ, F.lit(REASONS["none"]))
+        .when(failed, F.lit(REASONS["failed"]))
+        .when(better, F.lit(REASONS["better"]))
+        .otherwise(F.lit(REASONS["worse"]))
     )
     return j.select(
         "run_id", "champion_run_id",

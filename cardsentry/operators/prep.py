@@ -22,7 +22,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardsentry.operators.joins import broadcast_if_small
+from cardsentry.operators.joins import broadcast_if_small, join_groups
 from cardsentry.operators.ranking import hash_rank_flag
 from cardsentry.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from cardsentry.sources.storage import shared_root
@@ -221,16 +221,16 @@ def one_hot_long(df: DataFrame, train: DataFrame, key: str = "trans_num",
 
 def class_weights(df: DataFrame, label: str = "is_fraud") -> DataFrame:
     """Balanced weights n / (n_classes * n_class) per label value."""
-    per = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
-    total = df.select(F.count(F.lit(1))).scalar()
-    classes = df.select(F.countDistinct(label)).scalar()
+    shared_root(df.sparkSession)
+    # one pass over the rows; what follows reads one row per class
+    per = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class")).checkpoint(eager=True)
+    total, classes = per.select(F.sum("n_class")).scalar(), per.select(F.count(F.lit(1))).scalar()
     return per.select(label, "n_class", (total / (classes * F.col("n_class"))).alias("weight"))
 
 
 def with_class_weights(df: DataFrame, label: str = "is_fraud", weight_col: str = "weight") -> DataFrame:
     """Attach the balanced weight of each row's class. The weight table has
-    one row per class (two here), so broadcasting it is bounded; it is
-    written once, so the size check and the join do not both aggregate ``df``."""
-    shared_root(df.sparkSession)
-    w = class_weights(df, label).select(label, F.col("weight").alias(weight_col)).checkpoint(eager=True)
-    return df.join(broadcast_if_small(w), label)
+    one row per class (two here), so broadcasting it is bounded. Rows without
+    a label are a class of their own."""
+    w = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
+    return join_groups(df, broadcast_if_small(w), [label])

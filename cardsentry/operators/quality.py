@@ -20,7 +20,11 @@ from cardsentry.schemas import LAT_RANGE, LONG_RANGE, REQUIRED_FIELDS
 # Field types of the request schema.
 INT_FIELDS = ["cc_num", "zip", "city_pop"]
 FLOAT_FIELDS = ["amt", "lat", "long", "merch_lat", "merch_long"]
-TEXT_FIELDS = ["merchant", "category", "gender", "state", "dob", "transaction_time"]
+# What feed text is stored as.
+STORED_TYPES = {
+    "id": "bigint", "amt": "decimal(10,2)", "lat": "double", "long": "double",
+    "merch_lat": "double", "merch_long": "double", "city_pop": "int", "is_fraud": "int",
+}
 
 
 def _parsed(df: DataFrame, name: str, kind: str) -> Column:
@@ -48,6 +52,10 @@ def rules(df: DataFrame) -> list[tuple[str, Column]]:
         out.append(("range:amt", _parsed(df, "amt", "float") <= 0))
     if "city_pop" in cols:
         out.append(("range:city_pop", _parsed(df, "city_pop", "int") <= 0))
+    # a value that parses but does not fit the stored type would become null
+    for f, kind, stored in (("amt", "float", STORED_TYPES["amt"]), ("city_pop", "int", STORED_TYPES["city_pop"])):
+        if f in cols:
+            out.append((f"overflow:{f}", _parsed(df, f, kind).isNotNull() & F.col(f).try_cast(stored).isNull()))
     for f, (lo, hi) in (("lat", LAT_RANGE), ("merch_lat", LAT_RANGE),
                         ("long", LONG_RANGE), ("merch_long", LONG_RANGE)):
         if f in cols:
@@ -72,14 +80,10 @@ def split_good_bad(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def typed_payments(df: DataFrame) -> DataFrame:
     """Cast validated feed text to the stored payment types."""
-    casts = {
-        "id": "bigint", "amt": "decimal(10,2)", "lat": "double", "long": "double",
-        "merch_lat": "double", "merch_long": "double", "city_pop": "int", "is_fraud": "int",
-    }
     cols = []
     for c in df.columns:
-        if c in casts and isinstance(df.schema[c].dataType, T.StringType):
-            cols.append(F.col(c).try_cast(casts[c]).alias(c))
+        if c in STORED_TYPES and isinstance(df.schema[c].dataType, T.StringType):
+            cols.append(F.col(c).try_cast(STORED_TYPES[c]).alias(c))
         else:
             cols.append(F.col(c))
     return df.select(*cols)

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardsentry.operators.joins import BROADCAST_ROWS_LIMIT, broadcast_if_small
+from cardsentry.operators.joins import BROADCAST_ROWS_LIMIT, broadcast_if_small, join_groups
 from cardsentry.sources.storage import shared_root
 
 DEFAULT_BUCKETS = 256
@@ -104,7 +104,7 @@ def exact_quantiles(
     boundaries = stats.select(*g, "_b")
     if n_groups <= BROADCAST_ROWS_LIMIT // buckets:
         boundaries = F.broadcast(boundaries)
-    tagged = counts.join(boundaries, g).select(
+    tagged = join_groups(counts, boundaries, g).select(
         *g, "_v", "_c", F.size(F.filter("_b", lambda b: b < F.col("_v"))).alias("_bk")
     )
     per_bucket = tagged.groupBy(*g, "_bk").agg(F.sum("_c").alias("_bc"))
@@ -125,7 +125,7 @@ def exact_quantiles(
     ranks = wanted.select(
         *g, "qi", "pos", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("r")
     ).distinct()
-    located = ranks.join(per_bucket, g).where(
+    located = join_groups(ranks, per_bucket, g).where(
         (F.col("r") >= F.col("_start")) & (F.col("r") < F.col("_start") + F.col("_bc"))
     ).select(*g, "qi", "pos", "r", "_bk", "_start")
 
@@ -134,17 +134,17 @@ def exact_quantiles(
     target_buckets = located.select(*g, "_bk").distinct()
     if n_groups * 2 * len(probs) <= BROADCAST_ROWS_LIMIT:
         target_buckets = F.broadcast(target_buckets)
-    inside = tagged.join(target_buckets, g + ["_bk"], "left_semi")
+    inside = join_groups(tagged, target_buckets, g + ["_bk"], "left_semi")
     w = Window.partitionBy(*g, "_bk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     inside = inside.withColumn("_end", F.sum("_c").over(w))
-    hits = located.join(inside, g + ["_bk"]).where(
+    hits = join_groups(located, inside, g + ["_bk"]).where(
         (F.col("r") >= F.col("_start") + F.col("_end") - F.col("_c"))
         & (F.col("r") < F.col("_start") + F.col("_end"))
     ).select(*g, "qi", "pos", "r", "_v")
 
     lo = hits.where(F.col("r") == F.floor("pos")).select(*g, "qi", "pos", F.col("_v").alias("_lo"))
     hi = hits.where(F.col("r") == F.ceil("pos")).select(*g, "qi", F.col("_v").alias("_hi"))
-    val = lo.join(hi, g + ["qi"]).select(
+    val = join_groups(lo, hi, g + ["qi"]).select(
         *g, "qi",
         (F.col("_lo") + (F.col("pos") - F.floor("pos")) * (F.col("_hi") - F.col("_lo"))).alias("_q"),
     )
@@ -152,8 +152,8 @@ def exact_quantiles(
         *[F.max(F.when(F.col("qi") == i, F.col("_q"))).alias(name) for i, name in enumerate(names)]
     )
     if with_summary:
-        out = out.join(stats.select(*g, F.col("_n").alias("n"), F.col("_min").alias("min_value"),
-                                    F.col("_max").alias("max_value")), g)
+        out = join_groups(out, stats.select(*g, F.col("_n").alias("n"), F.col("_min").alias("min_value"),
+                                            F.col("_max").alias("max_value")), g)
     return out if group_cols else out.drop("_all")
 
 
@@ -168,8 +168,9 @@ def hash_rank_flag(
 ) -> DataFrame:
     """Flag the ``k`` rows per group with the smallest ``(hash_hex, tie_col)``.
 
-    ``hash_hex`` must be a uniformly distributed hex text (e.g. ``md5``); its
-    leading ``bits / 4`` hex digits give ``2**bits`` equally likely buckets.
+    ``hash_hex`` must be a uniformly distributed hex text (e.g. ``md5``); its leading digits pick the bucket;
+    a null group is a group like any other. The
+    leading ``bits / 4`` hex digits of the hash give ``2**bits`` equally likely buckets.
     ``k`` is an expression over the group size column ``_n``.
     """
     g = _keys(group_cols)
@@ -183,11 +184,11 @@ def hash_rank_flag(
     )
     sizes = per_bucket.groupBy(*g).agg(F.sum("_bc").alias("_n")).withColumn("_k", k.cast("long"))
     # the bucket that holds the k-th row (k >= 1), and how many of it to take
-    cut = per_bucket.join(sizes, g).where(
+    cut = join_groups(per_bucket, sizes, g).where(
         (F.col("_k") > F.col("_start")) & (F.col("_k") <= F.col("_start") + F.col("_bc"))
     ).select(*g, F.col("_bk").alias("_cut_bk"), (F.col("_k") - F.col("_start")).alias("_take"))
     # groups with k = 0 take nothing: cut bucket -1
-    limits = sizes.join(cut, g, "left").select(
+    limits = join_groups(sizes, cut, g, "left").select(
         *g, F.coalesce("_cut_bk", F.lit(-1)).alias("_cut_bk"), F.coalesce("_take", F.lit(0)).alias("_take")
     )
     # limits has one row per group, but computing it is a pass over the
@@ -195,7 +196,7 @@ def hash_rank_flag(
     # join read the small written table instead of aggregating the input twice
     shared_root(df.sparkSession)
     limits = limits.checkpoint(eager=True)
-    d = d.join(broadcast_if_small(limits), g)
+    d = join_groups(d, broadcast_if_small(limits), g)
     in_cut = d.where(F.col("_bk") == F.col("_cut_bk"))
     w = Window.partitionBy(*g, "_bk").orderBy("_h", tie_col)
     ranked_cut = in_cut.withColumn(flag_name, F.row_number().over(w) <= F.col("_take"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,35 +94,56 @@ def new_rows(batch: DataFrame, target: DataFrame | None, key: str = "trans_num",
 
 @dataclass
 class KeyedTable:
-    """A Parquet table under the shared folder, appended to by one writer."""
+    """A Parquet table at a path, appended to by one writer.
+
+    The folder alone says whether the table exists, so a table opened again
+    after a restart goes on where it was. ``stamp`` names a column that gets
+    the time of writing where a batch lacks it.
+    """
 
     spark: SparkSession
     path: str
     key: str = "trans_num"
-    created: bool = False
+    stamp: str | None = None
 
     @classmethod
-    def create(cls, spark: SparkSession, name: str, key: str = "trans_num") -> "KeyedTable":
-        return cls(spark, new_location(spark, name), key)
+    def create(cls, spark: SparkSession, name: str, key: str = "trans_num",
+               stamp: str | None = None) -> "KeyedTable":
+        """A table at a fresh place under the shared folder."""
+        return cls(spark, new_location(spark, name), key, stamp)
 
     def read(self) -> DataFrame | None:
-        return self.spark.read.parquet(self.path) if self.created else None
-
-    def append(self, df: DataFrame) -> None:
+        """The stored rows; None before the first write."""
+        try:
+            return self.spark.read.parquet(self.path)
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+
+    def append(self, df: DataFrame) -> int:
+        """Append rows; returns how many: the rows of the files that were added,
+        which their footers tell."""
+        if self.stamp is not None and self.stamp not in df.columns:
+            df = df.withColumn(self.stamp, F.current_timestamp().cast("timestamp_ntz"))
+        before = self.read()
+        old = set(before.inputFiles()) if before is not None else set()
         df.write.mode("append").parquet(self.path)
-        self.created = True
+        added = [f for f in self.spark.read.schema(df.schema).parquet(self.path).inputFiles() if f not in old]
+        return self.spark.read.schema(df.schema).parquet(*added).count() if added else 0
 
     def insert_ignore(self, batch: DataFrame, order_cols: Sequence[str] = ("batch_id", "row_idx"),
-                      keep_order_cols: bool = False) -> None:
-        """Insert the batch rows whose key is new; duplicates are skipped."""
+                      keep_order_cols: bool = False) -> int:
+        """Insert the batch rows whose key is new; duplicates are skipped.
+        Returns the number of rows inserted."""
         # one read (one listing of the growing target folder) per batch
         target = self.read()
         rows = new_rows(batch, target, self.key, order_cols)
         if not keep_order_cols:
             rows = rows.drop(*[c for c in order_cols if c != self.key])
         if target is not None:
-            rows = rows.select(*target.columns)
-        self.append(rows)
+            rows = rows.select(*[c for c in target.columns if c != self.stamp or c in rows.columns])
+        return self.append(rows)
 
     def append_atomic(self, batch: DataFrame) -> bool:
         """All-or-nothing append: refuse the whole batch when any key is
@@ -164,7 +186,7 @@ def alerts_from_scores(scored: DataFrame, created_at=None, label: str = "is_frau
         ts = F.current_timestamp().cast("timestamp_ntz")
     else:  # a wall-clock literal, independent of the session time zone
         ts = F.lit(created_at.isoformat(sep=" ")).cast("timestamp_ntz")
-    return scored.where(F.col(label) == 1).select(
+    return scored.where(F.col(label).cast("int") == 1).select(
         "trans_num",
         F.lit(False).alias("email_sent"),
         F.lit(None).cast("timestamp_ntz").alias("email_sent_at"),
@@ -175,10 +197,10 @@ def alerts_from_scores(scored: DataFrame, created_at=None, label: str = "is_frau
 def cascade_delete(parent: DataFrame, children: dict[str, DataFrame], keep: F.Column,
                    key: str = "trans_num") -> tuple[DataFrame, dict[str, DataFrame]]:
     """Delete parent rows not matching ``keep`` and every child row that
-    referenced them (children keep rows whose key survives: a semi join)."""
-    remaining = parent.where(keep)
-    kept_keys = remaining.select(key)
-    return remaining, {n: c.join(kept_keys, key, "left_semi") for n, c in children.items()}
+    referenced them. Children are joined with the deleted keys, the few; a
+    child without a parent row is left alone."""
+    gone = parent.where(~F.coalesce(keep, F.lit(False))).select(key)
+    return parent.where(keep), {n: c.join(gone, key, "left_anti") for n, c in children.items()}
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> str:

@@ -147,12 +147,11 @@ _FEED_TYPED = """(SELECT trans_num, cc_num, merchant, category, amt, gender, sta
     TRY_CAST(lat AS DOUBLE) AS lat, TRY_CAST(long AS DOUBLE) AS long,
     TRY_CAST(merch_lat AS DOUBLE) AS merch_lat, TRY_CAST(merch_long AS DOUBLE) AS merch_long,
     TRY_CAST(transaction_time AS TIMESTAMP) AS transaction_time
-  FROM payments_feed WHERE batch_id = 1) f"""
+  FROM payments_feed) f"""
 
 
 @register("prep_model_features",
           f"SELECT trans_num, {_MODEL_SQL} FROM {_FEED_TYPED} WHERE transaction_time IS NOT NULL")
 def prep_model_features(i: Inputs):
-    feed = i.payments_feed.where(F.col("batch_id") == 1)
-    df = FE.add_features(feed, as_of=FIXTURE_AGE_AS_OF)
+    df = FE.add_features(i.payments_feed, as_of=FIXTURE_AGE_AS_OF)
     return FE.model_features(df.where(FE.complete_time_features(df)), keep=["trans_num"])

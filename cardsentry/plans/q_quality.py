@@ -52,6 +52,19 @@ def validate_violations(i: Inputs):
     return Q.violation_counts(i.payments_feed)
 
 
+@register("validate_overflow", """
+SELECT 'overflow:amt' AS rule, count(*) AS n FROM payments_feed WHERE row_idx % 97 IN (0, 1)
+UNION ALL SELECT 'overflow:city_pop', count(*) FROM payments_feed WHERE row_idx % 97 = 2
+""")
+def validate_overflow(i: Inputs):
+    """Values that parse but do not fit the stored types are violations."""
+    kind = F.col("row_idx") % 97
+    feed = i.payments_feed.withColumn(
+        "amt", F.when(kind == 0, F.lit("123456789012.5")).when(kind == 1, F.lit("NaN")).otherwise(F.col("amt"))
+    ).withColumn("city_pop", F.when(kind == 2, F.lit("3000000000")).otherwise(F.col("city_pop")))
+    return Q.violation_counts(feed).where(F.col("rule").startswith("overflow:"))
+
+
 @register("validate_quarantine", f"""
 SELECT batch_id, row_idx, trans_num, {VIOLATIONS_SQL} AS violations
 FROM payments_feed WHERE NOT ({VALID_SQL})

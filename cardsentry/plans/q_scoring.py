@@ -128,7 +128,7 @@ SELECT recall, precision, f1_score, recall >= 0.9 AS recall_ok, precision >= 0.7
 FROM {_METRICS}
 """)
 def eval_gates(i: Inputs):
-    return EV.gates(EV.metrics(_eval_source(i)))
+    return EV.gates(EV.metrics(_eval_source(i), decimals=None))
 
 
 def _report_sql() -> str:
@@ -173,7 +173,7 @@ def _runs(i: Inputs):
         F.count_if((F.col("label") == 0) & ~hit).alias("tn"),
         F.count_if((F.col("label") == 1) & ~hit).alias("fn"),
     )
-    g = EV.gates(EV.metrics_from_counts(counts, keep=["run_id"]), keep=["run_id"])
+    g = EV.gates(EV.metrics_from_counts(counts, None, keep=["run_id"]), keep=["run_id"])
     return g.select(
         "run_id",
         F.when(F.col("run_id") == PRODUCTION_RUN, F.lit("Production")).alias("stage"),

@@ -35,6 +35,23 @@ def _feed_lines(i: Inputs):
     return i.spark.read.text(path)
 
 
+@register("feed_quarantine", """
+SELECT CASE WHEN d % 5 = 0 THEN 'not a JSON string' ELSE 'not a split document' END AS reason, count(*) AS n
+FROM (SELECT DISTINCT id // 100 AS d FROM payments) t WHERE d % 5 < 2 GROUP BY 1
+""")
+def feed_quarantine(i: Inputs):
+    """Two of five documents are damaged on the way (cut in half, or replaced
+    by other text); the quarantine holds exactly these."""
+    pay = i.payments.withColumn("current_time", dates.ntz_epoch(F.col("transaction_time"), "MILLISECOND"))
+    docs = feed.encode_split_documents(pay, _FEED_COLS, "id", rows_per_doc=100)
+    kind = F.col("doc_id") % 5
+    damaged = F.when(kind == 0, F.expr("substring(value, 1, length(value) div 2)")).when(
+        kind == 1, F.lit('"no document"')).otherwise(F.col("value"))
+    path = new_location(i.spark, "feed_json")
+    docs.select(damaged.alias("value")).write.text(path)
+    return feed.broken_documents(i.spark.read.text(path)).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 _MS = "make_timestamp((epoch_us(transaction_time) // 1000) * 1000)"
 
 

@@ -17,7 +17,6 @@ from cardsentry.schemas import FEED_DROP_COLUMNS
 from cardsentry.sources.storage import new_location
 from cardsentry.sources.tables import FIXTURE_AGE_AS_OF, FIXTURE_REPORT_DATE
 
-FEED_BATCHES = (1, 2)  # arrival order of the fixture feed's two batches
 ALERT_TIME = _dt.datetime(2024, 1, 31, 0, 0, 0)
 
 _PAY_COLS = ["id", "trans_num", "cc_num", "merchant", "category", "amt", "gender", "city", "state", "zip",
@@ -34,18 +33,22 @@ _PAY_SQL = """CAST(id AS BIGINT) AS id, trans_num, cc_num, merchant, category,
   CAST(is_fraud AS INTEGER) AS is_fraud, transaction_time"""
 
 
-def _load_payments(i: Inputs) -> ST.KeyedTable:
-    """Feed batches, in arrival order, inserted into a fresh payments table."""
+def _batches(i: Inputs) -> list:
+    """The feed's batches in arrival order."""
+    return [r[0] for r in i.payments_feed.select("batch_id").distinct().orderBy("batch_id").collect()]
+
+
+def _load_payments(i: Inputs) -> tuple[ST.KeyedTable, dict]:
+    """Feed batches, in arrival order, inserted into a fresh payments table,
+    and how many rows the writer inserted of each."""
     good = typed_good(i)
-    target = ST.KeyedTable.create(i.spark, "payments")
-    for b in FEED_BATCHES:
-        target.insert_ignore(good.where(F.col("batch_id") == b))
-    return target
+    target = ST.KeyedTable.create(i.spark, "payments", stamp="created_at")
+    return target, {b: target.insert_ignore(good.where(F.col("batch_id") == b)) for b in _batches(i)}
 
 
 @register("sink_payments_insert_ignore", f"SELECT {_PAY_SQL} FROM {_FIRST_VALID}")
 def sink_payments_insert_ignore(i: Inputs):
-    t = _load_payments(i)
+    t, _ = _load_payments(i)
     return t.read().select(*_PAY_COLS).withColumn("amt", F.col("amt").cast("double"))
 
 
@@ -70,12 +73,8 @@ def sink_insert_counts(i: Inputs):
     stats = v.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("ok")).alias("n_invalid")
     )
-    t = _load_payments(i)
-    # inserted rows keep their arrival batch id in a side column of the target
-    landed = t.read().join(
-        typed_good(i).select("trans_num", "batch_id", "row_idx"), "trans_num"
-    ).groupBy("trans_num").agg(F.min("batch_id").alias("batch_id"))
-    ins = landed.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_inserted"))
+    _, counts = _load_payments(i)  # as counted by the writes themselves
+    ins = i.spark.createDataFrame(list(counts.items()), "batch_id int, n_inserted bigint")
     return stats.join(ins, "batch_id", "left").select(
         "batch_id", "n_rows", "n_invalid",
         F.coalesce("n_inserted", F.lit(0)).alias("n_inserted"),
@@ -108,14 +107,14 @@ def _training_twin() -> str:
 
 @register("sink_training_insert_ignore", _training_twin())
 def sink_training_insert_ignore(i: Inputs):
-    payments = _load_payments(i)
+    payments, _ = _load_payments(i)
     good = typed_good(i)
     feats = FE.add_features(good, as_of=FIXTURE_AGE_AS_OF, variant="stream")
     feats = FE.clean_merchant(FE.drop_for_training(feats))
     # foreign key: only rows whose payment is stored
     feats = feats.join(payments.read().select("trans_num"), "trans_num", "left_semi")
     t = ST.KeyedTable.create(i.spark, "training_data")
-    for b in FEED_BATCHES:
+    for b in _batches(i):
         t.insert_ignore(feats.where(F.col("batch_id") == b))
     return t.read().withColumn("amt", F.col("amt").cast("double"))
 

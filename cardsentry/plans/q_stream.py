@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cardsentry.operators import store as ST
 from cardsentry.plans.catalog import Inputs, register
-from cardsentry.plans.q_store import _FIRST_VALID, _PAY_COLS, _PAY_SQL, ALERT_TIME
+from cardsentry.plans.q_store import _FIRST_VALID, _PAY_COLS, _PAY_SQL, ALERT_TIME, _training_twin
 from cardsentry.sources.storage import new_location
 from cardsentry.sources.tables import FIXTURE_AGE_AS_OF
 from cardsentry.streaming import stream as SS
@@ -37,13 +37,17 @@ def stream_insert_ignore(i: Inputs):
 
 def _score_tables(i: Inputs):
     if not hasattr(i, "_scored_tables"):
-        pay = ST.KeyedTable.create(i.spark, "payments_stream")
-        pred = ST.KeyedTable.create(i.spark, "predictions_stream")
+        pay = ST.KeyedTable.create(i.spark, "payments_stream", stamp="created_at")
+        pred = ST.KeyedTable.create(i.spark, "predictions_stream", stamp="predicted_at")
         alerts = ST.KeyedTable.create(i.spark, "alerts_stream")
+        refused = ST.KeyedTable.create(i.spark, "quarantine_stream")
+        training = ST.KeyedTable.create(i.spark, "training_stream", stamp="created_at")
         writer = SS.score_and_alert(pay, pred, alerts, SS.lookup_scorer(i.predictions),
-                                    as_of=FIXTURE_AGE_AS_OF, alert_time=ALERT_TIME)
+                                    as_of=FIXTURE_AGE_AS_OF, alert_time=ALERT_TIME,
+                                    quarantine=refused, training=training)
         SS.run(SS.read_landed(i.spark, _landed_feed(i)), writer, "score_alert")
         i._scored_tables = (pay, pred, alerts)
+        i._training_table = training
     return i._scored_tables
 
 
@@ -71,13 +75,20 @@ def stream_alerts(i: Inputs):
     return alerts.read().select("trans_num", "email_sent", "email_sent_at", "created_at")
 
 
+@register("stream_training", _training_twin())
+def stream_training(i: Inputs):
+    """Training rows that the stream writes beside its predictions."""
+    _score_tables(i)
+    return i._training_table.read().drop("created_at").withColumn("amt", F.col("amt").cast("double"))
+
+
 @register("stream_daily_counts", """
 SELECT CAST(predicted_at AS DATE) AS day, is_fraud AS predicted_fraud, count(*) AS n
 FROM predictions GROUP BY 1, 2
 """)
 def stream_daily_counts(i: Inputs):
     landing = new_location(i.spark, "landing_predictions")
-    i.predictions.repartition(4).write.parquet(landing)
+    i.predictions.write.parquet(landing)
     out = new_location(i.spark, "daily_counts")
     counts = SS.daily_counts_stream(SS.read_landed(i.spark, landing))
     SS.run(counts, SS.overwrite_writer(out), "daily_counts", output_mode="complete")

@@ -43,10 +43,9 @@ def scored_payments(predictions: DataFrame, payments: DataFrame, limit: int | No
                     newest_first: bool = True) -> DataFrame:
     """Predictions joined to their payments, optionally only the ``limit`` newest.
 
-    With a limit the top-k is taken on ``predictions`` *before* the join: the
-    foreign key predictions -> payments (kept by the sinks and checked by
-    ``fk_orphans``) makes that equal to join-then-limit, and the join then
-    probes payments with ``limit`` keys instead of shuffling both tables.
+    With a limit the top-k is taken before payments are joined, on the
+    predictions whose payment is stored: a semi join moves keys only, so that
+    orphans never shorten the result. The limited rows come back in order.
     """
     pred = predictions.select(
         "trans_num",
@@ -57,12 +56,13 @@ def scored_payments(predictions: DataFrame, payments: DataFrame, limit: int | No
     if limit is not None:
         order = ([F.col("predicted_at").desc(), F.col("trans_num").desc()] if newest_first
                  else [F.col("predicted_at"), F.col("trans_num")])
-        pred = pred.orderBy(*order).limit(limit)
+        pred = pred.join(payments.select("trans_num"), "trans_num", "left_semi").orderBy(*order).limit(limit)
     pay = payments.select("trans_num", _amount().alias("amt"), "merchant", "category", "city", "state")
-    return pred.join(pay, "trans_num").select(
+    out = pred.join(pay, "trans_num").select(
         "trans_num", "amt", "merchant", "category", "city", "state",
         "predicted_fraud", "fraud_probability", "predicted_at",
     )
+    return out if limit is None else out.orderBy(*order)  # a join keeps no order
 
 
 def recent_predictions(predictions: DataFrame, payments: DataFrame,
@@ -82,7 +82,8 @@ def recent_alerts(alerts: DataFrame, payments: DataFrame, predictions: DataFrame
     """
     fa = alerts.select("id", "trans_num", "email_sent", "email_sent_at", "created_at")
     if limit is not None:
-        fa = fa.orderBy(F.col("created_at").desc(), F.col("trans_num").desc()).limit(limit)
+        known = fa.join(payments.select("trans_num"), "trans_num", "left_semi")
+        fa = known.orderBy(F.col("created_at").desc(), F.col("trans_num").desc()).limit(limit)
     pay = payments.select("trans_num", _amount().alias("amt"), "merchant", "city", "state")
     pred = predictions.select("trans_num", "fraud_probability")
     return (
@@ -90,6 +91,7 @@ def recent_alerts(alerts: DataFrame, payments: DataFrame, predictions: DataFrame
         .join(pred, "trans_num", "left")
         .select("id", "trans_num", "amt", "merchant", "city", "state", "fraud_probability",
                 "email_sent", "email_sent_at", "created_at")
+        .orderBy(F.col("created_at").desc(), F.col("trans_num").desc())
     )
 
 
@@ -266,12 +268,18 @@ def daily_report_summary(predictions: DataFrame, training: DataFrame, as_of: _dt
 # ---------------------------------------------------------------- display (S-11, F-04/05/07)
 
 def fmt_recent(predictions: DataFrame, payments: DataFrame, only_fraud: bool = False,
-               head: int = 50) -> DataFrame:
-    """Dashboard table rows: money and percent text, status label, newest
-    ``head`` (top-k on predictions, then the join, as in ``scored_payments``)."""
-    pred = predictions.where(F.col("is_fraud")) if only_fraud else predictions
+               head: int = 50, loaded: int = RECENT_PREDICTIONS_DEFAULT) -> DataFrame:
+    """Dashboard table rows: money and percent text, status label, the newest
+    ``head``. The frauds-only table shows the frauds among the ``loaded``
+    newest rows, which is what the dashboard holds when it filters."""
+    if only_fraud:
+        rows = scored_payments(predictions, payments, limit=loaded).where("predicted_fraud")
+    else:
+        rows = scored_payments(predictions, payments, limit=head)
+    newest = [F.col("predicted_at").desc(), F.col("trans_num").desc()]
     return (
-        scored_payments(pred, payments, limit=head)
+        rows.orderBy(*newest)
+        .limit(head)
         .select(
             "trans_num",
             scoring.money(F.col("amt")).alias("amt"),

@@ -161,6 +161,14 @@ MIN_F1 = 0.80
 MIN_RECALL_GAIN = 0.01
 MAX_PRECISION_LOSS = -0.05
 
+# Reasons of the deploy decision.
+REASONS = {
+    "none": "no production model",
+    "failed": "comparison failed",
+    "better": "better performance",
+    "worse": "not better enough",
+}
+
 # Random forest hyper-parameters of the retraining job.
 FOREST_PARAMS = {
     "n_estimators": 100,

@@ -115,7 +115,8 @@ def unwrap_json_string(value: Column) -> Column:
 def decode_split_documents(lines: DataFrame, value_col: str = "value",
                            types: Sequence[tuple[str, str]] = FEED_TYPES) -> DataFrame:
     """One typed row per entry of every document's ``data`` array, plus the
-    document's ``index`` value as ``feed_index``."""
+    document's ``index`` value as ``feed_index``. Documents that cannot be
+    read give no row here and one in ``broken_documents``."""
     doc = F.from_json(unwrap_json_string(F.col(value_col)), SPLIT_DOC_SCHEMA)
     rows = lines.select(doc.alias("d")).select(
         F.col("d.columns").alias("columns"),
@@ -128,6 +129,21 @@ def decode_split_documents(lines: DataFrame, value_col: str = "value",
     return rows.select(*out)
 
 
+def broken_documents(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """(value, reason) of the documents that ``decode_split_documents`` cannot
+    turn into rows, with their raw text, for quarantine. An empty ``data``
+    array is no fault."""
+    text_ = unwrap_json_string(F.col(value_col))
+    doc = F.from_json(text_, SPLIT_DOC_SCHEMA)
+    reason = (
+        F.when(text_.isNull(), F.lit("not a JSON string"))
+        .when(doc.isNull() | (doc["columns"].isNull() & doc["data"].isNull()), F.lit("not a split document"))
+        .when(doc["columns"].isNull(), F.lit("no columns"))
+        .when(doc["data"].isNull(), F.lit("no data"))
+    )
+    return lines.select(F.col(value_col).alias("value"), reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
 def feed_time(df: DataFrame, source: str = "current_time", target: str = "transaction_time") -> DataFrame:
     """Rename the feed clock to ``transaction_time``: epoch milliseconds to a
     timestamp (no zone shift), plus its display text with milliseconds."""

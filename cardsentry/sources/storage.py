@@ -3,11 +3,13 @@
 On a cluster every write goes under the shared folder named by
 ``spark.checkpoint.dir`` (read from the session); a machine-local folder
 would vanish with the executor that wrote it. Only when the setting is
-absent (tests, local runs) is a fresh local folder created and registered.
+absent and driver and executors share one machine (tests, local runs) is a
+fresh local folder created and registered; on a cluster that is an error.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,6 +27,8 @@ def shared_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     root = tempfile.mkdtemp(prefix="cardsentry-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir().rstrip("/")

@@ -22,37 +22,46 @@ from cardsentry.functions import dates, scoring
 from cardsentry.operators import features as FE
 from cardsentry.operators import quality as Q
 from cardsentry.operators import store as ST
-from cardsentry.sources.storage import new_location
+from cardsentry.sources.storage import materialize, new_location
 
 DEFAULT_TRIGGER = "20 seconds"  # cadence of the original feed pull
 
 
 def land_batches(df: DataFrame, landing: str, batch_col: str = "batch_id",
-                 batches: Sequence[int] = (1, 2)) -> str:
+                 batches: Sequence[int] | None = None) -> str:
     """Write feed batches to a landing folder, one append per batch, in
-    arrival order (the file source replays them in that order)."""
+    arrival order (the file source replays them in that order). The batches
+    are those that ``df`` holds unless they are named."""
+    if batches is None:
+        batches = [r[0] for r in df.select(batch_col).distinct().orderBy(batch_col).collect()]
     for b in batches:
         df.where(F.col(batch_col) == b).write.mode("append").parquet(landing)
     return landing
 
 
-def read_landed(spark: SparkSession, landing: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Streaming read of landed Parquet files with the landed schema."""
-    schema = spark.read.parquet(landing).schema
+def read_landed(spark: SparkSession, landing: str, max_files_per_trigger: int = 1, schema=None) -> DataFrame:
+    """Streaming read of landed Parquet files; without ``schema``, with that of
+    the files landed so far. ``max_files_per_trigger`` bounds a micro-batch:
+    raise it to catch up on many files."""
+    schema = schema or spark.read.parquet(landing).schema
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
             .parquet(landing))
 
 
 def run(stream: DataFrame, writer: Callable[[DataFrame, int], None], name: str,
-        trigger_available_now: bool = True, output_mode: str = "append") -> StreamingQuery:
+        trigger_available_now: bool = True, output_mode: str = "append",
+        checkpoint: str | None = None) -> StreamingQuery:
     """Start a ``foreachBatch`` query with a checkpoint in the shared folder.
 
+    ``checkpoint`` names the folder of an earlier run to go on from; without
+    it the query starts afresh.
+
     ``trigger_available_now`` processes what has landed and stops (tests,
     catch-up runs); otherwise the query runs on the 20-second cadence.
     """
     spark = stream.sparkSession
     w = (stream.writeStream.foreachBatch(writer).outputMode(output_mode)
-         .option("checkpointLocation", new_location(spark, f"checkpoint_{name}")))
+         .option("checkpointLocation", checkpoint or new_location(spark, f"checkpoint_{name}")))
     w = w.trigger(availableNow=True) if trigger_available_now else w.trigger(processingTime=DEFAULT_TRIGGER)
     q = w.start()
     if trigger_available_now:
@@ -146,23 +155,41 @@ def scored_rows(rows: DataFrame, scorer: Callable[[DataFrame], DataFrame], as_of
 
 def score_and_alert(payments: ST.KeyedTable, predictions: ST.KeyedTable, alerts: ST.KeyedTable,
                     scorer: Callable[[DataFrame], DataFrame], as_of: _dt.date | None = None,
-                    alert_time: _dt.datetime | None = None) -> Callable[[DataFrame, int], None]:
+                    alert_time: _dt.datetime | None = None, quarantine: ST.KeyedTable | None = None,
+                    training: ST.KeyedTable | None = None) -> Callable[[DataFrame, int], None]:
     """Per micro-batch: insert new payments, score them, write predictions and
-    one alert per predicted fraud. All three writes are insert-ignore, so a
-    replay after a failure between two writes completes the set."""
+    one alert per predicted fraud, and the training rows if asked for.
+
+    What is scored is the stored payment of a key that has no prediction yet,
+    so a later duplicate changes nothing, and alerts come from the stored
+    predictions. All writes are insert-ignore: a replay after a failure
+    between two of them completes the set. Invalid rows, and rows whose time
+    cannot be read, go to ``quarantine``.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, _ = Q.split_good_bad(batch)
-        typed = Q.typed_payments(good)
+        good, bad = Q.split_good_bad(batch)
+        timed = F.col("transaction_time").try_cast("timestamp_ntz").isNotNull()
+        if quarantine is not None:
+            untimed = good.where(~timed).withColumn("violations", F.array(F.lit("type:transaction_time")))
+            quarantine.append(bad.unionByName(untimed).withColumn("violations", F.array_join("violations", ",")))
+        typed = Q.typed_payments(good.where(timed))
         payments.insert_ignore(typed)
-        new = ST.first_arrival(typed)
-        s = scored_rows(new, scorer, as_of)
-        pred = s.select(
+        stored = ST.stored_rows(payments.read(), typed, bound=batch)
+        done = predictions.read()
+        todo = stored
+        if done is not None:
+            todo = stored.join(ST.stored_keys(done, typed, bound=batch), "trans_num", "left_anti")
+        s = materialize(scored_rows(todo, scorer, as_of), "scored_batch")  # read by the writer's checks too
+        predictions.insert_ignore(s.select(
             "trans_num", F.col("is_fraud_pred").cast("boolean").alias("is_fraud"), "fraud_probability",
             "risk_level", "confidence",
-        )
-        predictions.insert_ignore(pred, order_cols=())
-        alerts.insert_ignore(ST.alerts_from_scores(s, alert_time), order_cols=())
+        ), order_cols=())
+        known = ST.stored_rows(predictions.read(), typed, bound=batch)
+        alerts.insert_ignore(ST.alerts_from_scores(known, alert_time, label="is_fraud"), order_cols=())
+        if training is not None:
+            feats = FE.clean_merchant(FE.drop_for_training(FE.add_features(stored, as_of=as_of, variant="stream")))
+            training.insert_ignore(feats, order_cols=())
 
     return skip_empty(write)
 

@@ -67,8 +67,23 @@ def test_latest_champion_only(spark):
     assert len(out) == 1 and out[0].champion_run_id == "r2" and out[0].should_deploy is True
 
 
-def test_comparison_failure_uses_gates(spark):
+def test_missing_champion_metrics_count_as_zero(spark):
     rows = [("prod", "Production", None, None, None, True), ("a", None, 0.95, 0.9, 0.9, True),
             ("b", None, 0.5, 0.5, 0.5, False)]
     d = _decide(spark, rows)
+    assert d["a"] == (True, "better performance") and d["b"] == (False, "not better enough")
+    # recall alone is missing: precision and F1 are compared
+    d = _decide(spark, [("prod", "Production", None, 0.99, 0.95, True), ("a", None, 0.95, 0.80, 0.86, True)])
+    assert d["a"] == (False, "not better enough")
+
+
+def test_comparison_failure_uses_gates(spark):
+    rows = [("prod", "Production", 0.9, 0.9, 0.9, True), ("a", None, None, 0.9, 0.9, True), ("b", None, None, 0.9, 0.9, False)]
+    d = _decide(spark, rows)
     assert d["a"] == (True, "comparison failed") and d["b"] == (False, "comparison failed")
+
+
+def test_gates_see_unrounded_metrics(spark):
+    m = spark.createDataFrame([(0.8999996, 0.9, 0.9)], "recall double, precision double, f1_score double")
+    g = EV.gates(m).first()
+    assert g.recall == 0.9 and g.recall_ok is False and g.failures == "recall"

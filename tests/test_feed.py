@@ -24,3 +24,15 @@ def test_encode_decode_roundtrip(spark):
     assert lines.count() == 3  # documents of at most 100 rows
     back = {r.trans_num: r for r in feed.extract_feed(lines).collect()}
     assert len(back) == 250 and back["T9"].amt == 2.25 and back["T9"].merchant == "M0"
+
+
+def test_broken_documents_are_kept_apart(spark):
+    from cardsentry.sources import feed
+
+    import json
+    good = json.dumps(json.dumps({"columns": ["trans_num"], "index": [0], "data": [["T1"]]}))
+    lines = spark.createDataFrame([(good,), (good[:20],), (json.dumps("no document"),), (json.dumps('{"data": [["x"]]}'),),
+                                   (json.dumps('{"columns": ["a"]}'),)], "value string")
+    assert [r.trans_num for r in feed.decode_split_documents(lines).where("trans_num is not null").collect()] == ["T1"]
+    bad = sorted(r.reason for r in feed.broken_documents(lines).collect())
+    assert bad == ["no columns", "no data", "not a JSON string", "not a split document"]

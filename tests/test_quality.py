@@ -47,3 +47,11 @@ def test_table_checks(spark):
     parent = spark.createDataFrame([("T1",)], "trans_num string")
     orph = Q.orphan_counts({("a", "p"): (a, parent)}).first()
     assert orph.n_orphans == 1
+
+
+def test_values_that_do_not_fit_are_violations(spark):
+    rows = [("123456789012.5", "10"), ("NaN", "10"), ("5", "3000000000"), ("5", "10")]
+    df = spark.createDataFrame(rows, "amt string, city_pop string")
+    good, bad = Q.split_good_bad(df)
+    assert good.count() == 1
+    assert sorted(v for r in bad.collect() for v in r.violations) == ["overflow:amt", "overflow:amt", "overflow:city_pop"]

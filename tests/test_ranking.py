@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardsentry.operators.prep import stratified_split
-from cardsentry.operators.ranking import exact_quantiles
+from cardsentry.operators.ranking import exact_quantiles, hash_rank_flag
 
 
 def _data(n, seed, hot=None):
@@ -72,3 +72,16 @@ def test_auto_buckets_bound_the_in_bucket_window():
         b = auto_buckets(widest)
         assert b & (b - 1) == 0 and widest / b <= BUCKET_TARGET_VALUES
     assert auto_buckets(10**15) == MAX_BUCKETS
+
+
+def test_null_group_is_kept(spark):
+    from cardsentry.operators import prep
+
+    rows = [(None if k % 5 == 0 else k % 2, float(k), f"t{k}") for k in range(100)]
+    df = spark.createDataFrame(rows, "label int, v double, key string")
+    split = hash_rank_flag(df, ["label"], F.md5("key"), "key", F.round(F.col("_n") * 0.2), "is_test")
+    assert split.count() == 100 and split.where("label is null and is_test").count() == 4
+    q = {r.label: r.med for r in exact_quantiles(df, ["label"], "v", [0.5], ["med"]).collect()}
+    assert set(q) == {None, 0, 1} and q[None] == 47.5
+    w = prep.with_class_weights(df.withColumnRenamed("label", "is_fraud")).collect()
+    assert len(w) == 100 and {r.weight for r in w if r.is_fraud is None} == {100 / (3 * 20)}

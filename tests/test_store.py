@@ -65,3 +65,43 @@ def test_write_on_conflict_modes(spark):
     assert t.write(b, on_conflict="fail") is False
     assert t.write(b) is True  # ignore: only T2 is new
     assert sorted((r.trans_num, r.p) for r in t.read().collect()) == [("T1", 0.2), ("T2", 0.4)]
+
+
+def test_reopened_table_goes_on(spark):
+    first = ST.KeyedTable.create(spark, "test_reopen", stamp="created_at")
+    a = spark.createDataFrame([("T1", 1, 0, 1.0), ("T2", 1, 1, 2.0)], SCHEMA)
+    assert first.insert_ignore(a) == 2
+    again = ST.KeyedTable(spark, first.path, stamp="created_at")
+    b = spark.createDataFrame([("T2", 2, 0, 9.0), ("T3", 2, 1, 3.0)], SCHEMA)
+    assert again.insert_ignore(b) == 1 and again.insert_ignore(b) == 0
+    rows = {r.trans_num: r for r in again.read().collect()}
+    assert {k: r.amt for k, r in rows.items()} == {"T1": 1.0, "T2": 2.0, "T3": 3.0}
+    assert all(r.created_at is not None for r in rows.values())
+    assert ST.KeyedTable(spark, first.path + "-none").read() is None
+
+
+def test_cascade_leaves_children_without_a_parent_alone(spark):
+    parent = spark.createDataFrame([("T1", "x")], "trans_num string, category string")
+    child = spark.createDataFrame([("T1",), ("T9",)], "trans_num string")
+    _, kids = ST.cascade_delete(parent, {"c": child}, F.col("category") != "error")
+    assert sorted(r.trans_num for r in kids["c"].collect()) == ["T1", "T9"]
+
+
+def test_fallback_folder_is_refused_on_a_cluster():
+    from cardsentry.sources import storage
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError):
+        storage.shared_root(Session())

@@ -44,3 +44,48 @@ def test_empty_micro_batch_is_skipped(spark):
     w(spark.range(0), 0)
     w(spark.range(3), 1)
     assert calls == [1]
+
+
+def _feed_row(i, trans, amt, time="2024-01-10 10:00:00", batch=1, row=0):
+    one = i.payments_feed.where("transaction_time is not null and dob <> ''").limit(1)
+    lit = {"trans_num": trans, "amt": amt, "transaction_time": time}
+    out = one.select(*[F.lit(lit[c]).cast("string").alias(c) if c in lit else F.col(c) for c in one.columns])
+    return out.withColumn("batch_id", F.lit(batch).cast("int")).withColumn("row_idx", F.lit(row).cast("bigint")) \
+        .select(*[F.col(c).cast(one.schema[c].dataType).alias(c) for c in one.columns])
+
+
+def test_conflicting_duplicate_restart_and_untimed_rows(spark):
+    """A stored payment's later duplicate changes neither prediction nor
+    alerts; all objects are rebuilt from paths between the two runs."""
+    i = Inputs(spark, SF)
+    landing, root = new_location(spark, "landing_conflict"), new_location(spark, "conflict_tables")
+    scorer = lambda rows: rows.select(
+        "trans_num", F.when(F.col("amt").cast("double") > 100, 0.9).otherwise(0.1).alias("fraud_probability"))
+
+    def run():
+        names = ("payments", "predictions", "alerts", "quarantine", "training")
+        stamps = {"payments": "created_at", "predictions": "predicted_at", "training": "created_at"}
+        t = {n: ST.KeyedTable(spark, f"{root}/{n}", stamp=stamps.get(n)) for n in names}
+        writer = SS.score_and_alert(t["payments"], t["predictions"], t["alerts"], scorer,
+                                    quarantine=t["quarantine"], training=t["training"])
+        SS.run(SS.read_landed(spark, landing), writer, "conflict", checkpoint=f"{root}/checkpoint")
+        return t
+
+    a = _feed_row(i, "T1", "5").unionByName(_feed_row(i, "T2", "900", row=1))
+    a.unionByName(_feed_row(i, "T3", "7", time="garbage", row=2)).write.mode("append").parquet(landing)
+    run()
+    b = _feed_row(i, "T1", "900", batch=2).unionByName(_feed_row(i, "T4", "1", batch=2, row=1))
+    b.write.mode("append").parquet(landing)
+    t = run()
+    assert {r.trans_num: r.is_fraud for r in t["predictions"].read().collect()} == {"T1": False, "T2": True, "T4": False}
+    assert [r.trans_num for r in t["alerts"].read().collect()] == ["T2"]
+    assert [(r.trans_num, r.violations) for r in t["quarantine"].read().collect()] == [("T3", "type:transaction_time")]
+    assert sorted(r.trans_num for r in t["payments"].read().collect()) == ["T1", "T2", "T4"]
+    assert sorted(r.trans_num for r in t["training"].read().collect()) == ["T1", "T2", "T4"]
+    assert all(r.predicted_at is not None for r in t["predictions"].read().collect())
+
+
+def test_all_landed_batches_are_read(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (7, "c")], "batch_id int, trans_num string")
+    landing = SS.land_batches(rows, new_location(spark, "landing_all"))
+    assert spark.read.parquet(landing).count() == 3
