@@ -38,10 +38,6 @@ UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
-
-
 @dataclass
 class Network:
     """Weights of both directions; gates stand in the order reset, update, new.

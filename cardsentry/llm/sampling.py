@@ -9,7 +9,7 @@ from cardsentry.llm.common import key_hash
 
 
 def fold(doc_id: Column, folds: int) -> Column:
-    """crc32 of the id as text, modulo ``folds``; 0 for a null id's text '~'."""
+    """crc32 of the id as text, modulo ``folds``; a null id counts as the text '~'."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("~")).cast("binary")) % F.lit(folds)
 
 
