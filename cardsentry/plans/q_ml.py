@@ -16,7 +16,7 @@ from cardsentry.operators import model as M
 from cardsentry.operators import prep as P
 from cardsentry.plans import reports as R
 from cardsentry.plans.catalog import Inputs, register
-from cardsentry.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from cardsentry.schemas import ALERT_THRESHOLD, CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from cardsentry.sources.storage import materialize, new_location
 
 _SRC = """(SELECT td.*, CAST(pred.is_fraud AS INTEGER) AS label
@@ -175,12 +175,32 @@ def ml_roundtrip(i: Inputs):
                                          (F.col("p_before") == F.col("p_after")).alias("same"))
 
 
+@register("ml_roundtrip_same", f"SELECT trans_num, true AS same FROM {_TEST} t")
+def ml_roundtrip_same(i: Inputs):
+    """Whether each test row scores the same before saving and after loading."""
+    return ml_roundtrip(i).select("trans_num", "same")
+
+
+@register("ml_score_facts", f"""
+SELECT trans_num, label AS is_fraud, true AS in_range, true AS label_agrees FROM {_TEST} t
+""")
+def ml_score_facts(i: Inputs):
+    """Measured on the forest's scores: the probability lies in [0, 1] and the
+    predicted label is what the threshold makes of it."""
+    p = F.col("fraud_probability")
+    return ml_train_score(i).select(
+        "trans_num", F.col("is_fraud").cast("int").alias("is_fraud"),
+        p.between(0, 1).alias("in_range"),
+        (F.col("is_fraud_pred").cast("int") == (p > ALERT_THRESHOLD).cast("int")).alias("label_agrees"),
+    )
+
+
 @register("ml_model_run")
 def ml_model_run(i: Inputs):
     """The run record: evaluation metrics of the test split, gates and the
     forest parameters (one row of ``model_runs``)."""
     scored = ml_train_score(i)
-    g = EV.gates(EV.metrics(scored, "is_fraud", "is_fraud_pred"))
+    g = EV.gates(EV.metrics(scored, "is_fraud", "is_fraud_pred", decimals=None))
     cfg = M.ForestConfig()
     return g.select(
         F.lit("run_latest").alias("run_id"), "*",

@@ -109,3 +109,17 @@ def stream_score_model(i: Inputs):
                                 alert_time=ALERT_TIME)
     SS.run(SS.read_landed(i.spark, _landed_feed(i)), writer, "score_model")
     return pred.read().select("trans_num", "is_fraud", "fraud_probability", "risk_level", "confidence")
+
+
+@register("stream_score_model_same", f"SELECT trans_num, true AS same FROM {_FIRST_VALID}")
+def stream_score_model_same(i: Inputs):
+    """Whether the stream gave each stored payment the score of a batch job
+    over the same rows and model."""
+    from cardsentry.plans.q_ml import _fitted
+    from cardsentry.plans.q_quality import typed_good
+
+    streamed = stream_score_model(i).select("trans_num", F.col("fraud_probability").alias("streamed"))
+    rows = ST.first_arrival(typed_good(i))
+    batch = SS.scored_rows(rows, SS.model_scorer(_fitted(i)), FIXTURE_AGE_AS_OF)
+    both = batch.select("trans_num", "fraud_probability").join(streamed, "trans_num")
+    return both.select("trans_num", (F.col("fraud_probability") == F.col("streamed")).alias("same"))
