@@ -306,11 +306,28 @@ def with_text(rows: DataFrame, path: str | None = None, ids: str = "ids", out: s
     )
 
 
+def with_round_trip(
+    docs: DataFrame, path: str | None = None, ids: str = "ids", out: str = "decoded", text: str = "text"
+) -> DataFrame:
+    """``with_ids`` and then ``with_text`` on its ids, by one Python worker a
+    task instead of two; nulls, repeated rows and clashes as there."""
+    path = path or vocabulary_path()
+
+    @F.pandas_udf("ids binary, text string")
+    def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        c = codec(path)
+        for t in texts:
+            blobs = c.encode_all([x or "" for x in t])
+            yield pd.DataFrame({"ids": blobs, "text": [c.decode(b) if b else "" for b in blobs]}, dtype=object)
+
+    return docs.select(packed(docs), F.col(text).alias("text")).select("row", both("text").alias("both")).select(
+        *unpacked(docs.columns, {ids: F.col("both.ids"), out: F.col("both.text")})
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
-    encoded = with_ids(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
-    both = with_text(encoded, out="decoded")
-    return both.select(
+    return with_round_trip(read(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

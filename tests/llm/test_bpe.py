@@ -58,4 +58,6 @@ def test_nulls_repeats_clashes_and_empty(docs):
     got = bpe.with_text(bpe.with_ids(table), out="back").collect()
     assert [len(r.ids) // 4 for r in got] == [0, 0, 1, 1, 1] and [r.back for r in got] == ["", "", "hi", "hi", "hi"]
     assert set(got[0].asDict()) >= {"row", "ids", "back", "text"}
-    assert bpe.with_ids(docs([])).collect() == []
+    once = bpe.with_round_trip(table).collect()
+    assert [(r.ids, r.decoded) for r in once] == [(r.ids, r.back) for r in got] and "row" in once[0].asDict()
+    assert bpe.with_ids(docs([])).collect() == [] and bpe.with_round_trip(docs([])).collect() == []
