@@ -52,9 +52,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """BPE: the token ids of every document, and whether they decode to its text."""
-    encoded = bpe.with_ids(docs)
-    decoded = bpe.with_text(encoded, out="decoded")
-    return decoded.select(
+    return bpe.with_round_trip(docs).select(
         *docs.columns,
         "ids",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
