@@ -4,27 +4,34 @@
 2. Each class starts with a list of near ones from a few random splits of its
    label: sign patterns of random directions give leaves of about LEAF classes
    (larger ones are dealt further by hash), and leaves are compared within.
-3. Lists are refined: every class has those that it lists and that list it
+3. Every group that is compared gives its links too, as edges that span the
+   components among its members, so no link found is lost when lists are cut.
+   Links close into components after every round.
+4. Lists are refined: every class has those that it lists and that list it
    compare with each other (a neighbours-of-neighbours join), and each keeps
-   its K best. This repeats until a round finds hardly any new link. Classes
-   that many others list are dealt over several groups of PIECE members.
-4. A list of K links may be saturated, so lists are enlarged to all of their
-   component: the links found close into components, and each component's
-   classes are compared block by block, which counts every link in it.
-   Only counts leave a block, no pairs.
-5. The recall is audited: a bounded sample of queries is compared with every
-   vector. Below the target, steps 2 to 4 go on from new random splits.
+   its K best in its component and its K best outside. So a list that is full
+   of links goes on to what they have not reached. This repeats until two
+   rounds in a row join no components. Classes that many others list are dealt
+   over several groups of PIECE members, differently in each round.
+5. The recall is audited: a bounded sample of queries, one half of them from
+   small components, is compared with every vector, and the mean recall of each
+   half counts. Links that the sample shows are added. Below the target, steps
+   2 to 4 go on from new random splits, and after TRIES of them all vectors of
+   a space are compared, block by block.
+6. Links are counted within components, block by block. Only counts leave a
+   block, no pairs.
 
 Similarities are cosines in double precision throughout.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardsentry.llm.common import key_hash, read
@@ -37,10 +44,13 @@ LEAF = 128
 SPLITS = 4
 PIECE = 64
 BLOCK = 512
-# Queries of the audit, the recall it asks for, and how often it may ask for more.
+# Queries of each half of the audit, the recall it asks for, and how often it
+# may ask for more before everything is compared.
 AUDIT, TARGET, TRIES = 256, 0.97, 4
-# Rounds of refinement at most, and the share of new links that ends them.
-ROUNDS, QUIET = 6, 0.002
+# Rounds of refinement at most, and how many without a new link end them.
+ROUNDS, QUIET = 6, 2
+
+log = logging.getLogger(__name__)
 
 
 def groups_of(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
@@ -82,10 +92,34 @@ def usable(vectors: DataFrame) -> DataFrame:
     )
 
 
+def _joined(close: np.ndarray, comp: np.ndarray) -> np.ndarray:
+    """For each member of a group the place of one that stands for all members
+    it reaches by close pairs and common components."""
+    reach = close | (comp[:, None] == comp)
+    label = np.arange(len(comp))
+    while True:
+        least = np.where(reach, label, len(comp)).min(axis=1)
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least
+
+
+def _spanning(close: np.ndarray, comp: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of components that close pairs of a group join, as edges."""
+    new = np.flatnonzero(comp != comp[root])
+    _, once = np.unique(comp[new], return_index=True)
+    new = new[once]
+    return comp[new], comp[root[new]]
+
+
 def _compare(rows: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """(id, other, sim): each row's ``k`` best in its group that beat ``least``.
+    """(id, other, sim): each row's ``k`` best of its own component in its
+    group that beat ``least_in``, and the ``k`` best of others that beat
+    ``least_out``. Rows without sim are links between components.
 
-    ``rows`` holds the keys, id, v and least; groups are of bounded size.
+    ``rows`` holds the keys, id, comp, v and both limits; groups are of bounded
+    size.
     """
     kind = dict(rows.dtypes)["id"]
     dealt = rows.repartition(*keys).sortWithinPartitions(*keys)
@@ -96,26 +130,35 @@ def _compare(rows: DataFrame, keys: list[str], k: int) -> DataFrame:
             n = len(g)
             if n < 2:
                 continue
-            u, ids, least = units(g["v"]), g["id"].to_numpy(), g["least"].to_numpy()
+            u, ids, comp = units(g["v"]), g["id"].to_numpy(), g["comp"].to_numpy()
             s = u @ u.T
             s[ids[:, None] == ids] = -2
+            root = _joined(s >= THRESHOLD, comp)
+            u, v = _spanning(s >= THRESHOLD, comp, root)
+            held.append((u, v, np.full(len(u), np.nan)))
+            own = root[:, None] == root
             top = min(k, n - 1)
-            at = np.argpartition(-s, top - 1, axis=1)[:, :top]
-            sim = np.take_along_axis(s, at, axis=1)
-            row, col_ = np.nonzero(sim > least[:, None])
-            held.append((ids[row], ids[at[row, col_]], sim[row, col_]))
-            size += len(row)
+            for use, limit in ((own, "least_in"), (~own, "least_out")):
+                part = np.where(use, s, -2)
+                at = np.argpartition(-part, top - 1, axis=1)[:, :top]
+                sim = np.take_along_axis(part, at, axis=1)
+                row, col_ = np.nonzero(sim > g[limit].to_numpy()[:, None])
+                held.append((ids[row], ids[at[row, col_]], sim[row, col_]))
+            size += sum(len(x[0]) for x in held[-3:])
             if size > 50_000:
                 yield pd.DataFrame(dict(zip(("id", "other", "sim"), map(np.concatenate, zip(*held)))))
                 held, size = [], 0
         if held:
             yield pd.DataFrame(dict(zip(("id", "other", "sim"), map(np.concatenate, zip(*held)))))
 
-    return dealt.mapInPandas(run, f"id {kind}, other {kind}, sim double")
+    out = dealt.mapInPandas(run, f"id {kind}, other {kind}, sim double")
+    return out.withColumn("sim", F.nanvl("sim", F.lit(None).cast("double")))
 
 
 def split_leaves(classes: DataFrame, seed: int, splits: int = SPLITS) -> DataFrame:
-    """(split, space, leaf, part, id, v, least): every class in one leaf per split."""
+    """(split, space, leaf, part, id, comp, v, least_in, least_out): every class
+    in one leaf per split. Leaves that are too large are dealt differently in
+    each split."""
     sizes = classes.groupBy("space").agg(F.count("*").alias("n"))
     sized = classes.join(sizes, "space")
 
@@ -139,45 +182,87 @@ def split_leaves(classes: DataFrame, seed: int, splits: int = SPLITS) -> DataFra
     each = each.withColumn("leaf", signs_of("v", "n", "split")).drop("n")
     keys = ["split", "space", "leaf"]
     parts = each.groupBy(*keys).agg(F.ceil(F.count("*") / (2 * LEAF)).alias("parts"))
-    each = each.join(parts, keys).withColumn("part", F.pmod(F.xxhash64("id", F.lit(seed)), F.col("parts")))
-    return each.select(*keys, "part", "id", "v", F.lit(-2.0).alias("least"))
+    each = each.join(parts, keys).withColumn("part", F.pmod(F.xxhash64("id", "split", F.lit(seed)), F.col("parts")))
+    limits = [F.lit(-2.0).alias(c) for c in ("least_in", "least_out")]
+    return each.select(*keys, "part", "id", "comp", "v", *limits)
+
+
+def _tagged(classes: DataFrame, component: DataFrame) -> DataFrame:
+    """``classes`` with the component of each as comp."""
+    return classes.join(component, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
 
 
-def _best(edges: DataFrame) -> DataFrame:
-    order = Window.partitionBy("id").orderBy(F.desc("sim"), "other")
+def _best(edges: DataFrame, component: DataFrame) -> DataFrame:
+    """(id, other, sim, own): the K best of each id in its component, and the
+    K best outside."""
     once = edges.groupBy("id", "other").agg(F.max("sim").alias("sim"))
-    return once.withColumn("r", F.row_number().over(order)).where(F.col("r") <= K).drop("r")
+    ends = component.select(F.col("id").alias("other"), F.col("component").alias("its"))
+    once = once.join(component, "id", "left").join(ends, "other", "left")
+    once = once.withColumn("own", F.coalesce("component", "id") == F.coalesce("its", "other")).drop("component", "its")
+    order = Window.partitionBy("id", "own").orderBy(F.desc("sim"), "other")
+    return once.withColumn("r", F.row_number().over(order)).where(F.col("r") <= K).select("id", "other", "sim", "own")
 
 
-def refine(graph: DataFrame, classes: DataFrame) -> DataFrame:
-    """One round: everyone who lists, or is listed by, the same class compares."""
+def refine(graph: DataFrame, tagged: DataFrame, seed: int) -> DataFrame:
+    """What one round finds: everyone who lists, or is listed by, the same
+    class compares."""
     lists = graph.select(F.col("id").alias("u"), F.col("other").alias("id")).unionByName(
         graph.select(F.col("other").alias("u"), "id")
     )
-    least = graph.groupBy("id").agg(F.when(F.count("*") >= K, F.min("sim")).otherwise(F.lit(-2.0)).alias("least"))
+
+    def limit(mine: Column, name: str) -> Column:
+        full = F.count(F.when(mine, 1)) >= K
+        return F.when(full, F.min(F.when(mine, F.col("sim")))).otherwise(F.lit(-2.0)).alias(name)
+
+    least = graph.groupBy("id").agg(limit(F.col("own"), "least_in"), limit(~F.col("own"), "least_out"))
     crowd = lists.groupBy("u").agg(F.ceil(F.count("*") / PIECE).alias("pieces"))
-    rows = lists.distinct().join(crowd, "u").withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")))
-    rows = rows.select("u", "piece", "id").join(classes.select("id", "v").join(least, "id"), "id")
-    return _best(graph.unionByName(_compare(rows, ["u", "piece"], K)))
+    rows = lists.distinct().join(crowd, "u").withColumn("piece", F.pmod(F.xxhash64("id", "u", F.lit(seed)), F.col("pieces")))
+    known = tagged.select("id", "comp", "v").join(least, "id", "left").fillna(-2.0, ["least_in", "least_out"])
+    return _compare(rows.select("u", "piece", "id").join(known, "id"), ["u", "piece"], K)
+
+
+def _close(component: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The components that known ones and ``links`` (u, v) give."""
+    if component is not None:
+        links = links.unionByName(component.select(F.col("id").alias("u"), F.col("component").alias("v")))
+    return connected_components(links)
+
+
+def _links(found: DataFrame) -> DataFrame:
+    return found.where("sim is null").select(F.col("id").alias("u"), F.col("other").alias("v"))
+
 
+def _blocks(rows: DataFrame, group: str) -> DataFrame:
+    """``rows`` in blocks of about BLOCK of a group, which meet pairwise: i and
+    j are the blocks that meet and mine the row's own."""
+    sizes = rows.groupBy(group).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(sizes, group)
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("i", F.least("mine", "with")).withColumn("j", F.greatest("mine", "with")).drop("with", "blocks")
+    keys = [group, "i", "j"]
+    return rows.repartition(*keys).sortWithinPartitions(*keys)
 
-def _links(graph: DataFrame) -> DataFrame:
-    found = graph.where(F.col("sim") >= THRESHOLD)
-    return found.select(F.least("id", "other").alias("u"), F.greatest("id", "other").alias("v")).distinct()
+
+def all_links(tagged: DataFrame) -> DataFrame:
+    """(u, v): edges that span all components, every pair of a space compared."""
+    kind = dict(tagged.dtypes)["id"]
+    dealt = _blocks(tagged.select("space", "id", "comp", "v"), "space")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in groups_of(batches, ["space", "i", "j"]):
+            u, comp = units(g["v"]), g["comp"].to_numpy()
+            near = u @ u.T >= THRESHOLD
+            yield pd.DataFrame(dict(zip(("u", "v"), _spanning(near, comp, _joined(near, comp)))))
+
+    return dealt.mapInPandas(run, f"u {kind}, v {kind}")
 
 
 def count_links(classes: DataFrame, component: DataFrame) -> DataFrame:
     """(id, n): for each class the vectors of other classes of its component
     that it links with. Blocks of a component meet pairwise."""
-    sizes = component.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = classes.join(component, "id").join(sizes, "component")
-    rows = rows.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select(
-        "component", F.least("mine", "with").alias("i"), F.greatest("mine", "with").alias("j"), "mine", "id", "v", "copies"
-    )
+    dealt = _blocks(classes.join(component, "id").select("component", "id", "v", "copies"), "component")
     keys = ["component", "i", "j"]
-    dealt = rows.repartition(*keys).sortWithinPartitions(*keys)
     kind = dict(classes.dtypes)["id"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,29 +282,41 @@ def count_links(classes: DataFrame, component: DataFrame) -> DataFrame:
     return dealt.mapInPandas(run, f"id {kind}, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def audit(classes: DataFrame, counts: DataFrame) -> float:
-    """Share of the links of a sample of AUDIT classes that ``counts`` holds."""
-    sample = classes.orderBy(key_hash("audit", F.col("id"))).limit(AUDIT).select("id", "space", "v").toPandas()
-    if not len(sample):
-        return 1.0
-    sent = classes.sparkSession.sparkContext.broadcast(
-        {s: (g["id"].to_numpy(), units(g["v"])) for s, g in sample.groupby("space")}
-    )
-    kind = dict(classes.dtypes)["id"]
+def audit(tagged: DataFrame, turn: int) -> tuple[float, DataFrame]:
+    """The mean recall of a sample of queries, and the links it misses (u, v).
+
+    AUDIT queries come from components of at most K + 1 classes (also those
+    that are alone) and AUDIT from larger ones, others in each turn. The recall
+    of a query is the share of the classes it links with that are in its
+    component; that of the worse half counts.
+    """
+    sizes = tagged.groupBy("comp").agg((F.count("*") <= K + 1).alias("small"))
+    queries = tagged.join(sizes, "comp").select("id", "space", "v", "comp", "small")
+    order = key_hash("audit", F.lit(turn), F.col("id"))
+    halves = [queries.where(F.col("small") == x).orderBy(order).limit(AUDIT).toPandas() for x in (True, False)]
+    sample = pd.concat([x for x in halves if len(x)] or halves, ignore_index=True)
+    sent = tagged.sparkSession.sparkContext.broadcast({
+        s: (g["id"].to_numpy(), units(g["v"]), g["comp"].to_numpy(), g["small"].to_numpy(bool)) for s, g in sample.groupby("space")
+    })
+    kind = dict(tagged.dtypes)["id"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for space, g in b.groupby("space"):
                 if space not in sent.value:
                     continue
-                ids, u = sent.value[space]
+                ids, u, mine, small = sent.value[space]
                 near = units(g["v"]) @ u.T >= THRESHOLD
                 near &= g["id"].to_numpy()[:, None] != ids
-                yield pd.DataFrame({"id": ids, "n": g["copies"].to_numpy() @ near})
+                row, at = np.nonzero(near)
+                found = pd.DataFrame({"id": ids[at], "u": mine[at], "v": g["comp"].to_numpy()[row], "small": small[at], "n": 1})
+                yield found.groupby(["id", "u", "v", "small"], as_index=False)["n"].sum()
 
-    true = classes.mapInPandas(run, f"id {kind}, n bigint").groupBy("id").agg(F.sum("n").alias("true"))
-    both = true.join(counts, "id", "left").agg(F.sum("true").alias("t"), F.sum(F.coalesce("n", F.lit(0))).alias("f")).first()
-    return 1.0 if not both["t"] else both["f"] / both["t"]
+    true = tagged.mapInPandas(run, f"id {kind}, u {kind}, v {kind}, small boolean, n bigint")
+    true = materialize(true, "vector-audit")
+    each = true.groupBy("id", "small").agg((F.sum(F.when(F.col("u") == F.col("v"), F.col("n")).otherwise(0)) / F.sum("n")).alias("recall"))
+    means = [r["recall"] for r in each.groupBy("small").agg(F.avg("recall").alias("recall")).collect()]
+    return min(means, default=1.0), true.where("u <> v").select("u", "v").distinct()
 
 
 def near_vectors(vectors: DataFrame) -> DataFrame:
@@ -237,21 +334,34 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     good = usable(vectors.where("vec_id is not null"))
     grouped = good.groupBy("space", "v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     classes = materialize(grouped, "vector-classes")
-    graph = None
+    component, graph = None, None
     for turn in range(TRIES):
-        fresh = _compare(split_leaves(classes, seed=turn), ["split", "space", "leaf", "part"], K)
-        graph = materialize(_best(fresh if graph is None else graph.unionByName(fresh)), "vector-graph")
-        n_links = -1
-        for _ in range(ROUNDS):
-            graph = materialize(refine(graph, classes), "vector-graph")
-            now = _links(graph).count()
-            if now - n_links <= QUIET * now and n_links >= 0:
+        tagged = classes.withColumn("comp", F.col("id")) if component is None else _tagged(classes, component)
+        found = _compare(split_leaves(tagged, seed=turn), ["split", "space", "leaf", "part"], K)
+        quiet = 0
+        for round_ in range(ROUNDS + 1):
+            found = materialize(found, "vector-found")
+            links = _links(found)
+            quiet = quiet + 1 if links.isEmpty() else 0
+            if component is None or not quiet:
+                component = _close(component, links)
+            edges = found.where("sim is not null")
+            if graph is not None:
+                edges = edges.unionByName(graph.drop("own"))
+            graph = materialize(_best(edges, component), "vector-graph")
+            if round_ == ROUNDS or round_ and quiet >= QUIET:
                 break
-            n_links = now
-        component = connected_components(_links(graph))
-        counts = materialize(count_links(classes, component), "vector-links")
-        if audit(classes, counts) >= TARGET:
+            found = refine(graph, _tagged(classes, component), turn * ROUNDS + round_)
+        recall, missed = audit(_tagged(classes, component), turn)
+        log.info("turn %d: mean recall %.4f of the audit's worse half", turn, recall)
+        if not missed.isEmpty():
+            component = _close(component, missed)
+        if recall >= TARGET:
             break
+    else:
+        log.warning("mean recall below %.2f after %d turns: comparing all vectors", TARGET, TRIES)
+        component = _close(component, all_links(_tagged(classes, component)))
+    counts = materialize(count_links(classes, component), "vector-links")
     rows = good.select("vec_id", "space", "v").join(classes, ["space", "v"])
     rows = rows.join(component, "id", "left").join(counts, "id", "left")
     linked = rows.select(

@@ -66,3 +66,26 @@ def test_repeated_and_missing_ids_clashes_and_empty(spark):
 def test_groups_of_sorted_batches():
     batches = [pd.DataFrame({"k": [1, 1, 2]}), pd.DataFrame({"k": []}), pd.DataFrame({"k": [2, 2, 3]}), pd.DataFrame({"k": [4]})]
     assert [g["k"].tolist() for g in N.groups_of(iter(batches), ["k"])] == [[1, 1], [2, 2, 2], [3], [4]]
+
+
+def nested(rng, groups, members, first, label):
+    """Sub-groups whose members are much closer to each other than to those of
+    other sub-groups, but link with all of them."""
+    base = rng.normal(size=24)
+    base /= np.linalg.norm(base)
+    rows = []
+    for _ in range(groups):
+        own = rng.normal(size=24)
+        own = base + 0.08 * own / np.linalg.norm(own)
+        rows += [(first + len(rows) + i, own * (1 + i) + rng.normal(size=24) * 1e-4, label) for i in range(members)]
+    return rows
+
+
+def test_sub_groups_of_more_than_k_copies_stay_together(spark, monkeypatch):
+    monkeypatch.setattr(N, "LEAF", 16)
+    rng = np.random.default_rng(5)
+    rows = nested(rng, 2, 7, 100, 0) + nested(rng, 50, 8, 1000, 1) + [(5000 + i, rng.normal(size=24), 1) for i in range(200)]
+    want = truth(rows)
+    assert {want[i][1] for i in range(100, 114)} == {100} and {want[i][1] for i in range(1000, 1400)} == {1000}
+    got = {r.vec_id: (r.n_links, r.component_id) for r in N.near_vectors(table(spark, rows)).collect()}
+    assert got == want
