@@ -89,3 +89,25 @@ def test_sub_groups_of_more_than_k_copies_stay_together(spark, monkeypatch):
     assert {want[i][1] for i in range(100, 114)} == {100} and {want[i][1] for i in range(1000, 1400)} == {1000}
     got = {r.vec_id: (r.n_links, r.component_id) for r in N.near_vectors(table(spark, rows)).collect()}
     assert got == want
+
+
+def test_a_search_that_finds_little_is_completed(spark, monkeypatch):
+    for name, x in (("LEAF", 2), ("ROUNDS", 0), ("TRIES", 1), ("BLOCK", 64)):
+        monkeypatch.setattr(N, name, x)
+    leaves = N.split_leaves
+    monkeypatch.setattr(N, "split_leaves", lambda classes, seed: leaves(classes, seed, splits=1))
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=24), 0) for i in range(300)]
+    rows += [(300 + i, rows[i][1] + rng.normal(size=24) * 0.1, 0) for i in range(300)]
+    rows += [(1000 + i, rows[0][1] * (2 + i), 0) for i in range(200)]  # a hot group does not hide lost pairs
+    got = {r.vec_id: (r.n_links, r.component_id) for r in N.near_vectors(table(spark, rows)).collect()}
+    assert got == truth(rows)
+
+
+def test_large_leaves_are_dealt_differently_in_each_split(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in np.eye(24)[0] + rng.normal(size=24) * 1e-6], i, "0:24") for i in range(900)]
+    classes = spark.createDataFrame(rows, "id bigint, v array<double>, comp bigint, space string")
+    part = {(r.split, r.id): (r.leaf, r.part) for r in N.split_leaves(classes, seed=0).collect()}
+    met = [{(a, b) for a in range(100) for b in range(a) if part[s, a] == part[s, b]} for s in (0, 1)]
+    assert met[0] and met[1] and met[0] != met[1]
