@@ -9,7 +9,10 @@
    A bucket proposes a star: every member is paired with one centre, so m
    members give m - 1 pairs. The first round takes the smallest id as centre.
    Later rounds look only at buckets whose members are still in several
-   components and take another centre by hash, as long as new links appear.
+   components and take another centre by hash, ROUNDS times at
+   most. Members of buckets that are then still mixed are compared exactly, by a
+   prefix-filter join: two sets that are near enough share a shingle early in
+   both of them, in an order that puts rare shingles first.
 4. Each proposed pair is confirmed on the full sets. Members of a hot centre
    are dealt over several tasks, the centre's text with them.
 5. Links between classes are closed into components.
@@ -39,6 +42,12 @@ BINS_LOG = 8
 BAND_ROWS = 8
 # Members of a centre that one group of the confirming step takes.
 DEALT = 64
+# Counters that order shingles by how common they are (a power of two; shared
+# counters cost selectivity, not results), and ratio of set sizes of a class.
+COUNTERS_LOG = 20
+STEP = 1.05
+# Rounds of further centres before mixed buckets are compared exactly.
+ROUNDS = 2
 
 
 @dataclass(frozen=True)
@@ -153,6 +162,81 @@ def confirm(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
     return rows.mapInPandas(run, f"u {kind}, v {kind}")
 
 
+def _commonness(texts: DataFrame, near: Near) -> np.ndarray:
+    """How many sets hold a shingle of each counter."""
+    words, shift = near.words, np.uint64(64 - COUNTERS_LOG)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(1 << COUNTERS_LOG, np.int64)
+        for b in batches:
+            for s in doc_shingles(b["text"], words):
+                np.add.at(total, (s >> shift).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"at": at, "n": total[at]})
+
+    out = np.zeros(1 << COUNTERS_LOG, np.int64)
+    counted = texts.mapInPandas(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    out[counted["at"].to_numpy()] = counted["n"].to_numpy()
+    return out
+
+
+def prefix_pairs(texts: DataFrame, near: Near) -> DataFrame:
+    """The pairs (a, c), a > c, of ``texts`` (id, comp, text) in different
+    components that may be similar enough; no pair that is gets lost.
+
+    Sets of sizes m <= n that are share at least percent * (m + n) / (100 +
+    percent) shingles, so in any common order their first common shingle leaves
+    that many in both. Each set gives its prefixes as the smaller set, under its
+    size class, and as the larger one, under each class that it may meet. Under
+    a key all rows meet those outside the key's largest component, so a large
+    group of linked sets does not meet itself.
+    """
+    words, percent = near.words, near.percent
+    sent = texts.sparkSession.sparkContext.broadcast(_commonness(texts, near))
+    shift = np.uint64(64 - COUNTERS_LOG)
+    kinds = dict(texts.dtypes)
+
+    def level(n: int) -> int:
+        return int(np.log(n) / np.log(STEP))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            held, rows = [], 0
+            for i, (s, doc, comp) in enumerate(zip(doc_shingles(b["text"], words), b["id"], b["comp"])):
+                n = len(s)
+                s = s[np.lexsort((s, sent.value[(s >> shift).astype(np.int64)]))].view(np.int64)
+                least = -(-percent * n // 100)
+                roles = [(False, level(n), n)]
+                # the smallest size of a class, taken one lower against rounding
+                roles += [(True, g, max(least, int(STEP**g) - 1)) for g in range(level(least), level(n) + 1)]
+                for larger, g, m in roles:
+                    take = n - -(-percent * (m + n) // (100 + percent)) + 1
+                    at = np.arange(min(n, max(take, 0)))
+                    held.append(pd.DataFrame({"token": s[at], "g": g, "larger": larger, "id": doc, "comp": comp, "n": n, "pos": at}))
+                    rows += len(at)
+                if rows > 50_000:
+                    yield pd.concat(held, ignore_index=True)
+                    held, rows = [], 0
+            if held:
+                yield pd.concat(held, ignore_index=True)
+
+    schema = f"token bigint, g int, larger boolean, id {kinds['id']}, comp {kinds['comp']}, n bigint, pos bigint"
+    rows = materialize(texts.select("id", "comp", "text").mapInPandas(run, schema), "near-prefixes")
+    of = rows.groupBy("token", "g", "comp").agg(F.count("*").alias("k"))
+    most = of.groupBy("token", "g").agg(F.max_by("comp", "k").alias("main"), F.count("*").alias("comps")).where("comps > 1")
+    rows = rows.join(most.drop("comps"), ["token", "g"])
+
+    def side(which: str, name: str) -> DataFrame:
+        return rows.where(which).select("token", "g", *[F.col(c).alias(f"{name}_{c}") for c in ("id", "comp", "n", "pos")])
+
+    both = side("not larger and comp <> main", "x").join(side("larger", "y"), ["token", "g"]).unionByName(
+        side("not larger and comp = main", "x").join(side("larger and comp <> main", "y"), ["token", "g"])
+    )
+    enough = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos")) * (100 + percent) >= percent * (F.col("x_n") + F.col("y_n"))
+    both = both.where((F.col("x_comp") != F.col("y_comp")) & (F.col("x_n") <= F.col("y_n")) & enough)
+    return both.select(F.greatest("x_id", "y_id").alias("a"), F.least("x_id", "y_id").alias("c")).distinct()
+
+
 def near_components(docs: DataFrame, near: Near = Near()) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``.
 
@@ -183,7 +267,7 @@ def near_components(docs: DataFrame, near: Near = Near()) -> DataFrame:
     links = materialize(confirm(pairs, texts, near), "near-links")
     component = connected_components(links)
     turn = 0
-    while True:
+    while turn < ROUNDS:
         turn += 1
         labelled = buckets.drop("c").join(component.withColumnRenamed("component", "comp"), "id", "left")
         labelled = labelled.withColumn("comp", F.coalesce("comp", "id"))
@@ -194,13 +278,21 @@ def near_components(docs: DataFrame, near: Near = Near()) -> DataFrame:
         fresh = labelled.join(mixed.select("band", "key", "m"), ["band", "key"]).where("comp <> m.comp")
         fresh = fresh.select(F.greatest("id", "m.id").alias("a"), F.least("id", "m.id").alias("c")).distinct()
         fresh = materialize(fresh.join(pairs, ["a", "c"], "left_anti"), "near-pairs")
-        if fresh.isEmpty():
-            break
         found = materialize(confirm(fresh, texts, near), "near-links")
         if found.isEmpty():
             break
         pairs, links = pairs.unionByName(fresh), links.unionByName(found)
         component = connected_components(links)
+    # the members of buckets that are mixed now
+    labelled = buckets.drop("c").join(component.withColumnRenamed("component", "comp"), "id", "left")
+    labelled = labelled.withColumn("comp", F.coalesce("comp", "id"))
+    mixed = labelled.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    left = labelled.join(mixed.select("band", "key"), ["band", "key"]).select("id", "comp").distinct()
+    left = materialize(texts.join(left, "id"), "near-mixed")
+    if not left.isEmpty():
+        more = materialize(prefix_pairs(left, near).join(pairs, ["a", "c"], "left_anti"), "near-pairs")
+        links = links.unionByName(materialize(confirm(more, texts, near), "near-links"))
+        component = connected_components(links)
     return members.join(component, "id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "id", "doc_id").alias("component_id")
     )

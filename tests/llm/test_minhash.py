@@ -79,6 +79,26 @@ def test_a_large_group_of_near_copies(docs):
     assert {r.component_id for r in out.values()} == {701}
 
 
+def test_pairs_of_one_template_far_from_every_centre(docs):
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(400)]
+    texts = {}
+    for i in range(100):  # two texts of a pair differ from all others in the same words
+        w = list(base)
+        for j in rng.sample(range(0, 400, 4), 3):
+            w[j] = f"own{i}x{j}"
+        for k in range(2):
+            v = list(w)
+            for j in rng.sample(range(2, 400, 4), 5):
+                v[j] = f"new{i}x{k}x{j}"
+            texts[2 * i + k] = " ".join(v)
+    near = M.Near(3, 85)
+    want = truth(texts, near)
+    assert 80 < len({c for _, c in want.values()})
+    out = rows_of(M.near_components(docs(texts.items()), near))
+    assert {i: (r.n_shingles, r.component_id) for i, r in out.items()} == want
+
+
 def test_repeated_and_missing_ids_clashes_and_empty(docs):
     t = " ".join(f"w{i}" for i in range(30))
     table = docs([(5, t), (5, t), (None, t), (3, t + " x"), (7, None)])
