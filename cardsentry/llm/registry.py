@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cardsentry.llm import (
-    bpe, html_text, language, minhash, mixing, neighbours, quality, secrets, suffix, toxicity,
+    bpe, html_text, language, merkle, minhash, mixing, neighbours, quality, secrets, suffix, toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,9 +21,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": minhash.op8_minhash,
     "op9_quality": quality.op9_quality,
     "op10_neighbours": neighbours.op10_neighbours,
+    "op11_manifest": merkle.op11_manifest,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_mix": mixing.OP2_SQL,
     "op6_secrets": secrets.OP6_SQL,
     "op9_quality": quality.OP9_SQL,
+    "op11_manifest": merkle.OP11_SQL,
 }
