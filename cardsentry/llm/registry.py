@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cardsentry.llm import (
-    bpe, html_text, language, merkle, minhash, mixing, neighbours, quality, secrets, suffix, toxicity,
+    bpe, decontaminate, html_text, language, merkle, minhash, mixing, neighbours, pivots, quality, secrets, suffix,
+    toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,10 +23,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": quality.op9_quality,
     "op10_neighbours": neighbours.op10_neighbours,
     "op11_manifest": merkle.op11_manifest,
+    "op12_contamination": decontaminate.op12_contamination,
+    "op13_clusters": pivots.op13_clusters,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_mix": mixing.OP2_SQL,
     "op6_secrets": secrets.OP6_SQL,
     "op9_quality": quality.OP9_SQL,
     "op11_manifest": merkle.OP11_SQL,
+    "op12_contamination": decontaminate.OP12_SQL,
+    "op13_clusters": pivots.OP13_SQL,
 }
