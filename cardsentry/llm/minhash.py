@@ -4,18 +4,18 @@
    of a hash choose a bin, the smallest hash of a bin is its value. Empty bins
    borrow from a bin that an optimal densification finds: bin and attempt
    number are hashed until a filled bin is hit, alike for all documents.
-2. Documents with equal sets become one class, represented by the smallest id.
-3. Bins are grouped into bands; classes that agree in a band share a bucket.
-   A bucket proposes a star: every member is paired with one centre, so m
-   members give m - 1 pairs. The first round takes the smallest id as centre.
-   Later rounds look only at buckets whose members are still in several
-   components and take another centre by hash, ROUNDS times at
-   most. Members of buckets that are then still mixed are compared exactly, by a
-   prefix-filter join: two sets that are near enough share a shingle early in
-   both of them, in an order that puts rare shingles first.
+2. Documents with equal sets become one class with a number of its own and one
+   of their texts, so rows that share an id are told apart.
+3. Bins are grouped into bands, of a size that suits the similarity asked for;
+   classes that agree in a band share a bucket. A bucket proposes a star: every
+   member is paired with the smallest class, so m members give m - 1 pairs.
 4. Each proposed pair is confirmed on the full sets. Members of a hot centre
-   are dealt over several tasks, the centre's text with them.
-5. Links between classes are closed into components.
+   are dealt over several tasks, the centre's text with them. The links are
+   closed into components.
+5. Members of buckets that are then still in several components are compared
+   exactly, by a prefix-filter join: two sets that are near enough share a
+   shingle early in both of them, in an order that puts rare shingles first.
+   Links found there join whole components.
 
 Sets are compared in Arrow batches of a sorted partition, a centre at a time,
 so memory holds one centre's set and one batch.
@@ -33,21 +33,22 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.llm.common import read
+from cardsentry.llm.common import WORD, col, packed, read, unpacked
 from cardsentry.llm.components import connected_components
 from cardsentry.llm.textwords import doc_shingles
 from cardsentry.sources.storage import materialize
 
 BINS_LOG = 8
+# Bins of a band at most, and how many pairs at the threshold may share no band.
 BAND_ROWS = 8
+MISSED = 1e-4
 # Members of a centre that one group of the confirming step takes.
 DEALT = 64
-# Counters that order shingles by how common they are (a power of two; shared
-# counters cost selectivity, not results), and ratio of set sizes of a class.
-COUNTERS_LOG = 20
+# Logarithms of the least and largest number of counters that order shingles by
+# how common they are (shared counters cost selectivity, not results), counters
+# that are put together at a time, and ratio of set sizes of a class.
+LEAST_COUNTERS, MOST_COUNTERS, COUNTERS_TOGETHER = 12, 24, 12
 STEP = 1.05
-# Rounds of further centres before mixed buckets are compared exactly.
-ROUNDS = 2
 
 
 @dataclass(frozen=True)
@@ -58,6 +59,13 @@ class Near:
     words: int = 5
     percent: int = 80
 
+    @property
+    def band_rows(self) -> int:
+        """The most bins of a band with which enough pairs at the threshold
+        share one."""
+        fits = [r for r in range(1, BAND_ROWS + 1) if (1 - (self.percent / 100) ** r) ** ((1 << BINS_LOG) // r) < MISSED]
+        return max(fits, default=1)
+
 
 @lru_cache(maxsize=2)
 def _attempts(bins: int, rounds: int) -> np.ndarray:
@@ -97,7 +105,8 @@ def sketch(sets: list[np.ndarray], bins_log: int = BINS_LOG) -> np.ndarray:
 def band_keys(values: np.ndarray, band_rows: int = BAND_ROWS) -> np.ndarray:
     """One 64-bit key for each band of a row of bin values."""
     n, bins = values.shape
-    parts = values.reshape(n, bins // band_rows, band_rows)
+    bands = bins // band_rows
+    parts = values[:, : bands * band_rows].reshape(n, bands, band_rows)
     key = np.zeros(parts.shape[:2], np.uint64)
     for i in range(band_rows):
         key = (key ^ parts[:, :, i]) * np.uint64(0x9FB21C651E98DF25)
@@ -106,24 +115,28 @@ def band_keys(values: np.ndarray, band_rows: int = BAND_ROWS) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, near: Near) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands) of every document; digest and bands
-    are null for texts without words."""
-    words = near.words
+    """(doc_id, text_hash, n_shingles, digest, bands) of every row; digest and
+    bands are null for texts without words."""
+    words, band_rows = near.words, near.band_rows
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             sets = doc_shingles(b["text"], words)
             some = [s for s in sets if len(s)]
-            keys = iter(band_keys(sketch(some)).view(np.int64)) if some else iter(())
+            keys = iter(band_keys(sketch(some), band_rows).view(np.int64)) if some else iter(())
             yield pd.DataFrame({
-                "doc_id": b["doc_id"],
+                "doc": b["doc"],
+                "text_hash": b["text_hash"],
                 "n_shingles": [len(s) for s in sets],
                 "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                 "bands": [next(keys) if len(s) else None for s in sets],
             })
 
-    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles bigint, digest binary, bands array<bigint>"
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    # the id goes as text: pandas holds no whole numbers beside nulls
+    rows = docs.select(col("doc_id").cast("string").alias("doc"), F.xxhash64(col("text")).alias("text_hash"), col("text").alias("text"))
+    signed = rows.mapInPandas(run, "doc string, text_hash bigint, n_shingles bigint, digest binary, bands array<bigint>")
+    doc_id = F.col("doc").cast(dict(docs.dtypes)["doc_id"]).alias("doc_id")
+    return signed.select(doc_id, "text_hash", "n_shingles", "digest", "bands")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
@@ -162,26 +175,32 @@ def confirm(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
     return rows.mapInPandas(run, f"u {kind}, v {kind}")
 
 
-def _commonness(texts: DataFrame, near: Near) -> np.ndarray:
-    """How many sets hold a shingle of each counter."""
-    words, shift = near.words, np.uint64(64 - COUNTERS_LOG)
+def _commonness(texts: DataFrame, near: Near, log: int) -> np.ndarray:
+    """How many sets hold a shingle of each of 2 ** ``log`` counters, as eight
+    levels for each doubling, a byte each: the order is all that is needed."""
+    words, shift = near.words, np.uint64(64 - log)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << COUNTERS_LOG, np.int64)
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for s in doc_shingles(b["text"], words):
-                np.add.at(total, (s >> shift).astype(np.int64), 1)
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"at": at, "n": total[at]})
-
-    out = np.zeros(1 << COUNTERS_LOG, np.int64)
-    counted = texts.mapInPandas(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    out[counted["at"].to_numpy()] = counted["n"].to_numpy()
+            held = [s >> shift for s in doc_shingles(b["text"], words)]
+            at, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+            yield pd.DataFrame({"at": at.astype(np.int64), "n": n})
+
+    def levels(part: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros(1 << COUNTERS_TOGETHER, np.uint8)
+        out[part["at"] & ((1 << COUNTERS_TOGETHER) - 1)] = np.minimum(8 * np.log2(part["n"]) + 1, 255)
+        return pd.DataFrame({"part": [part["at"].iloc[0] >> COUNTERS_TOGETHER], "levels": [out.tobytes()]})
+
+    counted = texts.select("text").mapInPandas(count, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
+    parts = counted.groupBy(F.shiftright("at", COUNTERS_TOGETHER)).applyInPandas(levels, "part bigint, levels binary")
+    out = np.zeros((1 << log) >> COUNTERS_TOGETHER << COUNTERS_TOGETHER, np.uint8)
+    for part, block in parts.toLocalIterator():
+        out[part << COUNTERS_TOGETHER : (part + 1) << COUNTERS_TOGETHER] = np.frombuffer(block, np.uint8)
     return out
 
 
 def prefix_pairs(texts: DataFrame, near: Near) -> DataFrame:
-    """The pairs (a, c), a > c, of ``texts`` (id, comp, text) in different
+    """The pairs (a, c), a > c, of ``texts`` (id, comp, n, text) in different
     components that may be similar enough; no pair that is gets lost.
 
     Sets of sizes m <= n that are share at least percent * (m + n) / (100 +
@@ -192,8 +211,10 @@ def prefix_pairs(texts: DataFrame, near: Near) -> DataFrame:
     group of linked sets does not meet itself.
     """
     words, percent = near.words, near.percent
-    sent = texts.sparkSession.sparkContext.broadcast(_commonness(texts, near))
-    shift = np.uint64(64 - COUNTERS_LOG)
+    total = texts.agg(F.sum("n")).first()[0] or 1
+    log = min(max(int(total).bit_length(), LEAST_COUNTERS), MOST_COUNTERS)
+    sent = texts.sparkSession.sparkContext.broadcast(_commonness(texts, near, log))
+    shift = np.uint64(64 - log)
     kinds = dict(texts.dtypes)
 
     def level(n: int) -> int:
@@ -222,6 +243,7 @@ def prefix_pairs(texts: DataFrame, near: Near) -> DataFrame:
 
     schema = f"token bigint, g int, larger boolean, id {kinds['id']}, comp {kinds['comp']}, n bigint, pos bigint"
     rows = materialize(texts.select("id", "comp", "text").mapInPandas(run, schema), "near-prefixes")
+    sent.unpersist()
     of = rows.groupBy("token", "g", "comp").agg(F.count("*").alias("k"))
     most = of.groupBy("token", "g").agg(F.max_by("comp", "k").alias("main"), F.count("*").alias("comps")).where("comps > 1")
     rows = rows.join(most.drop("comps"), ["token", "g"])
@@ -237,70 +259,88 @@ def prefix_pairs(texts: DataFrame, near: Near) -> DataFrame:
     return both.select(F.greatest("x_id", "y_id").alias("a"), F.least("x_id", "y_id").alias("c")).distinct()
 
 
-def near_components(docs: DataFrame, near: Near = Near()) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``.
-
-    ``docs`` needs doc_id and text; other columns are ignored. component_id is
-    the smallest doc_id that links reach. Texts that are null, empty or hold
-    no word are linked with nothing. Rows with a null doc_id form no links
-    and get a null component. Rows that repeat an id count as one document
-    per row; their rows get the same component if their texts are linked. An
-    empty table gives an empty table.
-    """
-    signed = materialize(signatures(docs, near), "near-signatures")
-    usable = signed.where("digest is not null and doc_id is not null")
-    # the smallest id stands for a class, with its bands
-    classes = usable.groupBy("digest").agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands"))
-    classes = materialize(classes, "near-classes")
-    members = signed.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "id"), "digest", "left")
-    repeated = repeats_ids(signed)
-    # two texts under one id share its component
-    heads = classes.dropDuplicates(["id"]) if repeated else classes
-    banded = heads.select("id", F.posexplode("bands").alias("band", "key"))
+def _labelled(rows: DataFrame, component: DataFrame) -> DataFrame:
+    """``rows`` with the component ``comp`` of their ``id``, its own if it has no link."""
+    found = rows.join(component.withColumnRenamed("component", "comp"), "id", "left")
+    return found.withColumn("comp", F.coalesce("comp", "id"))
+
+
+def _class_components(classes: DataFrame, docs: DataFrame, repeated: bool, near: Near) -> DataFrame:
+    """(id, comp) of every class of ``classes`` (id, doc_id, text_hash, n, bands)."""
+    banded = classes.select("id", F.posexplode("bands").alias("band", "key"))
     centres = banded.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("id").alias("c")).where("n > 1")
     buckets = materialize(banded.join(centres.drop("n"), ["band", "key"]), "near-buckets")
-    wanted = buckets.select("id").distinct()
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi")
+    wanted = classes.join(buckets.select("id").distinct(), "id", "left_semi").select("id", "doc_id", "text_hash", "n")
+    texts = docs.select(col("doc_id").alias("doc_id"), F.xxhash64(col("text")).alias("text_hash"), col("text").alias("text"))
+    texts = texts.join(wanted, ["doc_id", "text_hash"]).select("id", "n", "text")
     texts = materialize(texts.dropDuplicates(["id"]) if repeated else texts, "near-texts")
 
     pairs = materialize(buckets.where("id <> c").select(F.col("id").alias("a"), "c").distinct(), "near-pairs")
-    links = materialize(confirm(pairs, texts, near), "near-links")
+    links = materialize(confirm(pairs, texts.drop("n"), near), "near-links")
     component = connected_components(links)
-    turn = 0
-    while turn < ROUNDS:
-        turn += 1
-        labelled = buckets.drop("c").join(component.withColumnRenamed("component", "comp"), "id", "left")
-        labelled = labelled.withColumn("comp", F.coalesce("comp", "id"))
-        centre = F.min_by(F.struct("id", "comp"), F.xxhash64("id", "band", F.lit(turn)))
-        mixed = labelled.groupBy("band", "key").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"), centre.alias("m")
-        ).where("lo < hi")
-        fresh = labelled.join(mixed.select("band", "key", "m"), ["band", "key"]).where("comp <> m.comp")
-        fresh = fresh.select(F.greatest("id", "m.id").alias("a"), F.least("id", "m.id").alias("c")).distinct()
-        fresh = materialize(fresh.join(pairs, ["a", "c"], "left_anti"), "near-pairs")
-        found = materialize(confirm(fresh, texts, near), "near-links")
-        if found.isEmpty():
-            break
-        pairs, links = pairs.unionByName(fresh), links.unionByName(found)
-        component = connected_components(links)
-    # the members of buckets that are mixed now
-    labelled = buckets.drop("c").join(component.withColumnRenamed("component", "comp"), "id", "left")
-    labelled = labelled.withColumn("comp", F.coalesce("comp", "id"))
+    # the members of buckets that are still in several components
+    labelled = _labelled(buckets.drop("c"), component)
     mixed = labelled.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
     left = labelled.join(mixed.select("band", "key"), ["band", "key"]).select("id", "comp").distinct()
     left = materialize(texts.join(left, "id"), "near-mixed")
-    if not left.isEmpty():
-        more = materialize(prefix_pairs(left, near).join(pairs, ["a", "c"], "left_anti"), "near-pairs")
-        links = links.unionByName(materialize(confirm(more, texts, near), "near-links"))
-        component = connected_components(links)
-    return members.join(component, "id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "id", "doc_id").alias("component_id")
-    )
+    more = materialize(prefix_pairs(left, near).join(pairs, ["a", "c"], "left_anti"), "near-pairs")
+    found = confirm(more, texts.drop("n"), near)
+    comps = left.select("id", "comp")
+    joined = found.join(comps.toDF("u", "u_comp"), "u").join(comps.toDF("v", "v_comp"), "v")
+    over = connected_components(joined.select(F.col("u_comp").alias("u"), F.col("v_comp").alias("v")))
+    first = _labelled(classes.select("id"), component)
+    return first.join(over.toDF("comp", "joined"), "comp", "left").select("id", F.coalesce("joined", "comp").alias("comp"))
+
+
+def near_groups(docs: DataFrame, near: Near = Near()) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, first) of every row of ``docs``.
+
+    ``docs`` needs doc_id and text; other columns are ignored. Every row is a
+    document, also where ids repeat; ``text_hash`` (xxhash64) tells the texts of
+    an id apart. component_id is the smallest doc_id of the documents that links
+    reach; ``first`` holds for the component's document with that id, the one of
+    smallest text_hash if several have it, and for rows that repeat it. Texts
+    that are null, empty or hold no word are linked with nothing, and first. Rows
+    with a null doc_id form no links and have a null component. An empty table
+    gives an empty table.
+    """
+    signed = materialize(signatures(docs, near), "near-signatures")
+    usable = signed.where("digest is not null and doc_id is not null")
+    repeated = not signed.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).isEmpty()
+    one = F.struct("doc_id", "text_hash")
+    classes = usable.groupBy("digest").agg(
+        F.min(one).alias("one"), F.min_by("bands", one).alias("bands"), F.first("n_shingles").alias("n")
+    ).select(F.monotonically_increasing_id().alias("id"), "digest", "one.*", "n", "bands")
+    classes = materialize(classes, "near-classes")
+    comps = _class_components(classes, docs, repeated, near)
+    placed = classes.select("id", "digest", one.alias("one")).join(comps, "id")
+    heads = placed.groupBy("comp").agg(F.min("one").alias("head"))
+    placed = placed.join(heads, "comp").select("digest", "head")
+    found = signed.select("doc_id", "text_hash", "n_shingles", "digest").join(placed, "digest", "left")
+    return found.select(
+        "doc_id", "text_hash", "n_shingles", F.coalesce("head.doc_id", "doc_id").alias("component_id"),
+        F.coalesce(F.col("head") == one, F.lit(True)).alias("first"),
+    ).withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
 
 
-def repeats_ids(docs: DataFrame) -> bool:
-    """Whether any id stands on several rows."""
-    return not docs.groupBy("doc_id").count().where("count > 1").limit(1).isEmpty()
+def near_components(docs: DataFrame, near: Near = Near()) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row; see ``near_groups``."""
+    return near_groups(docs, near).select("doc_id", "n_shingles", "component_id")
+
+
+def first_of_groups(docs: DataFrame, near: Near = Near()) -> DataFrame:
+    """The rows of ``docs`` without near copies of others: of each group the
+    document with the smallest id, once if its row is repeated. Texts without
+    words and rows without an id are in no group and all stay."""
+    groups = materialize(near_groups(docs, near), "near-groups")
+    key = [col("doc_id").alias("key_id"), F.xxhash64(col("text")).alias("key_text")]
+    alone = col("doc_id").isNull() | ~F.coalesce(col("text").rlike(WORD), F.lit(False))
+    rows = docs.where(~alone).select(packed(docs), *key)
+    first = groups.where("first and n_shingles > 0").select(F.col("doc_id").alias("key_id"), F.col("text_hash").alias("key_text"))
+    kept = rows.join(first.distinct(), ["key_id", "key_text"], "left_semi")
+    if not first.groupBy("key_id", "key_text").count().where("count > 1").limit(1).isEmpty():
+        kept = kept.dropDuplicates(["key_id", "key_text"])
+    return kept.select(*unpacked(docs.columns, {})).unionByName(docs.where(alone).select(*map(col, docs.columns)))
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

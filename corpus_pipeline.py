@@ -29,14 +29,10 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup, five-word shingles and a similarity of 0.8: the
-    document with the smallest id of each group stays. Of rows that repeat an
-    id, one stays; rows without an id are in no group and all stay."""
-    found = minhash.near_components(docs.select("doc_id", "text"))
-    first = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi")
-    if minhash.repeats_ids(docs):
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    document with the smallest id of each group stays. Every row is a document:
+    rows that share an id go only if their own text is a near copy. Texts without
+    words, and rows without an id, are in no group and all stay."""
+    return minhash.first_of_groups(docs)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

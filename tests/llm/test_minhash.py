@@ -108,6 +108,33 @@ def test_repeated_and_missing_ids_clashes_and_empty(docs):
     assert M.near_components(docs([])).collect() == []
 
 
+def test_rows_that_share_an_id_are_told_apart(docs):
+    rng = random.Random(8)
+    text = lambda: " ".join(f"w{rng.randrange(5000)}" for _ in range(60))
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(0, a), (0, b), (0, c), (0, text()), (0, text()), (3, a + " x"), (4, "y " + b), (5, d), (5, d), (2, c)]
+    rows += [(7, ""), (7, ""), (8, None), (None, a), (0, "a b"), (0, "A B")]
+    table = docs(rows).selectExpr("*", "1 as key_id", "'t' as row", "2 as first")
+    kept = M.first_of_groups(table)
+    assert kept.columns == table.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    gone = [(3, a + " x"), (4, "y " + b), (5, d), (2, c)]
+    # of equal sets under one id a single text stays
+    one = [x for x in got if x in [(0, "a b"), (0, "A B")]]
+    assert len(one) == 1
+    want = [r for r in rows if r not in gone and r not in [(0, "a b"), (0, "A B")]] + [(5, d)] + one
+    assert got == sorted(want, key=str)
+    found = {(r.doc_id, r.text_hash): r.component_id for r in M.near_groups(table).where("doc_id is not null").collect()}
+    assert sorted(found.values()) == [0] * 10 + [5, 7, 8]
+
+
+def test_bands_suit_the_similarity():
+    for percent in (50, 70, 80, 85, 95):
+        r = M.Near(5, percent).band_rows
+        assert (1 - (percent / 100) ** r) ** (256 // r) < 1e-4
+    assert M.Near(3, 85).band_rows == 8 and M.Near().band_rows == 6
+
+
 def test_connected_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(1, 200)] + [(500, i) for i in range(501, 600)] + [(500, 500), (502, 501), (900, None)]
     out = {r.id: r.component for r in connected_components(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
