@@ -11,7 +11,9 @@
    member is paired with the smallest class, so m members give m - 1 pairs.
 4. Each proposed pair is confirmed on the full sets. Members of a hot centre
    are dealt over several tasks, the centre's text with them. The links are
-   closed into components.
+   closed into components. In two rounds more, members of buckets that are in
+   several components try a few classes of other ones that share a bucket with
+   them, so that a large group of near copies is closed before step 5.
 5. Members of buckets that are then still in several components are compared
    exactly, by a prefix-filter join: two sets that are near enough share a
    shingle early in both of them, in an order that puts rare shingles first.
@@ -30,7 +32,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsentry.llm.common import WORD, col, packed, read, unpacked
@@ -49,6 +51,9 @@ DEALT = 64
 # that are put together at a time, and ratio of set sizes of a class.
 LEAST_COUNTERS, MOST_COUNTERS, COUNTERS_TOGETHER = 12, 24, 12
 STEP = 1.05
+# Rounds of further candidates before the exact comparison, and how many of them
+# a class has in a round.
+ROUNDS, TRIES = 2, 12
 
 
 @dataclass(frozen=True)
@@ -259,37 +264,64 @@ def prefix_pairs(texts: DataFrame, near: Near) -> DataFrame:
     return both.select(F.greatest("x_id", "y_id").alias("a"), F.least("x_id", "y_id").alias("c")).distinct()
 
 
-def _labelled(rows: DataFrame, component: DataFrame) -> DataFrame:
-    """``rows`` with the component ``comp`` of their ``id``, its own if it has no link."""
-    found = rows.join(component.withColumnRenamed("component", "comp"), "id", "left")
+def _labelled(ids: DataFrame, component: DataFrame) -> DataFrame:
+    """``ids`` with the component ``comp`` of each ``id``, its own if it has no link."""
+    found = ids.join(component.withColumnRenamed("component", "comp"), "id", "left")
     return found.withColumn("comp", F.coalesce("comp", "id"))
 
 
+def _closed(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (id, comp) after ``links`` (u, v): whole components join."""
+    ends = links.join(labels.toDF("u", "u_comp"), "u").join(labels.toDF("v", "v_comp"), "v")
+    over = connected_components(ends.select(F.col("u_comp").alias("u"), F.col("v_comp").alias("v")))
+    joined = labels.join(over.toDF("comp", "joined"), "comp", "left")
+    return materialize(joined.select("id", F.coalesce("joined", "comp").alias("comp")), "near-labels")
+
+
+def _mixed(buckets: DataFrame, labels: DataFrame, *more: Column) -> tuple[DataFrame, DataFrame]:
+    """(members of all buckets with their component, buckets in several of them)."""
+    labelled = buckets.join(labels, "id")
+    mixed = labelled.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), *more)
+    return labelled, mixed.where("lo < hi").drop("lo", "hi")
+
+
+def _further_pairs(buckets: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """(a, c): each member of a mixed bucket with up to TRIES classes of other
+    components, that stand for buckets of its own, chosen by hash."""
+    stands = F.min_by(F.struct("id", "comp"), F.xxhash64("id", "band", F.lit(turn))).alias("m")
+    labelled, mixed = _mixed(buckets, labels, stands)
+    met = labelled.join(mixed, ["band", "key"]).where(F.col("comp") != F.col("m.comp"))
+    # a class has as many buckets as there are bands
+    tries = F.slice(F.array_sort(F.collect_set(F.struct(F.xxhash64("id", "m.id").alias("h"), F.col("m.id").alias("m")))), 1, TRIES)
+    pairs = met.groupBy("id").agg(tries.alias("tries")).select("id", F.explode("tries.m").alias("m"))
+    return pairs.select(F.greatest("id", "m").alias("a"), F.least("id", "m").alias("c")).distinct()
+
+
 def _class_components(classes: DataFrame, docs: DataFrame, repeated: bool, near: Near) -> DataFrame:
-    """(id, comp) of every class of ``classes`` (id, doc_id, text_hash, n, bands)."""
+    """(id, comp) of every class of ``classes`` (id, doc_id, text_hash, n, bands)
+    that shares a bucket with another one."""
     banded = classes.select("id", F.posexplode("bands").alias("band", "key"))
     centres = banded.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("id").alias("c")).where("n > 1")
-    buckets = materialize(banded.join(centres.drop("n"), ["band", "key"]), "near-buckets")
-    wanted = classes.join(buckets.select("id").distinct(), "id", "left_semi").select("id", "doc_id", "text_hash", "n")
+    stars = materialize(banded.join(centres.drop("n"), ["band", "key"]), "near-buckets")
+    buckets = stars.drop("c")
+    wanted = classes.join(stars.select("id").distinct(), "id", "left_semi").select("id", "doc_id", "text_hash", "n")
     texts = docs.select(col("doc_id").alias("doc_id"), F.xxhash64(col("text")).alias("text_hash"), col("text").alias("text"))
     texts = texts.join(wanted, ["doc_id", "text_hash"]).select("id", "n", "text")
     texts = materialize(texts.dropDuplicates(["id"]) if repeated else texts, "near-texts")
 
-    pairs = materialize(buckets.where("id <> c").select(F.col("id").alias("a"), "c").distinct(), "near-pairs")
+    pairs = materialize(stars.where("id <> c").select(F.col("id").alias("a"), "c").distinct(), "near-pairs")
     links = materialize(confirm(pairs, texts.drop("n"), near), "near-links")
-    component = connected_components(links)
+    labels = materialize(_labelled(texts.select("id"), connected_components(links)), "near-labels")
+    for turn in range(ROUNDS):
+        fresh = materialize(_further_pairs(buckets, labels, turn).join(pairs, ["a", "c"], "left_anti"), "near-pairs")
+        labels = _closed(labels, materialize(confirm(fresh, texts.drop("n"), near), "near-links"))
+        pairs = pairs.unionByName(fresh)
     # the members of buckets that are still in several components
-    labelled = _labelled(buckets.drop("c"), component)
-    mixed = labelled.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    left = labelled.join(mixed.select("band", "key"), ["band", "key"]).select("id", "comp").distinct()
+    labelled, mixed = _mixed(buckets, labels)
+    left = labelled.join(mixed, ["band", "key"]).select("id", "comp").distinct()
     left = materialize(texts.join(left, "id"), "near-mixed")
     more = materialize(prefix_pairs(left, near).join(pairs, ["a", "c"], "left_anti"), "near-pairs")
-    found = confirm(more, texts.drop("n"), near)
-    comps = left.select("id", "comp")
-    joined = found.join(comps.toDF("u", "u_comp"), "u").join(comps.toDF("v", "v_comp"), "v")
-    over = connected_components(joined.select(F.col("u_comp").alias("u"), F.col("v_comp").alias("v")))
-    first = _labelled(classes.select("id"), component)
-    return first.join(over.toDF("comp", "joined"), "comp", "left").select("id", F.coalesce("joined", "comp").alias("comp"))
+    return _closed(labels, materialize(confirm(more, texts.drop("n"), near), "near-links"))
 
 
 def near_groups(docs: DataFrame, near: Near = Near()) -> DataFrame:
@@ -313,7 +345,8 @@ def near_groups(docs: DataFrame, near: Near = Near()) -> DataFrame:
     ).select(F.monotonically_increasing_id().alias("id"), "digest", "one.*", "n", "bands")
     classes = materialize(classes, "near-classes")
     comps = _class_components(classes, docs, repeated, near)
-    placed = classes.select("id", "digest", one.alias("one")).join(comps, "id")
+    placed = classes.select("id", "digest", one.alias("one")).join(comps, "id", "left")
+    placed = placed.withColumn("comp", F.coalesce("comp", "id"))
     heads = placed.groupBy("comp").agg(F.min("one").alias("head"))
     placed = placed.join(heads, "comp").select("digest", "head")
     found = signed.select("doc_id", "text_hash", "n_shingles", "digest").join(placed, "digest", "left")
