@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardsentry.functions import scoring
@@ -61,14 +61,6 @@ def build_pipeline(label: str = "is_fraud", config: ForestConfig | None = None)
     return Pipeline(stages=[*prep.preprocessing_stages(), forest])
 
 
-def prepare_training_rows(df: DataFrame, label: str = "is_fraud", weighted: bool = True) -> DataFrame:
-    """Model features in contract order, numeric label, balanced weights."""
-    from cardsentry.operators.features import model_features
-
-    rows = model_features(df.withColumn(label, F.col(label).cast("double")), keep=["trans_num", label])
-    return prep.with_class_weights(rows, label) if weighted else rows
-
-
 def train(train_rows: DataFrame, label: str = "is_fraud", config: ForestConfig | None = None) -> PipelineModel:
     """Fit preprocessing + forest. ``train_rows`` must hold the 21 features,
     the label and (when weighted) a ``weight`` column.
@@ -97,11 +89,9 @@ def score(model: PipelineModel, rows: DataFrame, keep: list[str] | None = None)
 
 def feature_importance(model: PipelineModel, top: int | None = 10) -> list[tuple[str, float]]:
     """(name, importance) of the forest's features, largest first."""
-    names = prep.feature_names(model)
-    forest = model.stages[-1]
-    imp = forest.featureImportances.toArray().tolist()
-    pairs = sorted(zip(names, imp), key=lambda x: (-x[1], x[0]))
-    return pairs[:top] if top else pairs
+    imp = model.stages[-1].featureImportances.toArray()
+    slots = sorted(range(len(imp)), key=lambda k: (-imp[k], k))[: top or None]
+    return list(zip(prep.feature_names(model, slots), (float(imp[k]) for k in slots)))
 
 
 def save(model: PipelineModel, path: str) -> str:
@@ -111,12 +101,3 @@ def save(model: PipelineModel, path: str) -> str:
 
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
-
-
-def model_runs_row(spark: SparkSession, run_id: str, metrics_row: dict, params: dict) -> DataFrame:
-    """One row of the append-only ``model_runs`` table (parameters and metrics)."""
-    data = {"run_id": run_id, **{k: float(v) for k, v in metrics_row.items()},
-            **{f"param_{k}": str(v) for k, v in params.items()}}
-    return spark.createDataFrame([data])
-
-

@@ -1,11 +1,10 @@
 """Preprocessing: stratified split, population standardisation, drop-first
 one-hot encoding, feature assembly and balanced class weights.
 
-The scaler and the index clamp are ``pyspark.ml`` stages, so the fitted
+The scaler and the category dictionary are ``pyspark.ml`` stages, so the fitted
 preprocessing is part of one ``PipelineModel`` that is saved and loaded with
-MLWriter. Fitting reads one aggregate row (means, deviations) or the
-category labels the ``StringIndexer`` already gathers; no data rows are
-collected.
+MLWriter. Fitting reads one aggregate row (means, deviations, numbers of
+categories); the categories themselves stay in a table.
 """
 
 from __future__ import annotations
@@ -14,18 +13,21 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCol, HasOutputCols
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.util import (
+    DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable,
+    MLWritable, MLWriter,
+)
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.operators.joins import broadcast_if_small, join_groups
-from cardsentry.operators.ranking import hash_rank_flag
+from cardsentry.operators.joins import BROADCAST_ROWS_LIMIT, broadcast_if_small, join_groups
+from cardsentry.operators.ranking import dense_ids, hash_rank_flag
 from cardsentry.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
-from cardsentry.sources.storage import shared_root
+from cardsentry.sources.storage import new_location, shared_root, write_table
 
 # ------------------------------------------------------------------ split
 
@@ -111,14 +113,33 @@ class PopulationStandardScalerModel(Model, _ScalerParams, DefaultParamsReadable,
 # ------------------------------------------------------------------ one-hot
 
 
-class ClampIndex(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
-    """Map the unknown-category index of a ``StringIndexer(handleInvalid='keep',
-    stringOrderType='alphabetDesc')`` onto the last known index.
+class _DictionaryWriter(MLWriter):
+    """Saves the parameters and, beside them, the dictionary itself."""
 
-    With descending order the alphabetically first category has the last
-    index; ``OneHotEncoder(dropLast=True)`` then drops it, and unknown
-    values (clamped to the same index) encode as all zeros: the original
-    drop-first / ignore-unknown rule.
+    def __init__(self, instance: "CategoryDictionaryModel"):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
+        self.instance.dictionary(self.sparkSession).write.parquet(f"{path}/dictionary")
+
+
+class _DictionaryReader(DefaultParamsReader):
+    def load(self, path: str) -> "CategoryDictionaryModel":
+        model = super().load(path)
+        model._set(location=f"{path}/dictionary")
+        return model
+
+
+class CategoryDictionary(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Number the categories of every input column, the alphabetically last first.
+
+    The dictionary is a table (column, value, id) made by a distributed sort; the
+    driver sees one count per column. The alphabetically first category has the
+    last index, which ``OneHotEncoder(dropLast=True)`` drops; unknown and missing
+    values get that index too and encode as all zeros: the original drop-first /
+    ignore-unknown rule.
     """
 
     @keyword_only
@@ -126,18 +147,22 @@ class ClampIndex(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable,
         super().__init__()
         self._set(**self._input_kwargs)
 
-    def _fit(self, df: DataFrame) -> "ClampIndexModel":
-        sizes = []
-        for c in self.getInputCols():
-            vals = df.schema[c].metadata.get("ml_attr", {}).get("vals", [])
-            known = [v for v in vals if v != "__unknown"]
-            sizes.append(len(known))
-        model = ClampIndexModel(inputCols=self.getInputCols(), outputCols=self.getOutputCols())
-        model._set(sizes=sizes)
+    def _fit(self, df: DataFrame) -> "CategoryDictionaryModel":
+        cols = self.getInputCols()
+        pairs = df.select(F.explode(F.array(*[
+            F.struct(F.lit(j).alias("column"), F.col(c).cast("string").alias("value")) for j, c in enumerate(cols)
+        ])).alias("kv")).select("kv.*").where(F.col("value").isNotNull()).distinct()
+        spark = df.sparkSession
+        location = new_location(spark, "categories")
+        write_table(dense_ids(pairs, ["column"], [F.col("value").desc()]), location)
+        counts = {r[0]: r[1] for r in spark.read.parquet(location).groupBy("column").count().collect()}
+        model = CategoryDictionaryModel(inputCols=cols, outputCols=self.getOutputCols())
+        model._set(location=location, sizes=[counts.get(j, 0) for j in range(len(cols))])
         return model
 
 
-class ClampIndexModel(Model, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
+class CategoryDictionaryModel(Model, HasInputCols, HasOutputCols, MLWritable, MLReadable):
+    location = Param(Params._dummy(), "location", "folder of the dictionary", typeConverter=TypeConverters.toString)
     sizes = Param(Params._dummy(), "sizes", "known categories per column", typeConverter=TypeConverters.toListInt)
 
     @keyword_only
@@ -145,12 +170,31 @@ class ClampIndexModel(Model, HasInputCols, HasOutputCols, DefaultParamsReadable,
         super().__init__()
         self._set(**self._input_kwargs)
 
+    def write(self) -> MLWriter:
+        return _DictionaryWriter(self)
+
+    @classmethod
+    def read(cls) -> DefaultParamsReader:
+        return _DictionaryReader(cls)
+
+    def dictionary(self, spark: SparkSession) -> DataFrame:
+        """(column number, value, id) of every known category."""
+        return spark.read.schema("column int, value string, id bigint").parquet(self.getOrDefault(self.location))
+
     def _transform(self, df: DataFrame) -> DataFrame:
-        cols = {}
-        for c, o, n in zip(self.getInputCols(), self.getOutputCols(), self.getOrDefault(self.sizes)):
-            meta = {"ml_attr": {"type": "nominal", "num_vals": max(n, 1), "name": o}}
-            cols[o] = F.least(F.col(c), F.lit(float(max(n - 1, 0)))).alias(o, metadata=meta)
-        return df.select("*", *cols.values())
+        known = self.dictionary(df.sparkSession)
+        columns, new = df.columns, []
+        for j, (c, o, n) in enumerate(zip(self.getInputCols(), self.getOutputCols(), self.getOrDefault(self.sizes))):
+            own = known.where(F.col("column") == j).select(F.col("value").alias(f"{o}__value"), F.col("id").alias(f"{o}__id"))
+            if n <= BROADCAST_ROWS_LIMIT:  # counted when the dictionary was made
+                own = F.broadcast(own)
+            df = df.join(own, F.col(c).cast("string") == F.col(f"{o}__value"), "left")
+            # the encoder asks for two values at least: a single one is the last of two
+            width = max(n, 2)
+            meta = {"ml_attr": {"type": "nominal", "num_vals": width, "name": o}}
+            index = F.coalesce(F.col(f"{o}__id") + (width - n), F.lit(width - 1)).cast("double")
+            new.append(index.alias(o, metadata=meta))
+        return df.select(*columns, *new)
 
 
 def preprocessing_stages(numeric: Sequence[str] = NUMERIC_FEATURES,
@@ -159,31 +203,37 @@ def preprocessing_stages(numeric: Sequence[str] = NUMERIC_FEATURES,
     """Stages: scaler over numeric columns, drop-first one-hot over
     categorical columns, assembler into ``output``."""
     idx = [f"{c}__idx" for c in categorical]
-    clamped = [f"{c}__clamped" for c in categorical]
     onehot = [f"{c}__onehot" for c in categorical]
     return [
         PopulationStandardScaler(inputCols=list(numeric), outputCol="numeric__scaled"),
-        StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep",
-                      stringOrderType="alphabetDesc"),
-        ClampIndex(inputCols=idx, outputCols=clamped),
+        CategoryDictionary(inputCols=list(categorical), outputCols=idx),
         # dropLast drops the last index = the alphabetically first category
-        OneHotEncoder(inputCols=clamped, outputCols=onehot, dropLast=True),
+        OneHotEncoder(inputCols=idx, outputCols=onehot, dropLast=True),
         VectorAssembler(inputCols=["numeric__scaled", *onehot], outputCol=output),
     ]
 
 
-def feature_names(pipeline_model, numeric: Sequence[str] = NUMERIC_FEATURES,
+def feature_names(pipeline_model, slots: Sequence[int] | None = None, numeric: Sequence[str] = NUMERIC_FEATURES,
                   categorical: Sequence[str] = CATEGORICAL_FEATURES) -> list[str]:
-    """Names of the assembled vector slots: numeric names, then
-    ``column_value`` for every encoded (non-dropped) category."""
-    from pyspark.ml.feature import StringIndexerModel
-
-    indexer = next(s for s in pipeline_model.stages if isinstance(s, StringIndexerModel))
-    names = list(numeric)
-    for col, labels in zip(categorical, indexer.labelsArray):
-        # descending order: slot i holds labels[i]; the last (first alphabetically) is dropped
-        names += [f"{col}_{v}" for v in labels[:-1]]
-    return names
+    """Names of the assembled vector slots, or of those asked for: numeric names,
+    then ``column_value`` for every encoded (non-dropped) category. Only the
+    categories of these slots are read."""
+    stage = next(s for s in pipeline_model.stages if isinstance(s, CategoryDictionaryModel))
+    sizes = [max(n, 2) - 1 for n in stage.getOrDefault(stage.sizes)]
+    begins = [len(numeric) + sum(sizes[:j]) for j in range(len(sizes))]
+    width = len(numeric) + sum(sizes)
+    slots = range(width) if slots is None else slots
+    asked = []
+    for slot in slots:
+        if slot >= len(numeric):
+            j = max(k for k in range(len(sizes)) if begins[k] <= slot)
+            asked.append((slot, j, slot - begins[j]))
+    spark = SparkSession.getActiveSession()
+    wanted = spark.createDataFrame(asked, "slot bigint, column int, id bigint")
+    found = stage.dictionary(spark).join(F.broadcast(wanted), ["column", "id"]).select("slot", "column", "value").collect()
+    names = {r.slot: f"{categorical[r.column]}_{r.value}" for r in found} | dict(enumerate(numeric))
+    columns = {k: categorical[j] for k, j, _ in asked}  # a column with a single category has an empty slot
+    return [names.get(k) or f"{columns[k]}_" for k in slots]
 
 
 # ------------------------------------------------------------------ long-form one-hot

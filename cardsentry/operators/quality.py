@@ -20,6 +20,9 @@ from cardsentry.schemas import LAT_RANGE, LONG_RANGE, REQUIRED_FIELDS
 # Field types of the request schema.
 INT_FIELDS = ["cc_num", "zip", "city_pop"]
 FLOAT_FIELDS = ["amt", "lat", "long", "merch_lat", "merch_long"]
+# Further whole numbers of the stored rows, and texts that must name a time.
+STORED_INTS = ["id", "is_fraud"]
+DATE_FIELDS = {"dob": "date", "transaction_time": "timestamp_ntz"}
 # What feed text is stored as.
 STORED_TYPES = {
     "id": "bigint", "amt": "decimal(10,2)", "lat": "double", "long": "double",
@@ -34,24 +37,42 @@ def _parsed(df: DataFrame, name: str, kind: str) -> Column:
     return c.cast("bigint" if kind == "int" else "double")
 
 
+def _text_that_is_no(df: DataFrame, name: str, kind: str) -> Column:
+    """Whether a text column holds a value that is neither null, empty nor of ``kind``."""
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return F.lit(False)
+    return F.col(name).isNotNull() & (F.trim(name) != "") & F.col(name).try_cast(kind).isNull()
+
+
 def rules(df: DataFrame) -> list[tuple[str, Column]]:
-    """(rule name, violated?) for every rule whose field exists in ``df``."""
+    """(rule name, violated?) for every rule whose field exists in ``df``.
+
+    A value must also survive being stored: one that would become null, another
+    value or an amount of zero breaks a rule. An empty date of birth is an
+    unknown one and no fault.
+    """
     out: list[tuple[str, Column]] = []
     cols = set(df.columns)
     for f in REQUIRED_FIELDS:
         if f not in cols:
             continue
         out.append((f"missing:{f}", F.col(f).isNull()))
-    for f in INT_FIELDS:
+    for f in INT_FIELDS + STORED_INTS:
         if f in cols:
             out.append((f"type:{f}", F.col(f).isNotNull() & _parsed(df, f, "int").isNull()))
     for f in FLOAT_FIELDS:
         if f in cols:
             out.append((f"type:{f}", F.col(f).isNotNull() & _parsed(df, f, "float").isNull()))
+    for f, kind in DATE_FIELDS.items():
+        if f in cols:
+            out.append((f"type:{f}", _text_that_is_no(df, f, kind)))
     if "amt" in cols:
-        out.append(("range:amt", _parsed(df, "amt", "float") <= 0))
+        stored = F.col("amt").try_cast(STORED_TYPES["amt"])
+        out.append(("range:amt", (_parsed(df, "amt", "float") <= 0) | (stored <= 0)))
     if "city_pop" in cols:
         out.append(("range:city_pop", _parsed(df, "city_pop", "int") <= 0))
+    if "is_fraud" in cols:
+        out.append(("range:is_fraud", ~_parsed(df, "is_fraud", "int").isin(0, 1)))
     # a value that parses but does not fit the stored type would become null
     for f, kind, stored in (("amt", "float", STORED_TYPES["amt"]), ("city_pop", "int", STORED_TYPES["city_pop"])):
         if f in cols:
@@ -60,7 +81,7 @@ def rules(df: DataFrame) -> list[tuple[str, Column]]:
                         ("long", LONG_RANGE), ("merch_long", LONG_RANGE)):
         if f in cols:
             v = _parsed(df, f, "float")
-            out.append((f"range:{f}", (v < lo) | (v > hi)))
+            out.append((f"range:{f}", (v < lo) | (v > hi) | F.isnan(v)))
     return out
 
 

@@ -2,16 +2,14 @@
 
 ``percentile`` and ``row_number() OVER (PARTITION BY label ...)`` both move a
 whole group through one task; with two labels that is half the table. Here
-ranks are computed from bucket counts instead:
+ranks come from counts of pieces:
 
-1. cut the ordered key into buckets (approximate quantile boundaries, a
-   mergeable fixed-size sketch; or leading bits of a uniform hash),
-2. count rows per (group, bucket) with map-side combining and prefix-sum the
-   bucket counts (at most ``buckets`` rows per group),
-3. rank exactly only inside the one or two buckets holding each wanted rank.
+* quantiles: the distinct values are dealt by range, the rows of every range
+  partition are counted per group, and a prefix sum over these few counts tells
+  which partition holds a wanted rank; ranks are exact inside that one,
+* the k smallest hashes: leading bits of a uniform hash make the pieces.
 
-The largest window any task sees is one bucket: about ``1/buckets`` of the
-group instead of all of it.
+The largest window any task sees is one piece of a group instead of all of it.
 """
 
 from __future__ import annotations
@@ -21,20 +19,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardsentry.operators.joins import BROADCAST_ROWS_LIMIT, broadcast_if_small, join_groups
-from cardsentry.sources.storage import shared_root
+from cardsentry.operators.joins import broadcast_if_small, join_groups
+from cardsentry.sources.storage import materialize, shared_root
 
 DEFAULT_BUCKETS = 256
-# With ``buckets=None`` the bucket count grows with the widest group so that
-# one bucket (the largest window a task sorts) holds about this many
-# distinct values; at most MAX_BUCKETS boundaries are kept per group.
+# Distinct values that one range partition (the largest window a task sorts)
+# should hold at most, and the most partitions.
 BUCKET_TARGET_VALUES = 1 << 18
 MAX_BUCKETS = 1 << 16
 
 
 def auto_buckets(widest: int, minimum: int = DEFAULT_BUCKETS) -> int:
-    """Power-of-two bucket count giving at most ~BUCKET_TARGET_VALUES values
-    per bucket for a group of ``widest`` distinct values (clamped)."""
+    """Power-of-two number of pieces giving at most ~BUCKET_TARGET_VALUES values
+    per piece of ``widest`` distinct values (clamped)."""
     need = max(1, -(-int(widest) // BUCKET_TARGET_VALUES))
     return max(minimum, min(MAX_BUCKETS, 1 << (need - 1).bit_length()))
 
@@ -54,107 +51,59 @@ def exact_quantiles(
     probs: Sequence[float],
     names: Sequence[str],
     buckets: int | None = None,
-    checkpoint: bool = True,
     with_summary: bool = False,
 ) -> DataFrame:
     """Linearly interpolated quantiles (``percentile`` / ``quantile_cont``).
 
     Returns one row per group with columns ``names[i]`` holding the
     ``probs[i]`` quantile of ``value_col`` (nulls ignored); ``with_summary``
-    adds ``n``, ``min_value`` and ``max_value`` from the same distinct-value
-    table, so the input is not read again for them. ``buckets=None`` sizes
-    the bucket count from the widest group (see ``auto_buckets``).
+    adds ``n``, ``min_value`` and ``max_value``. The input is read once.
+    ``buckets`` sets the number of range partitions; without it there are as
+    many as the session shuffles into, and more if these would be too wide.
     """
     g = _keys(group_cols)
     base = _with_key(df, group_cols).select(*g, F.col(value_col).cast("double").alias("_v"))
-    base = base.where(F.col("_v").isNotNull())
-
-    # (1) distinct values with multiplicity: a hot value becomes one row per task.
-    # Three branches below read this table; a reliable checkpoint in the
-    # shared folder computes it once and cuts the input's lineage.
-    counts = base.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    if checkpoint:
-        shared_root(df.sparkSession)
-        counts = counts.checkpoint(eager=True)
+    # (1) distinct values with multiplicity: a hot value becomes one row per task
+    counts = base.where(F.col("_v").isNotNull()).groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    counts = materialize(counts, "quantile-values")
     if buckets is None:
-        # one aggregate row: the distinct-value count of the widest group
-        widest = counts.groupBy(*g).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
-        buckets = auto_buckets(widest or 0)
-
-    # (2) bucket boundaries from a mergeable quantile sketch over the distinct
-    # values (so a bucket holds about 1/buckets of a group's distinct values,
-    # which is what the in-bucket window sorts), plus group sizes. Everything
-    # below reads ``counts``; the input is scanned once.
-    cuts = [i / buckets for i in range(1, buckets)]
-    stats = counts.groupBy(*g).agg(
-        F.percentile_approx("_v", cuts, 10 * buckets).alias("_b"),
-        F.sum("_c").alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
+        need = auto_buckets(counts.count(), minimum=1)
+        buckets = need if need > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+    deal = [F.col(c) for c in (*g, "_v")]
+    spread = counts.repartitionByRange(buckets, *deal) if buckets else counts.repartitionByRange(*deal)
+    # the number of its partition stays with every row
+    spread = materialize(spread.withColumn("_part", F.spark_partition_id()), "quantile-ranges")
+
+    # (2) rows before every partition, per group: one short row per group and partition
+    group = Window.partitionBy(*g)
+    parts = spread.groupBy(*g, "_part").agg(
+        F.sum("_c").alias("_rows"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    parts = parts.select(
+        *g, "_part", "_rows", F.min("_lo").over(group).alias("min_value"), F.max("_hi").over(group).alias("max_value"),
+        (F.sum("_rows").over(group.orderBy("_part")) - F.col("_rows")).alias("_before"),
+        F.sum("_rows").over(group).alias("n"),
     )
-    if checkpoint:
-        # one row per group, read by the size check and three branches below
-        stats = stats.checkpoint(eager=True)
-    # joins on the group key: a group may hold half the rows, so the small
-    # per-group tables are broadcast when one count of the groups proves
-    # them small. A boundary row holds ``buckets - 1`` doubles, so its row
-    # limit is divided by the bucket count: the broadcast stays within the
-    # bytes of BROADCAST_ROWS_LIMIT short rows, whatever the number of groups.
-    n_groups = stats.count()
-    boundaries = stats.select(*g, "_b")
-    if n_groups <= BROADCAST_ROWS_LIMIT // buckets:
-        boundaries = F.broadcast(boundaries)
-    tagged = join_groups(counts, boundaries, g).select(
-        *g, "_v", "_c", F.size(F.filter("_b", lambda b: b < F.col("_v"))).alias("_bk")
-    )
-    per_bucket = tagged.groupBy(*g, "_bk").agg(F.sum("_c").alias("_bc"))
-    per_bucket = per_bucket.withColumn(
-        "_start", F.sum("_bc").over(Window.partitionBy(*g).orderBy("_bk")) - F.col("_bc")
-    )
-
     # wanted 0-based ranks: floor and ceil of p * (n - 1) for every p
-    wanted = stats.select(
-        *g,
-        F.explode(
-            F.array(*[
-                F.struct(F.lit(i).alias("qi"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("pos"))
-                for i, p in enumerate(probs)
-            ])
-        ).alias("q"),
-    ).select(*g, "q.qi", "q.pos")
-    ranks = wanted.select(
-        *g, "qi", "pos", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("r")
-    ).distinct()
-    located = join_groups(ranks, per_bucket, g).where(
-        (F.col("r") >= F.col("_start")) & (F.col("r") < F.col("_start") + F.col("_bc"))
-    ).select(*g, "qi", "pos", "r", "_bk", "_start")
-
-    # (3) exact ranks inside the targeted buckets only.
-    # at most two buckets per wanted quantile and group: bounded by the count above
-    target_buckets = located.select(*g, "_bk").distinct()
-    if n_groups * 2 * len(probs) <= BROADCAST_ROWS_LIMIT:
-        target_buckets = F.broadcast(target_buckets)
-    inside = join_groups(tagged, target_buckets, g + ["_bk"], "left_semi")
-    w = Window.partitionBy(*g, "_bk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    inside = inside.withColumn("_end", F.sum("_c").over(w))
-    hits = join_groups(located, inside, g + ["_bk"]).where(
-        (F.col("r") >= F.col("_start") + F.col("_end") - F.col("_c"))
-        & (F.col("r") < F.col("_start") + F.col("_end"))
-    ).select(*g, "qi", "pos", "r", "_v")
-
-    lo = hits.where(F.col("r") == F.floor("pos")).select(*g, "qi", "pos", F.col("_v").alias("_lo"))
-    hi = hits.where(F.col("r") == F.ceil("pos")).select(*g, "qi", F.col("_v").alias("_hi"))
-    val = join_groups(lo, hi, g + ["qi"]).select(
-        *g, "qi",
-        (F.col("_lo") + (F.col("pos") - F.floor("pos")) * (F.col("_hi") - F.col("_lo"))).alias("_q"),
-    )
-    out = val.groupBy(*g).agg(
-        *[F.max(F.when(F.col("qi") == i, F.col("_q"))).alias(name) for i, name in enumerate(names)]
+    place = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+    wanted = F.array_distinct(F.array(*[edge(x).cast("bigint") for x in place for edge in (F.floor, F.ceil)]))
+    here = F.filter(wanted, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_rows")))
+    targets = parts.select(*g, "_part", "_before", "n", "min_value", "max_value", here.alias("_ranks"))
+    targets = targets.where(F.size("_ranks") > 0)
+
+    # (3) exact ranks inside the targeted partitions only
+    inside = join_groups(spread, targets, g + ["_part"])
+    end = F.sum("_c").over(Window.partitionBy(*g, "_part").orderBy("_v")) + F.col("_before")
+    hits = inside.withColumn("_end", end).select(
+        *g, "n", "min_value", "max_value", "_v",
+        F.explode(F.filter("_ranks", lambda r: (r >= F.col("_end") - F.col("_c")) & (r < F.col("_end")))).alias("_r"),
     )
-    if with_summary:
-        out = join_groups(out, stats.select(*g, F.col("_n").alias("n"), F.col("_min").alias("min_value"),
-                                            F.col("_max").alias("max_value")), g)
-    return out if group_cols else out.drop("_all")
+    found = hits.groupBy(*g, "n", "min_value", "max_value").agg(
+        F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_at"))
+    out = []
+    for x, name in zip(place, names):
+        lo, hi = (F.element_at("_at", edge(x).cast("bigint")) for edge in (F.floor, F.ceil))
+        out.append((lo + (x - F.floor(x)) * (hi - lo)).alias(name))
+    return found.select(*group_cols, *out, *(["n", "min_value", "max_value"] if with_summary else []))
 
 
 def hash_rank_flag(
@@ -205,3 +154,20 @@ def hash_rank_flag(
     )
     out = ranked_cut.unionByName(rest).drop("_h", "_bk", "_cut_bk", "_take")
     return out if group_cols else out.drop("_all")
+
+
+def dense_ids(rows: DataFrame, group_cols: Sequence[str], order: Sequence[Column], name: str = "id") -> DataFrame:
+    """``rows`` with their 0-based number in the group by ``order``.
+
+    Rows are dealt by range and sorted in their partitions; the rows of the
+    partitions before give each partition its offset. No group has to fit into
+    one task, and nothing is gathered on the driver.
+    """
+    by = [*[F.col(c) for c in group_cols], *order]
+    spread = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_place", F.monotonically_increasing_id())
+    spread = materialize(spread, "dense-order").withColumn("_part", F.shiftright("_place", 33))
+    runs = spread.groupBy(*group_cols, "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*group_cols).orderBy("_part")) - F.col("_n")
+    runs = runs.select(*group_cols, "_part", (before - F.col("_first")).alias("_shift"))
+    found = join_groups(spread, runs, [*group_cols, "_part"])
+    return found.withColumn(name, F.col("_place") + F.col("_shift")).drop("_place", "_part", "_shift")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cardsentry.operators import features as FE
+from cardsentry.operators import serving as SV
 from cardsentry.plans.catalog import Inputs, register
 from cardsentry.plans.oracle import age_sql, clean_merchant_sql, flags_sql, haversine_sql, time_parts_sql
 from cardsentry.schemas import FEED_DROP_COLUMNS, MODEL_FEATURES, NUMERIC_FEATURES
@@ -122,6 +123,17 @@ def feat_original_vs_engineered(i: Inputs):
     )
 
 
+@register("feat_original_engineered", "SELECT trans_num, " + ", ".join(
+    [f"{'CAST(amt AS DOUBLE)' if c == 'amt' else c} AS original_{c}" for c in _PAYMENT_COLS if c != "trans_num"]
+    + [f"{v} AS engineered_{k}" for k, v in _ALL_FEATURES.items()]) + " FROM payments")
+def feat_original_engineered(i: Inputs):
+    """The values of every row before and after feature derivation."""
+    both = SV.original_and_engineered(_payments(i), as_of=FIXTURE_AGE_AS_OF)
+    fields = {p: both.schema[p].dataType.names for p in ("original", "engineered")}
+    return both.select("trans_num", *[
+        F.col(p)[c].alias(f"{p}_{c}") for p, names in fields.items() for c in names if c != "trans_num"])
+
+
 @register("proj_rename", """
 SELECT trans_num, is_fraud AS is_fraud, fraud_probability FROM (
   SELECT trans_num, predicted_fraud AS is_fraud, fraud_probability FROM scored) t

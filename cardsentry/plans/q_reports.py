@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from cardsentry.plans import reports as R
 from cardsentry.plans.catalog import Inputs, register
+from cardsentry.schemas import EMAIL_PENDING, EMAIL_SENT, STATUS_FRAUD, STATUS_LEGIT
 from cardsentry.sources.tables import FIXTURE_REPORT_DATE
 
-FRAUD = "'🚨 FRAUD'"
-LEGIT = "'✅ LEGIT'"
-SENT = "'✅ Sent'"
-PENDING = "'⏳ Pending'"
+FRAUD, LEGIT, SENT, PENDING = (f"'{x}'" for x in (STATUS_FRAUD, STATUS_LEGIT, EMAIL_SENT, EMAIL_PENDING))
 
 
 def _scored(i: Inputs):
     return R.scored_payments(i.predictions, i.payments)
 
 
+# The stored tables reference payments (FOREIGN_KEYS, which the writers enforce
+# and ``fk_orphans`` measures): charts of prediction columns need no payment.
+def _labels(i: Inputs, limit: int | None = None):
+    return R.scored_labels(i.predictions, limit=limit)
+
+
 # ----------------------------------------------------------------- lists
 
 @register("latest_payments", """
@@ -33,12 +37,12 @@ _RECENT_500 = "SELECT * FROM scored ORDER BY predicted_at DESC, trans_num DESC L
 
 @register("recent_predictions", _RECENT_500)
 def recent_predictions(i: Inputs):
-    return R.recent_predictions(i.predictions, i.payments, 500)
+    return R.recent_predictions(i.predictions, i.payments, 500, enforced=True)
 
 
 @register("recent_predictions_frauds", f"SELECT * FROM ({_RECENT_500}) r WHERE predicted_fraud")
 def recent_predictions_frauds(i: Inputs):
-    return R.recent_predictions(i.predictions, i.payments, 500, only_fraud=True)
+    return R.recent_predictions(i.predictions, i.payments, 500, only_fraud=True, enforced=True)
 
 
 # The N newest alerts that have a payment; the probability may be missing.
@@ -54,7 +58,7 @@ ORDER BY created_at DESC, trans_num DESC LIMIT 100
 
 @register("recent_alerts", _RECENT_ALERTS)
 def recent_alerts(i: Inputs):
-    return R.recent_alerts(i.fraud_alerts, i.payments, i.predictions, 100)
+    return R.recent_alerts(i.fraud_alerts, i.payments, i.predictions, 100, enforced=True)
 
 
 # ----------------------------------------------------------------- KPI
@@ -90,7 +94,7 @@ SELECT CAST(count_if(NOT predicted_fraud) AS BIGINT) AS legit,
 FROM scored
 """)
 def fraud_vs_legit(i: Inputs):
-    return R.fraud_vs_legit(_scored(i))
+    return R.fraud_vs_legit(_labels(i))
 
 
 @register("probability_histogram", """
@@ -99,7 +103,7 @@ SELECT bin, CAST(bin AS DOUBLE) / 20.0 AS bin_start, n FROM (
   FROM scored WHERE fraud_probability IS NOT NULL GROUP BY 1) t
 """)
 def probability_histogram(i: Inputs):
-    return R.probability_histogram(_scored(i), 20)
+    return R.probability_histogram(_labels(i), 20)
 
 
 @register("daily_counts_pivot", """
@@ -109,7 +113,7 @@ SELECT CAST(predicted_at AS DATE) AS date,
 FROM scored GROUP BY 1
 """)
 def daily_counts_pivot(i: Inputs):
-    return R.daily_counts_pivot(_scored(i))
+    return R.daily_counts_pivot(_labels(i))
 
 
 @register("frauds_by_state", """
@@ -255,12 +259,12 @@ FROM {{rows}} ORDER BY predicted_at DESC, trans_num DESC LIMIT 50
 
 @register("fmt_recent", _FMT_RECENT.format(rows="scored"))
 def fmt_recent(i: Inputs):
-    return R.fmt_recent(i.predictions, i.payments)
+    return R.fmt_recent(i.predictions, i.payments, enforced=True)
 
 
 @register("fmt_recent_frauds", _FMT_RECENT.format(rows=f"({_RECENT_500}) r WHERE predicted_fraud"))
 def fmt_recent_frauds(i: Inputs):
-    return R.fmt_recent(i.predictions, i.payments, only_fraud=True)
+    return R.fmt_recent(i.predictions, i.payments, only_fraud=True, enforced=True)
 
 
 @register("fmt_alerts", f"""
@@ -270,7 +274,7 @@ SELECT trans_num, printf('$%.2f', amt) AS amt, merchant, city, state,
 FROM ({_RECENT_ALERTS}) a ORDER BY created_at DESC, trans_num DESC LIMIT 20
 """)
 def fmt_alerts(i: Inputs):
-    return R.fmt_alerts(R.recent_alerts(i.fraud_alerts, i.payments, i.predictions, 100))
+    return R.fmt_alerts(R.recent_alerts(i.fraud_alerts, i.payments, i.predictions, 100, enforced=True))
 
 
 @register("alert_digest", """
@@ -283,7 +287,7 @@ SELECT trans_num, substr(trans_num, 1, 30) AS id_text, printf('$%.2f', amt) AS a
 FROM scored WHERE fraud_probability > 0.5 ORDER BY predicted_at, trans_num LIMIT 10
 """)
 def alert_digest(i: Inputs):
-    return R.alert_digest(i.predictions, i.payments, 10)
+    return R.alert_digest(i.predictions, i.payments, 10, enforced=True)
 
 
 @register("sample_rows", """
@@ -317,11 +321,12 @@ def sql_text_stats(i: Inputs):
 _RECENT_SCORED = f"({_RECENT_500}) scored_recent"
 
 
-def _recent_chart(name: str, fn, sql: str):
+def _recent_chart(name: str, fn, sql: str, labels_only: bool = False):
     """The dashboard charts the 500 most recent scored payments (its default
     time range); the limit is the feature here."""
     register(f"{name}_recent", sql.replace("FROM scored", f"FROM {_RECENT_SCORED}"))(
-        lambda i: fn(R.scored_payments(i.predictions, i.payments, limit=500)))
+        lambda i: fn(_labels(i, 500) if labels_only else
+                     R.scored_payments(i.predictions, i.payments, limit=500, enforced=True)))
 
 
 def _body(name: str) -> str:
@@ -331,9 +336,9 @@ def _body(name: str) -> str:
     return ORACLE[name][len(FIXTURE_CTES):]
 
 
-_recent_chart("fraud_vs_legit", R.fraud_vs_legit, _body("fraud_vs_legit"))
-_recent_chart("probability_histogram", R.probability_histogram, _body("probability_histogram"))
-_recent_chart("daily_counts_pivot", R.daily_counts_pivot, _body("daily_counts_pivot"))
+_recent_chart("fraud_vs_legit", R.fraud_vs_legit, _body("fraud_vs_legit"), labels_only=True)
+_recent_chart("probability_histogram", R.probability_histogram, _body("probability_histogram"), labels_only=True)
+_recent_chart("daily_counts_pivot", R.daily_counts_pivot, _body("daily_counts_pivot"), labels_only=True)
 _recent_chart("frauds_by_state", lambda s: R.frauds_by(s, "state", 10), _body("frauds_by_state"))
 _recent_chart("frauds_by_category", lambda s: R.frauds_by(s, "category", 10), _body("frauds_by_category"))
 _recent_chart("avg_amount_by_label", R.avg_amount_by_label, _body("avg_amount_by_label"))

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 from cardsentry.functions import scoring as S
 from cardsentry.functions.numeric import round_binary
 from cardsentry.operators import evaluate as EV
+from cardsentry.operators import serving as SV
+from cardsentry.operators.runs import RunHistory
 from cardsentry.plans import reports as R
 from cardsentry.plans.catalog import Inputs, register
-from cardsentry.sources.tables import FIXTURE_REPORT_DATE
+from cardsentry.plans.q_quality import VALID_SQL, VIOLATIONS_SQL
+from cardsentry.sources.storage import materialize, new_location
+from cardsentry.sources.tables import FIXTURE_AGE_AS_OF, FIXTURE_REPORT_DATE
 
 _RISK_SQL = ("CASE WHEN fraud_probability < 0.3 THEN 'LOW' WHEN fraud_probability < 0.6 THEN 'MEDIUM' "
              "WHEN fraud_probability < 0.8 THEN 'HIGH' ELSE 'CRITICAL' END")
@@ -208,3 +212,68 @@ WHERE r.stage IS NULL
 """)
 def eval_champion_challenger(i: Inputs):
     return EV.champion_challenger(_runs(i))
+
+
+# ------------------------------------------------------------ run history
+
+# Four histories over the same runs: nothing in production, a champion, a champion
+# that replaced another, and a challenger whose recall was never measured.
+_HISTORIES = {"empty": [], "champion": ["thr_0.5"], "replaced": ["thr_0.9", "thr_0.3"], "unmeasured": ["thr_0.5"]}
+_UNMEASURED = "thr_0.7"
+
+
+def _history_sql() -> str:
+    parts = []
+    for name, promoted in _HISTORIES.items():
+        champion = f"'{promoted[-1]}'" if promoted else "NULL"
+        gone = ", ".join(f"'{r}'" for r in promoted) or "''"
+        recall = f"CASE WHEN r.run_id = '{_UNMEASURED}' THEN NULL ELSE r.recall END" if name == "unmeasured" else "r.recall"
+        gain = f"({recall}) - ch.recall"
+        met = "(r.recall >= 0.9 AND r.precision >= 0.75 AND r.f1_score >= 0.8)"
+        better = f"({met} AND {gain} > 0.01 AND r.precision - ch.precision > -0.05 AND r.f1_score - ch.f1_score > 0)"
+        parts.append(f"""SELECT '{name}' AS history, r.run_id, ch.run_id AS champion_run_id,
+  round({gain}, 6) AS recall_gain, round(r.precision - ch.precision, 6) AS precision_change,
+  round(r.f1_score - ch.f1_score, 6) AS f1_gain,
+  CASE WHEN ch.run_id IS NULL THEN true WHEN {gain} IS NULL THEN {met} ELSE {better} END AS should_deploy,
+  CASE WHEN ch.run_id IS NULL THEN 'no production model' WHEN {gain} IS NULL THEN 'comparison failed'
+    WHEN {better} THEN 'better performance' ELSE 'not better enough' END AS reason
+FROM {_runs_sql()} r LEFT JOIN {_runs_sql()} ch ON ch.run_id = {champion}
+WHERE r.run_id NOT IN ({gone})""")
+    return " UNION ALL ".join(parts)
+
+
+@register("eval_run_history", _history_sql())
+def eval_run_history(i: Inputs):
+    """The deploy decision read from recorded runs and their stage changes."""
+    runs = materialize(_runs(i).drop("stage"), "candidate_runs")
+    out = None
+    for name, promoted in _HISTORIES.items():
+        history = RunHistory.open(i.spark, new_location(i.spark, f"history_{name}"))
+        rows = runs
+        if name == "unmeasured":
+            rows = runs.withColumn("recall", F.when(F.col("run_id") != _UNMEASURED, F.col("recall")))
+        history.record(rows, {"kind": "threshold"})
+        history.record(rows.where("run_id = 'thr_0.9'").withColumn("recall", F.lit(0.0)))  # a retry changes nothing
+        for run_id in promoted:
+            history.promote(run_id)
+        part = history.decide().select(F.lit(name).alias("history"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# ------------------------------------------------------------ raw rows to verdicts
+
+@register("score_requests", f"""
+SELECT f.batch_id, f.row_idx, f.trans_num,
+  CASE WHEN NOT ({VALID_SQL}) THEN 'refused' WHEN p.p IS NULL THEN 'unscored' ELSE 'scored' END AS status,
+  CASE WHEN NOT ({VALID_SQL}) THEN {VIOLATIONS_SQL} WHEN p.p IS NULL THEN 'no probability' END AS reason,
+  CASE WHEN {VALID_SQL} THEN p.p > 0.5 END AS is_fraud,
+  CASE WHEN {VALID_SQL} THEN round(p.p, 4) END AS fraud_probability,
+  CASE WHEN {VALID_SQL} AND p.p IS NOT NULL THEN {_RISK_SQL.replace('fraud_probability', 'p.p')} END AS risk_level,
+  CASE WHEN {VALID_SQL} THEN round(abs(p.p - 0.5) * 2, 4) END AS confidence
+FROM payments_feed f LEFT JOIN (SELECT trans_num AS key, fraud_probability AS p FROM predictions) p ON p.key = f.trans_num
+""")
+def score_requests(i: Inputs):
+    """Every raw row of the feed in one call: a verdict, or why there is none."""
+    out = SV.score_requests(i.payments_feed, SV.stored_probability(i.predictions), as_of=FIXTURE_AGE_AS_OF)
+    return out.select("batch_id", "row_idx", "trans_num", *SV.VERDICT)

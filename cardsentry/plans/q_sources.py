@@ -27,6 +27,28 @@ def src_csv_history(i: Inputs):
     return feed.read_history_csv(i.spark, path)
 
 
+# Lines that are cut in half on the way, and ones whose amount is no number.
+_CUT, _WRONG = "id % 7 = 0", "id % 11 = 1"
+
+
+@register("src_csv_quarantine", f"""
+SELECT CASE WHEN {_CUT} OR {_WRONG} THEN 'damaged' ELSE 'sound' END AS state, count(*) AS n,
+  round(sum(CASE WHEN NOT ({_CUT} OR {_WRONG}) THEN CAST(amt AS DOUBLE) END), 2) AS amount
+FROM payments GROUP BY 1
+""")
+def src_csv_quarantine(i: Inputs):
+    """A history CSV with damaged lines: sound rows, and the lines set apart."""
+    path, sent = feed.write_history_csv(i.payments, new_location(i.spark, "history_csv")), new_location(i.spark, "sent_csv")
+    line, id_ = F.col("value"), F.regexp_extract("value", "^([0-9]+),", 1).try_cast("bigint")
+    damaged = F.when(id_ % 7 == 0, F.expr("substring(value, 1, length(value) div 2)")).when(
+        id_ % 11 == 1, F.regexp_replace("value", ",[0-9.]+,,,", ",many,,,")).otherwise(line)
+    i.spark.read.text(path).select(damaged.alias("value")).write.text(sent)
+    sound, lost = feed.split_history_csv(i.spark, sent)
+    n = F.count(F.lit(1)).alias("n")
+    return sound.agg(n, F.round(F.sum("amt"), 2).alias("amount")).select(F.lit("sound").alias("state"), "n", "amount").unionByName(
+        lost.agg(n).select(F.lit("damaged").alias("state"), "n", F.lit(None).cast("double").alias("amount")))
+
+
 def _feed_lines(i: Inputs):
     pay = i.payments.withColumn("current_time", dates.ntz_epoch(F.col("transaction_time"), "MILLISECOND"))
     lines = feed.encode_split_documents(pay, _FEED_COLS, "id", rows_per_doc=100)

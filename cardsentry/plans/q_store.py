@@ -14,7 +14,7 @@ from cardsentry.plans.catalog import Inputs, register
 from cardsentry.plans.q_quality import VALID_SQL, typed_good
 from cardsentry.plans.q_reports import _DAILY
 from cardsentry.schemas import FEED_DROP_COLUMNS
-from cardsentry.sources.storage import new_location
+from cardsentry.sources.storage import materialize, new_location
 from cardsentry.sources.tables import FIXTURE_AGE_AS_OF, FIXTURE_REPORT_DATE
 
 ALERT_TIME = _dt.datetime(2024, 1, 31, 0, 0, 0)
@@ -139,6 +139,33 @@ def sink_predictions_atomic(i: Inputs):
     )
 
 
+_BATCH_COUNTS = """count(*) AS scored, count_if(id % 20 = 0) AS again, count_if(id % 50 = 0) AS strange,
+  count_if(id % 33 = 0) AS unlabelled FROM predictions"""
+
+
+@register("sink_predictions_checked", f"""
+SELECT 1 AS attempt, CAST(scored AS BIGINT) AS inserted, CAST(again AS BIGINT) AS duplicate,
+  CAST(strange AS BIGINT) AS orphan, CAST(unlabelled AS BIGINT) AS incomplete FROM (SELECT {_BATCH_COUNTS}) a
+UNION ALL SELECT 2, 0, CAST(scored + again AS BIGINT), CAST(strange AS BIGINT), CAST(unlabelled AS BIGINT)
+FROM (SELECT {_BATCH_COUNTS}) b
+""")
+def sink_predictions_checked(i: Inputs):
+    """A batch with repeated, unknown and unlabelled rows written twice against
+    the stored payments: what became of its rows."""
+    t = ST.create_tables(i.spark, new_location(i.spark, "checked_tables"), parts=8)
+    t["payments"].insert_ignore(i.payments, order_cols=())
+    rows = i.predictions
+    batch = rows.unionByName(rows.where("id % 20 = 0")).unionByName(
+        rows.where("id % 50 = 0").withColumn("trans_num", F.concat(F.lit("X"), "trans_num"))).unionByName(
+        rows.where("id % 33 = 0").withColumn("is_fraud", F.lit(None).cast("boolean")))
+    batch = materialize(batch, "checked_batch")
+    refused = ST.StoredRows.create(i.spark, "checked_refused")
+    out = [(k, t["predictions"].insert_checked(batch, t["payments"], refused, k)) for k in (1, 2)]
+    states = ("inserted", "duplicate", "orphan", "incomplete")
+    return i.spark.createDataFrame([(k, *[c[s] for s in states]) for k, c in out],
+                                   "attempt int, " + ", ".join(f"{s} bigint" for s in states))
+
+
 @register("sink_fraud_alerts", f"""
 SELECT trans_num, false AS email_sent, CAST(NULL AS TIMESTAMP) AS email_sent_at,
   TIMESTAMP '{ALERT_TIME.isoformat(sep=" ")}' AS created_at

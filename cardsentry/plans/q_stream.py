@@ -5,11 +5,19 @@ SQL twin is the batch result the stream must equal."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardsentry.functions import dates
 from cardsentry.operators import store as ST
+from cardsentry.plans import reports as R
 from cardsentry.plans.catalog import Inputs, register
+from cardsentry.plans.oracle import clean_merchant_sql
+from cardsentry.plans.q_quality import VALID_SQL, VIOLATIONS_SQL
 from cardsentry.plans.q_store import _FIRST_VALID, _PAY_COLS, _PAY_SQL, ALERT_TIME, _training_twin
+from cardsentry.sources import feed
 from cardsentry.sources.storage import new_location
 from cardsentry.sources.tables import FIXTURE_AGE_AS_OF
 from cardsentry.streaming import stream as SS
@@ -23,7 +31,7 @@ def _landed_feed(i: Inputs) -> str:
 
 @register("stream_ingest", "SELECT batch_id, row_idx, trans_num, dob, transaction_time FROM payments_feed")
 def stream_ingest(i: Inputs):
-    bronze = ST.KeyedTable.create(i.spark, "bronze_feed")
+    bronze = ST.StoredRows.create(i.spark, "bronze_feed")
     SS.run(SS.read_landed(i.spark, _landed_feed(i)), SS.raw_appender(bronze), "ingest")
     return bronze.read().select("batch_id", "row_idx", "trans_num", "dob", "transaction_time")
 
@@ -31,7 +39,8 @@ def stream_ingest(i: Inputs):
 @register("stream_insert_ignore", f"SELECT {_PAY_SQL} FROM {_FIRST_VALID}")
 def stream_insert_ignore(i: Inputs):
     target = ST.KeyedTable.create(i.spark, "payments_stream")
-    SS.run(SS.read_landed(i.spark, _landed_feed(i)), SS.payment_inserter(target), "insert_ignore")
+    refused = ST.StoredRows.create(i.spark, "payments_quarantine")
+    SS.run(SS.read_landed(i.spark, _landed_feed(i)), SS.payment_inserter(target, refused), "insert_ignore")
     return target.read().select(*_PAY_COLS).withColumn("amt", F.col("amt").cast("double"))
 
 
@@ -40,7 +49,7 @@ def _score_tables(i: Inputs):
         pay = ST.KeyedTable.create(i.spark, "payments_stream", stamp="created_at")
         pred = ST.KeyedTable.create(i.spark, "predictions_stream", stamp="predicted_at")
         alerts = ST.KeyedTable.create(i.spark, "alerts_stream")
-        refused = ST.KeyedTable.create(i.spark, "quarantine_stream")
+        refused = ST.StoredRows.create(i.spark, "quarantine_stream")
         training = ST.KeyedTable.create(i.spark, "training_stream", stamp="created_at")
         writer = SS.score_and_alert(pay, pred, alerts, SS.lookup_scorer(i.predictions),
                                     as_of=FIXTURE_AGE_AS_OF, alert_time=ALERT_TIME,
@@ -51,6 +60,122 @@ def _score_tables(i: Inputs):
     return i._scored_tables
 
 
+# ------------------------------------------------------------ split-JSON feed
+
+# Documents of the first batch that are cut on the way, and those that come
+# without their index; the rows of a document are numbered together.
+_CUT, _BARE = "batch_id = 1 AND row_idx // 100 % 5 = 0", "row_idx // 100 % 5 = 1"
+_SENT = ["trans_num", "cc_num", "merchant", "category", "amt", "gender", "city", "state", "zip", "lat", "long",
+         "city_pop", "dob", "merch_lat", "merch_long", "is_fraud", "current_time"]
+
+
+def _land_documents(i: Inputs) -> str:
+    """The dirty feed as landed files of split-JSON documents, a batch after the
+    other: some documents cut in half, some without index."""
+    landing = new_location(i.spark, "landing_documents")
+    time = F.col("transaction_time").cast("timestamp_ntz")
+    rows = i.payments_feed.withColumn("current_time", dates.ntz_epoch(time, "MILLISECOND"))
+    for b in (1, 2):
+        docs = feed.encode_split_documents(rows.where(F.col("batch_id") == b), _SENT, "row_idx", rows_per_doc=100)
+        kind = F.col("doc_id") % 5
+        value = F.when(kind == 1, F.regexp_replace("value", r',\\"index\\":\[[0-9,]*\]', "")).otherwise(F.col("value"))
+        if b == 1:
+            value = F.when(kind == 0, F.expr("substring(value, 1, length(value) div 2)")).otherwise(value)
+        docs.select(value.alias("value")).write.mode("append").text(landing)
+    return landing
+
+
+def _feed_tables(i: Inputs):
+    if not hasattr(i, "_feed_run"):
+        payments = ST.create_tables(i.spark, new_location(i.spark, "feed_tables"), parts=16)["payments"]
+        refused = ST.StoredRows.create(i.spark, "feed_refused")
+        broken = ST.StoredRows.create(i.spark, "feed_broken")
+        SS.run(SS.read_feed(i.spark, _land_documents(i), 100), SS.feed_inserter(payments, refused, broken), "feed")
+        i._feed_run = (payments, refused, broken)
+    return i._feed_run
+
+
+_MS_TEXT = ("strftime(make_timestamp((epoch_us(CAST(transaction_time AS TIMESTAMP)) // 1000) * 1000), "
+            "'%Y-%m-%d %H:%M:%S.%g')")
+
+
+@register("stream_feed_json", f"""
+SELECT trans_num, cc_num, {clean_merchant_sql("merchant")} AS merchant, category,
+  CAST(CAST(amt AS DECIMAL(10,2)) AS DOUBLE) AS amt, gender, city, state, zip, CAST(lat AS DOUBLE) AS lat,
+  CAST(long AS DOUBLE) AS long, CAST(city_pop AS INTEGER) AS city_pop, dob, CAST(is_fraud AS INTEGER) AS is_fraud,
+  {_MS_TEXT} AS transaction_time, true AS stamped
+FROM (SELECT *, row_number() OVER (PARTITION BY trans_num ORDER BY batch_id) AS rn FROM payments_feed
+  WHERE NOT ({_CUT}) AND {VALID_SQL}) t WHERE rn = 1
+""")
+def stream_feed_json(i: Inputs):
+    """The split-JSON feed as a stream into the declared payments table."""
+    payments, _, _ = _feed_tables(i)
+    return payments.read().select(
+        "trans_num", "cc_num", "merchant", "category", F.col("amt").cast("double").alias("amt"), "gender", "city",
+        "state", "zip", "lat", "long", "city_pop", "dob", "is_fraud",
+        F.date_format(F.col("transaction_time").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSS").alias("transaction_time"),
+        F.col("created_at").isNotNull().alias("stamped"),
+    )
+
+
+@register("stream_feed_refused", f"""
+SELECT 'document' AS kind, 'not a JSON string' AS reason, count(DISTINCT row_idx // 100) AS n
+FROM payments_feed WHERE {_CUT}
+UNION ALL SELECT 'row', {VIOLATIONS_SQL}, count(*) FROM payments_feed
+WHERE NOT ({_CUT}) AND NOT ({VALID_SQL}) GROUP BY 2
+""")
+def stream_feed_refused(i: Inputs):
+    """What the feed stream refused: whole documents and single rows, by reason."""
+    _, refused, broken = _feed_tables(i)
+    n = F.count(F.lit(1)).alias("n")
+    rows = refused.read().groupBy(F.lit("row").alias("kind"), F.col("violations").alias("reason")).agg(n)
+    return broken.read().groupBy(F.lit("document").alias("kind"), "reason").agg(n).unionByName(rows)
+
+
+# ------------------------------------------------------------ one set of tables
+
+_REPORTED = f"""(SELECT fv.trans_num, fv.state, fv.is_fraud, CAST(CAST(fv.amt AS DECIMAL(10,2)) AS DOUBLE) AS amt,
+  p.fraud_probability AS p FROM {_FIRST_VALID} LEFT JOIN predictions p ON p.trans_num = fv.trans_num)"""
+
+
+@register("stored_tables_report", f"""
+SELECT 'payments' AS fact, CAST(count(*) AS DOUBLE) AS value FROM {_REPORTED} a
+UNION ALL SELECT 'training_data', count(*) FROM {_REPORTED} b
+UNION ALL SELECT 'predictions', count(p) FROM {_REPORTED} c
+UNION ALL SELECT 'fraud_alerts', count_if(p > 0.5) FROM {_REPORTED} d
+UNION ALL SELECT 'true frauds', count_if(CAST(is_fraud AS INTEGER) = 1) FROM {_REPORTED} e
+UNION ALL SELECT 'total amount', round(sum(amt), 2) FROM {_REPORTED} f
+UNION ALL SELECT 'pending alerts', count_if(p > 0.5) FROM {_REPORTED} g
+UNION ALL SELECT 'training rows', count(p) FROM {_REPORTED} h
+UNION ALL SELECT * FROM (SELECT 'frauds in ' || state, CAST(count(*) AS DOUBLE) FROM {_REPORTED} k WHERE p > 0.5
+  GROUP BY state ORDER BY count(*) DESC, state LIMIT 10) m
+""")
+def stored_tables_report(i: Inputs):
+    """Declared tables are created, the feed streams into them with scores,
+    alerts and training rows, and the reports read these same tables."""
+    t = ST.create_tables(i.spark, new_location(i.spark, "declared_tables"), parts=8)
+    writer = SS.score_and_alert(
+        t["payments"], t["predictions"], t["fraud_alerts"], SS.lookup_scorer(i.predictions), as_of=FIXTURE_AGE_AS_OF,
+        alert_time=ALERT_TIME, quarantine=ST.StoredRows.create(i.spark, "declared_refused"), training=t["training_data"])
+    SS.run(SS.read_landed(i.spark, _landed_feed(i), 100), writer, "declared")
+    rows = {name: table.read() for name, table in t.items()}
+    scored = R.scored_payments(rows["predictions"], rows["payments"])
+
+    def fact(df, name, column):
+        return df.select(F.lit(name).alias("fact") if isinstance(name, str) else name.alias("fact"),
+                         F.col(column).cast("double").alias("value"))
+
+    counts = [fact(df.agg(F.count(F.lit(1)).alias("n")), name, "n") for name, df in rows.items()]
+    kpi = R.kpi_totals(rows["payments"])
+    parts = counts + [
+        fact(kpi, "true frauds", "total_frauds"), fact(kpi, "total amount", "total_amount"),
+        fact(R.alert_totals(rows["fraud_alerts"]), "pending alerts", "pending"),
+        fact(R.train_extract_summary(rows["predictions"], rows["training_data"]), "training rows", "n_rows"),
+        fact(R.frauds_by(scored, "state"), F.concat(F.lit("frauds in "), F.col("state")), "n_frauds"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 _RISK = ("CASE WHEN p.fraud_probability < 0.3 THEN 'LOW' WHEN p.fraud_probability < 0.6 THEN 'MEDIUM' "
          "WHEN p.fraud_probability < 0.8 THEN 'HIGH' ELSE 'CRITICAL' END")
 
@@ -87,12 +212,12 @@ SELECT CAST(predicted_at AS DATE) AS day, is_fraud AS predicted_fraud, count(*)
 FROM predictions GROUP BY 1, 2
 """)
 def stream_daily_counts(i: Inputs):
-    landing = new_location(i.spark, "landing_predictions")
-    i.predictions.write.parquet(landing)
+    """Predictions land in order of time; each micro-batch updates its days."""
+    landing = SS.land_in_order(i.predictions, new_location(i.spark, "landing_predictions"), "predicted_at")
     out = new_location(i.spark, "daily_counts")
     counts = SS.daily_counts_stream(SS.read_landed(i.spark, landing))
-    SS.run(counts, SS.overwrite_writer(out), "daily_counts", output_mode="complete")
-    return i.spark.read.parquet(out)
+    SS.run(counts, SS.daily_upserter(out), "daily_counts", output_mode="update")
+    return SS.read_daily(i.spark, out)
 
 
 @register("stream_score_model")
@@ -106,7 +231,7 @@ def stream_score_model(i: Inputs):
     pred = ST.KeyedTable.create(i.spark, "predictions_model_stream")
     alerts = ST.KeyedTable.create(i.spark, "alerts_model_stream")
     writer = SS.score_and_alert(pay, pred, alerts, SS.model_scorer(model), as_of=FIXTURE_AGE_AS_OF,
-                                alert_time=ALERT_TIME)
+                                alert_time=ALERT_TIME, quarantine=ST.StoredRows.create(i.spark, "quarantine_model_stream"))
     SS.run(SS.read_landed(i.spark, _landed_feed(i)), writer, "score_model")
     return pred.read().select("trans_num", "is_fraud", "fraud_probability", "risk_level", "confidence")
 

@@ -39,13 +39,14 @@ def latest_payments(payments: DataFrame, limit: int = LATEST_PAYMENTS_DEFAULT) -
     )
 
 
-def scored_payments(predictions: DataFrame, payments: DataFrame, limit: int | None = None,
-                    newest_first: bool = True) -> DataFrame:
-    """Predictions joined to their payments, optionally only the ``limit`` newest.
-
-    With a limit the top-k is taken before payments are joined, on the
-    predictions whose payment is stored: a semi join moves keys only, so that
-    orphans never shorten the result. The limited rows come back in order.
+def scored_labels(predictions: DataFrame, payments: DataFrame | None = None, limit: int | None = None,
+                  newest_first: bool = True) -> DataFrame:
+    """Label, probability and time of the predictions of stored payments,
+    optionally only the ``limit`` newest, in order.
+
+    Payments add no column here: without ``payments`` the foreign key is taken as
+    enforced by the writers (``KeyedTable.insert_checked``) and nothing is joined;
+    with them, a semi join on keys leaves orphans out.
     """
     pred = predictions.select(
         "trans_num",
@@ -53,37 +54,55 @@ def scored_payments(predictions: DataFrame, payments: DataFrame, limit: int | No
         "fraud_probability",
         "predicted_at",
     )
-    if limit is not None:
-        order = ([F.col("predicted_at").desc(), F.col("trans_num").desc()] if newest_first
-                 else [F.col("predicted_at"), F.col("trans_num")])
-        pred = pred.join(payments.select("trans_num"), "trans_num", "left_semi").orderBy(*order).limit(limit)
+    if payments is not None:
+        pred = pred.join(payments.select("trans_num"), "trans_num", "left_semi")
+    return pred if limit is None else pred.orderBy(*_by_time(newest_first)).limit(limit)
+
+
+def _by_time(newest_first: bool = True) -> list[Column]:
+    time, key = F.col("predicted_at"), F.col("trans_num")
+    return [time.desc(), key.desc()] if newest_first else [time, key]
+
+
+def scored_payments(predictions: DataFrame, payments: DataFrame, limit: int | None = None,
+                    newest_first: bool = True, enforced: bool = False) -> DataFrame:
+    """Predictions joined to their payments, optionally only the ``limit`` newest.
+
+    With a limit the top-k is taken before payments are joined. Unless the
+    foreign key is ``enforced`` by the writers, it is taken on the predictions
+    whose payment is stored, so that orphans never shorten the result. The
+    limited rows come back in order.
+    """
+    pred = scored_labels(predictions, None if enforced or limit is None else payments, limit, newest_first)
     pay = payments.select("trans_num", _amount().alias("amt"), "merchant", "category", "city", "state")
     out = pred.join(pay, "trans_num").select(
         "trans_num", "amt", "merchant", "category", "city", "state",
         "predicted_fraud", "fraud_probability", "predicted_at",
     )
-    return out if limit is None else out.orderBy(*order)  # a join keeps no order
+    return out if limit is None else out.orderBy(*_by_time(newest_first))  # a join keeps no order
 
 
-def recent_predictions(predictions: DataFrame, payments: DataFrame,
-                       limit: int = RECENT_PREDICTIONS_DEFAULT, only_fraud: bool = False) -> DataFrame:
+def recent_predictions(predictions: DataFrame, payments: DataFrame, limit: int = RECENT_PREDICTIONS_DEFAULT,
+                       only_fraud: bool = False, enforced: bool = False) -> DataFrame:
     """Most recent scored payments (dashboard table); optional frauds-only toggle."""
-    df = scored_payments(predictions, payments, limit)
+    df = scored_payments(predictions, payments, limit, enforced=enforced)
     if only_fraud:
         df = df.where(F.col("predicted_fraud"))
     return df
 
 
 def recent_alerts(alerts: DataFrame, payments: DataFrame, predictions: DataFrame,
-                  limit: int | None = RECENT_ALERTS) -> DataFrame:
+                  limit: int | None = RECENT_ALERTS, enforced: bool = False) -> DataFrame:
     """Alerts with payment details and (possibly missing) probability.
 
-    Inner join to payments, LEFT join to predictions, newest first.
+    Inner join to payments, LEFT join to predictions, newest first. ``enforced``
+    as in ``scored_payments``.
     """
     fa = alerts.select("id", "trans_num", "email_sent", "email_sent_at", "created_at")
     if limit is not None:
-        known = fa.join(payments.select("trans_num"), "trans_num", "left_semi")
-        fa = known.orderBy(F.col("created_at").desc(), F.col("trans_num").desc()).limit(limit)
+        if not enforced:
+            fa = fa.join(payments.select("trans_num"), "trans_num", "left_semi")
+        fa = fa.orderBy(F.col("created_at").desc(), F.col("trans_num").desc()).limit(limit)
     pay = payments.select("trans_num", _amount().alias("amt"), "merchant", "city", "state")
     pred = predictions.select("trans_num", "fraud_probability")
     return (
@@ -268,15 +287,15 @@ def daily_report_summary(predictions: DataFrame, training: DataFrame, as_of: _dt
 # ---------------------------------------------------------------- display (S-11, F-04/05/07)
 
 def fmt_recent(predictions: DataFrame, payments: DataFrame, only_fraud: bool = False,
-               head: int = 50, loaded: int = RECENT_PREDICTIONS_DEFAULT) -> DataFrame:
+               head: int = 50, loaded: int = RECENT_PREDICTIONS_DEFAULT, enforced: bool = False) -> DataFrame:
     """Dashboard table rows: money and percent text, status label, the newest
     ``head``. The frauds-only table shows the frauds among the ``loaded``
     newest rows, which is what the dashboard holds when it filters."""
     if only_fraud:
-        rows = scored_payments(predictions, payments, limit=loaded).where("predicted_fraud")
+        rows = scored_payments(predictions, payments, limit=loaded, enforced=enforced).where("predicted_fraud")
     else:
-        rows = scored_payments(predictions, payments, limit=head)
-    newest = [F.col("predicted_at").desc(), F.col("trans_num").desc()]
+        rows = scored_payments(predictions, payments, limit=head, enforced=enforced)
+    newest = _by_time()
     return (
         rows.orderBy(*newest)
         .limit(head)
@@ -306,7 +325,7 @@ def fmt_alerts(alert_rows: DataFrame, head: int = 20) -> DataFrame:
     )
 
 
-def alert_digest(predictions: DataFrame, payments: DataFrame, head: int = 10) -> DataFrame:
+def alert_digest(predictions: DataFrame, payments: DataFrame, head: int = 10, enforced: bool = False) -> DataFrame:
     """First ``head`` frauds (p > 0.5) of a scored batch as digest lines, with
     the total and the "and N more" remainder as columns.
 
@@ -316,7 +335,7 @@ def alert_digest(predictions: DataFrame, payments: DataFrame, head: int = 10) ->
     """
     frauds = predictions.where(scoring.above_threshold(F.col("fraud_probability")))
     total = frauds.select(F.count(F.lit(1))).scalar()
-    first = scored_payments(frauds, payments, limit=head, newest_first=False)
+    first = scored_payments(frauds, payments, limit=head, newest_first=False, enforced=enforced)
     return first.select(
         "trans_num",
         F.substring("trans_num", 1, 30).alias("id_text"),

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 # --------------------------------------------------------------------------
 # Stored tables (typed like the original relational DDL; VARCHAR -> string,
-# FLOAT -> double, SERIAL -> long).
+# FLOAT -> double, SERIAL -> long). Names, order, types and nulls.
+# Times are wall clock times without a zone.
 # --------------------------------------------------------------------------
 
 PAYMENTS = T.StructType(
@@ -38,7 +39,7 @@ PAYMENTS = T.StructType(
         T.StructField("merch_long", T.DoubleType()),
         T.StructField("is_fraud", T.IntegerType()),
         T.StructField("transaction_time", T.StringType()),
-        T.StructField("created_at", T.TimestampType()),
+        T.StructField("created_at", T.TimestampNTZType()),
     ]
 )
 
@@ -68,7 +69,7 @@ TRAINING_DATA = T.StructType(
         T.StructField("dayofweek", T.IntegerType()),
         T.StructField("is_we", T.IntegerType()),
         T.StructField("is_fraud", T.IntegerType()),
-        T.StructField("created_at", T.TimestampType()),
+        T.StructField("created_at", T.TimestampNTZType()),
     ]
 )
 
@@ -78,7 +79,7 @@ PREDICTIONS = T.StructType(
         T.StructField("trans_num", T.StringType(), False),
         T.StructField("is_fraud", T.BooleanType(), False),
         T.StructField("fraud_probability", T.DoubleType(), False),
-        T.StructField("predicted_at", T.TimestampType()),
+        T.StructField("predicted_at", T.TimestampNTZType()),
     ]
 )
 
@@ -87,11 +88,15 @@ FRAUD_ALERTS = T.StructType(
         T.StructField("id", T.LongType()),
         T.StructField("trans_num", T.StringType(), False),
         T.StructField("email_sent", T.BooleanType()),
-        T.StructField("email_sent_at", T.TimestampType()),
-        T.StructField("created_at", T.TimestampType()),
+        T.StructField("email_sent_at", T.TimestampNTZType()),
+        T.StructField("created_at", T.TimestampNTZType()),
     ]
 )
 
+STORED_TABLES = {
+    "payments": PAYMENTS, "training_data": TRAINING_DATA, "predictions": PREDICTIONS, "fraud_alerts": FRAUD_ALERTS,
+}
+
 # Unique keys and foreign keys of the stored tables: (child, parent, column).
 UNIQUE_KEYS = {
     "payments": "trans_num",

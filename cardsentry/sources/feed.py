@@ -49,6 +49,27 @@ def read_history_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_history_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Every data line of a history CSV: its typed columns, the raw ``line`` and
+    ``damaged``, whether the line lacks fields, has too many, or holds a value
+    that is not of its column's type. Header lines are left out. A record is one
+    line; quoted line breaks are not part of this layout."""
+    names = [n for n, _ in HISTORY_COLUMNS]
+    lines = spark.read.text(path).withColumnRenamed("value", "line")
+    is_header = F.slice(F.split("line", ","), 2, len(names)) == F.array(*[F.lit(n) for n in names])
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in HISTORY_SCHEMA) + ", _damaged string"
+    row = F.from_csv("line", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_damaged"})
+    parsed = lines.where(~is_header & (F.trim("line") != "")).select("line", row.alias("r"))
+    return parsed.select(*[F.col("r")[n].alias(n) for n in names], "line", F.col("r._damaged").isNotNull().alias("damaged"))
+
+
+def split_history_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(sound rows, raw lines of the damaged ones) of a history CSV; together
+    they are all data lines."""
+    rows = read_history_lines(spark, path)
+    return rows.where(~F.col("damaged")).drop("line", "damaged"), rows.where("damaged").select("line")
+
+
 def to_history_layout(payments: DataFrame) -> DataFrame:
     """Payments in the history CSV layout (index = id)."""
     ts = F.col("transaction_time")
@@ -76,7 +97,8 @@ def write_history_csv(payments: DataFrame, path: str) -> str:
 
 # ------------------------------------------------------------------ split JSON
 
-SPLIT_DOC_SCHEMA = "columns array<string>, index array<bigint>, data array<array<string>>"
+# Index labels are read as text: a document may label its rows with anything.
+SPLIT_DOC_SCHEMA = "columns array<string>, index array<string>, data array<array<string>>"
 
 # Feed column -> type after decoding (current_time holds epoch milliseconds).
 FEED_TYPES: list[tuple[str, str]] = [
@@ -108,40 +130,80 @@ def encode_split_documents(df: DataFrame, columns: Sequence[str], index_col: str
 
 
 def unwrap_json_string(value: Column) -> Column:
-    """Decode a JSON string literal (``"{\\"a\\":1}"`` -> ``{"a":1}``)."""
-    return F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")[0]
+    """Decode a JSON string literal (``"{\\"a\\":1}"`` -> ``{"a":1}``); null if
+    ``value`` is none."""
+    return F.get(F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>"), 0)
 
 
-def decode_split_documents(lines: DataFrame, value_col: str = "value",
-                           types: Sequence[tuple[str, str]] = FEED_TYPES) -> DataFrame:
-    """One typed row per entry of every document's ``data`` array, plus the
-    document's ``index`` value as ``feed_index``. Documents that cannot be
-    read give no row here and one in ``broken_documents``."""
-    doc = F.from_json(unwrap_json_string(F.col(value_col)), SPLIT_DOC_SCHEMA)
-    rows = lines.select(doc.alias("d")).select(
-        F.col("d.columns").alias("columns"),
-        F.explode(F.arrays_zip(F.col("d.index").alias("index"), F.col("d.data").alias("data"))).alias("e"),
+def read_documents(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """``lines`` with ``document`` (the parsed document) and ``reason``: why it
+    cannot be turned into rows, null for a sound document.
+
+    A document is taken as a whole or not at all. It is sound if it has columns
+    and data, every entry of ``data`` has a value for each column, and
+    ``index``, if there, a label for each entry. An empty ``data`` array is no
+    fault; a missing ``index`` is none either.
+    """
+    text_ = unwrap_json_string(F.col(value_col))
+    doc = F.from_json(F.col("_text"), SPLIT_DOC_SCHEMA)
+    d = F.col("document")
+    ragged = F.exists(d["data"], lambda r: F.coalesce(F.size(r) != F.size(d["columns"]), F.lit(True)))
+    reason = (
+        F.when(F.col("_text").isNull(), F.lit("not a JSON string"))
+        .when(d.isNull() | (d["columns"].isNull() & d["data"].isNull()), F.lit("not a split document"))
+        .when(d["columns"].isNull(), F.lit("no columns"))
+        .when(d["data"].isNull(), F.lit("no data"))
+        .when(ragged, F.lit("ragged rows"))
+        .when(F.size(d["index"]) != F.size(d["data"]), F.lit("index does not fit"))
+    )
+    return (lines.withColumn("_text", text_).withColumn("document", doc)
+            .withColumn("reason", reason).drop("_text"))
+
+
+def document_rows(documents: DataFrame, types: Sequence[tuple[str, str]] = FEED_TYPES,
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """One typed row per entry of the sound ``documents`` (of ``read_documents``),
+    with the columns in ``keep``, the entry's place ``feed_pos``, its label
+    ``feed_label`` (null without an index) and ``feed_index``: the label if all
+    labels of the document are whole numbers, else the place."""
+    d = F.col("document")
+    numbered = F.forall(d["index"], lambda x: x.try_cast("bigint").isNotNull())
+    rows = documents.where(F.col("reason").isNull()).select(
+        *keep, d["columns"].alias("columns"), d["index"].alias("index"),
+        F.coalesce(numbered, F.lit(False)).alias("numbered"), F.posexplode(d["data"]).alias("feed_pos", "entry"),
     )
-    out = [F.col("e.index").alias("feed_index")]
+    label = F.get(F.col("index"), F.col("feed_pos"))
+    place = F.col("feed_pos").cast("bigint")
+    out = [F.col("feed_pos"), label.alias("feed_label"),
+           F.when(F.col("numbered"), label.try_cast("bigint")).otherwise(place).alias("feed_index")]
     for name, dtype in types:
-        raw = F.get(F.col("e.data"), F.array_position("columns", F.lit(name)).cast("int") - 1)
+        raw = F.get(F.col("entry"), F.array_position("columns", F.lit(name)).cast("int") - 1)
         out.append((raw if dtype == "string" else raw.try_cast(dtype)).alias(name))
-    return rows.select(*out)
+    return rows.select(*keep, *out)
+
+
+def decode_split_documents(lines: DataFrame, value_col: str = "value",
+                           types: Sequence[tuple[str, str]] = FEED_TYPES) -> DataFrame:
+    """The rows of all sound documents among ``lines``. Every other document
+    gives no row here and one in ``broken_documents``."""
+    return document_rows(read_documents(lines, value_col), types)
 
 
 def broken_documents(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """(value, reason) of the documents that ``decode_split_documents`` cannot
-    turn into rows, with their raw text, for quarantine. An empty ``data``
-    array is no fault."""
-    text_ = unwrap_json_string(F.col(value_col))
-    doc = F.from_json(text_, SPLIT_DOC_SCHEMA)
-    reason = (
-        F.when(text_.isNull(), F.lit("not a JSON string"))
-        .when(doc.isNull() | (doc["columns"].isNull() & doc["data"].isNull()), F.lit("not a split document"))
-        .when(doc["columns"].isNull(), F.lit("no columns"))
-        .when(doc["data"].isNull(), F.lit("no data"))
-    )
-    return lines.select(F.col(value_col).alias("value"), reason.alias("reason")).where(F.col("reason").isNotNull())
+    """(value, reason) of the documents that are not sound, with their raw text,
+    for quarantine."""
+    found = read_documents(lines, value_col).where(F.col("reason").isNotNull())
+    return found.select(F.col(value_col).alias("value"), "reason")
+
+
+def feed_account(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """(state, documents, entries): how many documents are sound and how many
+    broken, by reason, and the entries of the sound ones. Documents add up to
+    the lines, entries to the decoded rows."""
+    found = read_documents(lines, value_col)
+    entries = F.when(F.col("reason").isNull(), F.size(F.col("document")["data"])).otherwise(0)
+    return found.groupBy(F.coalesce("reason", F.lit("sound")).alias("state")).agg(
+        F.count(F.lit(1)).alias("documents"), F.sum(entries).cast("bigint").alias("entries"))
 
 
 def feed_time(df: DataFrame, source: str = "current_time", target: str = "transaction_time") -> DataFrame:
@@ -152,7 +214,13 @@ def feed_time(df: DataFrame, source: str = "current_time", target: str = "transa
         f"{target}_text", F.date_format(F.col(target), "yyyy-MM-dd HH:mm:ss.SSS")).drop(source)
 
 
+def extract_rows(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The rows of the sound ``documents`` (of ``read_documents``) with the
+    columns in ``keep``: clock renamed, merchant names cleaned."""
+    df = feed_time(document_rows(documents, keep=keep))
+    return df.withColumn("merchant", text.clean_merchant(F.col("merchant")))
+
+
 def extract_feed(lines: DataFrame) -> DataFrame:
     """Decode, rename the clock and clean merchant names (the extract step)."""
-    df = feed_time(decode_split_documents(lines))
-    return df.withColumn("merchant", text.clean_merchant(F.col("merchant")))
+    return extract_rows(read_documents(lines))

@@ -22,6 +22,7 @@ from cardsentry.functions import dates, scoring
 from cardsentry.operators import features as FE
 from cardsentry.operators import quality as Q
 from cardsentry.operators import store as ST
+from cardsentry.sources import feed
 from cardsentry.sources.storage import materialize, new_location
 
 DEFAULT_TRIGGER = "20 seconds"  # cadence of the original feed pull
@@ -48,6 +49,13 @@ def read_landed(spark: SparkSession, landing: str, max_files_per_trigger: int =
             .parquet(landing))
 
 
+def read_feed(spark: SparkSession, landing: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """Streaming read of landed split-JSON files: one document a line, as it was
+    sent, with the file that it came in (``source_file``)."""
+    return (spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(landing)
+            .select("value", F.col("_metadata.file_path").alias("source_file")))
+
+
 def run(stream: DataFrame, writer: Callable[[DataFrame, int], None], name: str,
         trigger_available_now: bool = True, output_mode: str = "append",
         checkpoint: str | None = None) -> StreamingQuery:
@@ -89,28 +97,55 @@ def skip_empty(write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame,
     return wrapped
 
 
-def raw_appender(target: ST.KeyedTable) -> Callable[[DataFrame, int], None]:
-    """Append every landed row as it arrived (bronze copy)."""
+def raw_appender(target: ST.StoredRows) -> Callable[[DataFrame, int], None]:
+    """Store every landed row as it arrived (bronze copy), a replayed batch once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        target.append(batch)
+        target.put(batch, batch_id)
 
     return write
 
 
-def payment_inserter(target: ST.KeyedTable, quarantine: ST.KeyedTable | None = None
-                     ) -> Callable[[DataFrame, int], None]:
+def _listed(bad: DataFrame) -> DataFrame:
+    return bad.withColumn("violations", F.array_join("violations", ","))
+
+
+def payment_inserter(target: ST.KeyedTable, quarantine: ST.StoredRows) -> Callable[[DataFrame, int], None]:
     """Validate a micro-batch, quarantine bad rows, insert new good ones."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         good, bad = Q.split_good_bad(batch)
-        if quarantine is not None:
-            quarantine.append(bad.withColumn("violations", F.array_join("violations", ",")))
+        quarantine.put(_listed(bad), batch_id)
         target.insert_ignore(Q.typed_payments(good))
 
     return skip_empty(write)
 
 
+def feed_inserter(target: ST.KeyedTable, quarantine: ST.StoredRows, broken: ST.StoredRows
+                  ) -> Callable[[DataFrame, int], None]:
+    """Decode a micro-batch of split-JSON documents (``read_feed``) and insert
+    their new valid rows.
+
+    Every document either gives all its rows or goes to ``broken`` with its text,
+    file and reason; every row is inserted, skipped as a duplicate, or goes to
+    ``quarantine`` with its violations. Of rows that share a key the first of the
+    first file is taken. All three sinks belong to one checkpoint: a replayed
+    batch replaces what it stored in the quarantines and inserts nothing twice.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        documents = feed.read_documents(batch)
+        lost = documents.where(F.col("reason").isNotNull())
+        broken.put(lost.select("value", "source_file", "reason"), batch_id)
+        rows = feed.extract_rows(documents, keep=["source_file"])
+        good, bad = Q.split_good_bad(rows.drop("transaction_time_text"))
+        quarantine.put(_listed(bad), batch_id)
+        order = ("source_file", "feed_index")
+        target.insert_ignore(Q.typed_payments(good).drop("feed_pos", "feed_label"), order_cols=order)
+
+    return skip_empty(write)
+
+
 def lookup_scorer(probabilities: DataFrame, key: str = "trans_num",
                   column: str = "fraud_probability") -> Callable[[DataFrame], DataFrame]:
     """Scorer that reads stored probabilities (stream-static join on the key).
@@ -155,7 +190,7 @@ def scored_rows(rows: DataFrame, scorer: Callable[[DataFrame], DataFrame], as_of
 
 def score_and_alert(payments: ST.KeyedTable, predictions: ST.KeyedTable, alerts: ST.KeyedTable,
                     scorer: Callable[[DataFrame], DataFrame], as_of: _dt.date | None = None,
-                    alert_time: _dt.datetime | None = None, quarantine: ST.KeyedTable | None = None,
+                    alert_time: _dt.datetime | None = None, *, quarantine: ST.StoredRows,
                     training: ST.KeyedTable | None = None) -> Callable[[DataFrame, int], None]:
     """Per micro-batch: insert new payments, score them, write predictions and
     one alert per predicted fraud, and the training rows if asked for.
@@ -169,14 +204,11 @@ def score_and_alert(payments: ST.KeyedTable, predictions: ST.KeyedTable, alerts:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         good, bad = Q.split_good_bad(batch)
-        timed = F.col("transaction_time").try_cast("timestamp_ntz").isNotNull()
-        if quarantine is not None:
-            untimed = good.where(~timed).withColumn("violations", F.array(F.lit("type:transaction_time")))
-            quarantine.append(bad.unionByName(untimed).withColumn("violations", F.array_join("violations", ",")))
-        typed = Q.typed_payments(good.where(timed))
+        quarantine.put(_listed(bad), batch_id)
+        typed = Q.typed_payments(good)
         payments.insert_ignore(typed)
-        stored = ST.stored_rows(payments.read(), typed, bound=batch)
-        done = predictions.read()
+        stored = ST.stored_rows(payments.near(typed), typed, bound=batch)
+        done = predictions.near(typed)
         todo = stored
         if done is not None:
             todo = stored.join(ST.stored_keys(done, typed, bound=batch), "trans_num", "left_anti")
@@ -185,7 +217,7 @@ def score_and_alert(payments: ST.KeyedTable, predictions: ST.KeyedTable, alerts:
             "trans_num", F.col("is_fraud_pred").cast("boolean").alias("is_fraud"), "fraud_probability",
             "risk_level", "confidence",
         ), order_cols=())
-        known = ST.stored_rows(predictions.read(), typed, bound=batch)
+        known = ST.stored_rows(predictions.near(typed), typed, bound=batch)
         alerts.insert_ignore(ST.alerts_from_scores(known, alert_time, label="is_fraud"), order_cols=())
         if training is not None:
             feats = FE.clean_merchant(FE.drop_for_training(FE.add_features(stored, as_of=as_of, variant="stream")))
@@ -199,8 +231,10 @@ def score_and_alert(payments: ST.KeyedTable, predictions: ST.KeyedTable, alerts:
 
 def daily_counts_stream(stream: DataFrame, time_col: str = "predicted_at", label: str = "is_fraud",
                         delay: str = "1 day") -> DataFrame:
-    """Counts per day and predicted label with a watermark (event time must
-    be a zoned timestamp for the watermark)."""
+    """Counts per day and predicted label. Rows up to ``delay`` behind the newest
+    one still count; then a day is final and leaves the state, so the state holds
+    the days of the delay and not the history. A later row is dropped (Spark
+    counts these in the query's progress)."""
     # wall clock read as UTC: the instant, the window and the day do not
     # depend on the session time zone
     ts = F.timestamp_micros(dates.ntz_epoch(F.col(time_col), "MICROSECOND"))
@@ -214,10 +248,32 @@ def daily_counts_stream(stream: DataFrame, time_col: str = "predicted_at", label
     )
 
 
-def overwrite_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """Complete-mode sink: each micro-batch rewrites the (small) result table."""
+def daily_upserter(path: str) -> Callable[[DataFrame, int], None]:
+    """Update-mode sink: the days that a micro-batch changed take the place of
+    their earlier counts, others are not touched. Every (day, label) is a folder
+    of its own, so nothing is read, and a replay writes the same again."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        (batch.repartition("day", "predicted_fraud").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("day", "predicted_fraud").parquet(path))
 
-    return write
+    return skip_empty(write)
+
+
+def read_daily(spark: SparkSession, path: str) -> DataFrame:
+    """(day, predicted_fraud, n) as ``daily_upserter`` stored it."""
+    return spark.read.schema("n bigint, day date, predicted_fraud boolean").parquet(path).select(
+        "day", "predicted_fraud", "n")
+
+
+def land_in_order(df: DataFrame, landing: str, time_col: str, pieces: int = 3) -> str:
+    """Land rows in ``pieces`` appends by time, as a feed would have brought them."""
+    lo, hi = df.select(F.min(time_col), F.max(time_col)).first()
+    if lo is None:
+        return landing
+    cuts = [lo + (hi - lo) * k / pieces for k in range(1, pieces)]
+    t, lits = F.col(time_col), [F.lit(c.isoformat(sep=" ")).cast("timestamp_ntz") for c in cuts]
+    for k in range(pieces):
+        piece = df if k == 0 else df.where(t >= lits[k - 1])
+        (piece if k == pieces - 1 else piece.where(t < lits[k])).write.mode("append").parquet(landing)
+    return landing

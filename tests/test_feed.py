@@ -36,3 +36,49 @@ def test_broken_documents_are_kept_apart(spark):
     assert [r.trans_num for r in feed.decode_split_documents(lines).where("trans_num is not null").collect()] == ["T1"]
     bad = sorted(r.reason for r in feed.broken_documents(lines).collect())
     assert bad == ["no columns", "no data", "not a JSON string", "not a split document"]
+
+
+def _doc(**parts):
+    import json
+    return json.dumps(json.dumps(parts))
+
+
+def test_a_document_gives_all_its_rows_or_is_kept_apart(spark):
+    columns = ["trans_num", "amt"]
+    sound = [
+        _doc(columns=columns, index=[4, 9], data=[["T1", 1], ["T2", 2]]),
+        _doc(columns=columns, data=[["T3", 3], ["T4", 4]]),  # no index
+        _doc(columns=columns, index=["a", "7"], data=[["T5", 5], ["T6", 6]]),  # labels that are no numbers
+        _doc(columns=columns, index=[], data=[]),
+    ]
+    broken = [
+        (_doc(index=[0], data=[["T7", 7]]), "no columns"),
+        (_doc(columns=columns, index=[0]), "no data"),
+        (_doc(columns=columns, data=[["T8", 8], ["T9"]]), "ragged rows"),
+        (_doc(columns=columns, data=[["T8", 8], None]), "ragged rows"),
+        (_doc(columns=columns, index=[0], data=[["TA", 1], ["TB", 2]]), "index does not fit"),
+        (_doc(other=1), "not a split document"),
+        ("", "not a JSON string"), ("{", "not a JSON string"), (None, "not a JSON string"),
+    ]
+    lines = spark.createDataFrame([(d,) for d in sound] + [(d,) for d, _ in broken], "value string")
+    rows = {r.trans_num: r for r in feed.decode_split_documents(lines).collect()}
+    assert {t: (r.feed_index, r.feed_pos, r.feed_label) for t, r in rows.items()} == {
+        "T1": (4, 0, "4"), "T2": (9, 1, "9"), "T3": (0, 0, None), "T4": (1, 1, None),
+        "T5": (0, 0, "a"), "T6": (1, 1, "7")}
+    assert sorted((r.value or "", r.reason) for r in feed.broken_documents(lines).collect()) == sorted(
+        (d or "", why) for d, why in broken)
+    account = {r.state: (r.documents, r.entries) for r in feed.feed_account(lines).collect()}
+    assert account["sound"] == (4, len(rows)) and sum(n for n, _ in account.values()) == lines.count()
+
+
+def test_damaged_history_lines_are_set_apart(spark, tmp_path):
+    path = str(tmp_path / "history.csv")
+    header = ",".join([""] + [n for n, _ in feed.HISTORY_COLUMNS])
+    good = '1,2019-01-01 00:00:18,27,"fraud_Rippin, Kub",misc_net,4.97,J,B,F,"561 Perry, Cove",Moravian,NC,28654,36.0,-81.1,3495,Job,1988-03-09,0b24,13,36.0,-82.0,0'
+    lines = [header, good, good[:40], good.replace("4.97", "a lot"), good + ",more", "", good.replace("4.97", "")]
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    sound, lost = feed.split_history_csv(spark, path)
+    rows = sound.orderBy("amt").collect()
+    assert [r.amt for r in rows] == [None, 4.97] and rows[1].merchant == "fraud_Rippin, Kub" and rows[1].is_fraud == 0
+    assert sorted(r.line for r in lost.collect()) == sorted([lines[2], lines[3], lines[4]])

@@ -56,3 +56,23 @@ def test_kpi_is_one_partial_and_final_aggregate(plans):
     p = plans["kpi_totals"]
     assert "SortMergeJoin" not in p and "Window" not in p
     assert len(re.findall(r"HashAggregate", p)) >= 2  # partial (map side) + final
+
+
+def _exchanges(plan: str) -> int:
+    """Shuffles of a plan, each counted once."""
+    return len(set(re.findall(r"^\((\d+)\) Exchange", plan, re.M)))
+
+
+def test_charts_of_labels_join_no_payments(plans):
+    for key in ("probability_histogram", "fraud_vs_legit", "daily_counts_pivot"):
+        assert "cc_num" not in plans[key] and _exchanges(plans[key]) <= _exchanges(plans["kpi_totals"]) + 2
+
+
+def test_recent_lists_take_the_top_before_the_join(plans):
+    for key in ("recent_predictions", "recent_alerts"):
+        assert "TakeOrderedAndProject" in plans[key] and "LeftSemi" not in plans[key]
+
+
+def test_quartiles_take_few_shuffles(plans):
+    # value and range tables are written before; what is left ranks inside their partitions
+    assert _exchanges(plans["amount_quartiles"]) <= 8

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from cardsentry.operators import quality as Q
 
 COLS = ["trans_num", "cc_num", "merchant", "category", "amt", "gender", "state", "zip", "lat", "long",
@@ -55,3 +57,18 @@ def test_values_that_do_not_fit_are_violations(spark):
     good, bad = Q.split_good_bad(df)
     assert good.count() == 1
     assert sorted(v for r in bad.collect() for v in r.violations) == ["overflow:amt", "overflow:amt", "overflow:city_pop"]
+
+
+def test_every_value_must_survive_being_stored(spark):
+    good = {"id": "7", "amt": "0.01", "is_fraud": "1", "dob": "1990-01-01", "transaction_time": "2024-01-10 10:00:00.123456"}
+    bad = [({"id": "abc"}, "type:id"), ({"is_fraud": "abc"}, "type:is_fraud"), ({"is_fraud": "7"}, "range:is_fraud"),
+           ({"amt": "0.001"}, "range:amt"), ({"dob": "garbage"}, "type:dob"),
+           ({"transaction_time": "garbage"}, "type:transaction_time"), ({"transaction_time": "2024-13-01"}, "type:transaction_time")]
+    fine = [{}, {"dob": ""}, {"is_fraud": None}, {"id": None}, {"transaction_time": "2024-01-10"}]
+    rows = [tuple({**good, **c}[k] for k in good) for c in [c for c, _ in bad] + fine]
+    df = spark.createDataFrame(rows, ", ".join(f"{k} string" for k in good))
+    found = [r.violations for r in Q.with_violations(df).collect()]
+    assert found == [[rule] for _, rule in bad] + [[]] * len(fine)
+    kept = Q.typed_payments(Q.split_good_bad(df)[0])
+    lost = [c for c in good if kept.where(F.col(c).isNull()).count() != sum(f.get(c, "") is None for f in fine)]
+    assert lost == []

@@ -105,3 +105,64 @@ def test_fallback_folder_is_refused_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         storage.shared_root(Session())
+
+
+def _declared(spark, parts=0):
+    from cardsentry.sources.storage import new_location
+
+    return ST.create_tables(spark, new_location(spark, "declared"), parts=parts)
+
+
+@pytest.mark.parametrize("parts", [0, 8])
+def test_declared_tables_take_their_own_writers(spark, parts):
+    from cardsentry import schemas as S
+
+    t = _declared(spark, parts)
+    batch = spark.createDataFrame([("T1", "12.345", "x", 1, 0), ("T1", "9", "y", 1, 1), ("T2", "3", "z", 1, 2)],
+                                  "trans_num string, amt string, not_declared string, batch_id int, row_idx bigint")
+    assert t["payments"].insert_ignore(batch) == 2 and t["payments"].insert_ignore(batch) == 0
+    rows = {r.trans_num: r for r in t["payments"].read().collect()}
+    assert t["payments"].read().columns == S.PAYMENTS.names
+    assert str(rows["T1"].amt) == "12.35" and rows["T1"].city is None and rows["T1"].created_at is not None
+    assert len({r.id for r in rows.values()}) == 2
+    scores = spark.createDataFrame([("T1", True, 0.9, "HIGH")], "trans_num string, is_fraud boolean, fraud_probability double, risk_level string")
+    assert t["predictions"].append_atomic(scores) is True and t["predictions"].append_atomic(scores) is False
+    t["fraud_alerts"].insert_ignore(scores.select("trans_num"), order_cols=())
+    assert [r.email_sent for r in t["fraud_alerts"].read().collect()] == [False]
+    again = ST.create_tables(spark, t["payments"].path.rsplit("/", 1)[0], parts)
+    assert {n: x.read().count() for n, x in again.items()} == {
+        "payments": 2, "training_data": 0, "predictions": 1, "fraud_alerts": 1}
+    assert {n: x.read().schema.simpleString() for n, x in again.items()} == {
+        n: s.simpleString() for n, s in S.STORED_TABLES.items()}
+
+
+def test_a_batch_reads_the_folders_of_its_keys_only(spark):
+    t = ST.KeyedTable.create(spark, "parted", schema=None, parts=16)
+    t.append(spark.range(2000).selectExpr("concat('K', id) as trans_num", "id as v"))
+    batch = spark.createDataFrame([("K5", -1), ("K1999", -1), ("N1", -1)], "trans_num string, v bigint")
+    near = t.near(batch)
+    plan = near._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PartitionFilters: [" in plan and "key_part" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert 0 < near.count() < 600  # 3 of 16 folders at most
+    assert t.insert_ignore(batch, order_cols=()) == 1
+    few = t.rewritten(t.path + "-few")
+    assert sorted(few.read().collect()) == sorted(t.read().collect())
+    assert len(few.read().inputFiles()) <= 16 < len(t.read().inputFiles())
+    assert few.insert_ignore(batch, order_cols=()) == 0
+
+
+def test_referential_write_accounts_for_every_row(spark):
+    t, refused = _declared(spark, 4), ST.StoredRows.create(spark, "refused")
+    t["payments"].insert_ignore(spark.createDataFrame([(f"T{k}",) for k in range(6)], "trans_num string"), order_cols=())
+    rows = [("T0", True, 0.9), ("T1", False, 0.1), ("T1", False, 0.2), ("X", True, 0.8), (None, True, 0.7),
+            ("T2", None, 0.6), ("T3", True, None)]
+    batch = spark.createDataFrame(rows, "trans_num string, is_fraud boolean, fraud_probability double")
+    got = t["predictions"].insert_checked(batch, t["payments"], refused, 0)
+    assert got == {"inserted": 2, "duplicate": 1, "orphan": 1, "incomplete": 3}
+    assert sorted((r.trans_num or "", r.reason) for r in refused.read().collect()) == [
+        ("", "incomplete"), ("T2", "incomplete"), ("T3", "incomplete"), ("X", "orphan")]
+    again = t["predictions"].insert_checked(batch, t["payments"], refused, 0)  # a replay
+    assert again == {"inserted": 0, "duplicate": 3, "orphan": 1, "incomplete": 3} and refused.read().count() == 4
+    empty = t["predictions"].insert_checked(batch.limit(0), t["payments"], refused, 1)
+    assert set(empty.values()) == {0} and t["predictions"].read().count() == 2

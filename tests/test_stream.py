@@ -27,7 +27,7 @@ def test_stream_replay_inserts_nothing_twice(spark):
     landing = new_location(spark, "landing_replay")
     SS.land_batches(i.payments_feed, landing)
     target = ST.KeyedTable.create(spark, "payments_replay")
-    writer = SS.payment_inserter(target)
+    writer = SS.payment_inserter(target, ST.StoredRows.create(spark, "refused_replay"))
     SS.run(SS.read_landed(spark, landing), writer, "replay_a")
     first = target.read().count()
     # a second query over the same files (as after losing the checkpoint) adds nothing
@@ -89,3 +89,73 @@ def test_all_landed_batches_are_read(spark):
     rows = spark.createDataFrame([(1, "a"), (2, "b"), (7, "c")], "batch_id int, trans_num string")
     landing = SS.land_batches(rows, new_location(spark, "landing_all"))
     assert spark.read.parquet(landing).count() == 3
+
+
+def _document(rows, **more):
+    import json
+
+    columns = ["trans_num", "cc_num", "merchant", "category", "amt", "gender", "state", "zip", "lat", "long", "city_pop",
+               "dob", "merch_lat", "merch_long", "current_time"]
+    full = [[t, 7, "fraud_Shop", "misc", amt, "F", "NY", 10001, 40.0, -74.0, 100, "1990-01-01", 40.1, -74.1, ms]
+            for t, amt, ms in rows]
+    return json.dumps(json.dumps({"columns": columns, "data": full, **more}))
+
+
+def test_json_feed_goes_on_after_a_restart(spark, tmp_path):
+    landing, root = str(tmp_path / "in"), new_location(spark, "json_feed")
+
+    def land(name, *documents):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / name).write_text("\n".join(documents) + "\n")
+
+    def run():  # everything is opened anew, as after a restart
+        payments = ST.create_tables(spark, f"{root}/tables", parts=4)["payments"]
+        refused, broken = ST.StoredRows(spark, f"{root}/refused"), ST.StoredRows(spark, f"{root}/broken")
+        SS.run(SS.read_feed(spark, landing), SS.feed_inserter(payments, refused, broken), "json",
+               checkpoint=f"{root}/checkpoint")
+        return payments, refused, broken
+
+    good = _document([("T1", 5, 1769697000000), ("T2", -3, 1769697000000), ("T1", 6, 1769697000000)], index=[3, 4, 5])
+    land("a.json", good, good[:40], _document([("T3", 9, None)]))
+    run()
+    land("b.json", _document([("T1", 99, 1769697000000), ("T4", "x", 1769697000000), ("T5", 1, 1769697000000)]), "no JSON")
+    payments, refused, broken = run()
+    rows = {r.trans_num: r for r in payments.read().collect()}
+    assert {t: float(r.amt) for t, r in rows.items()} == {"T1": 5.0, "T5": 1.0}
+    assert rows["T1"].merchant == "Shop" and rows["T1"].created_at is not None and rows["T1"].id is not None
+    assert rows["T1"].transaction_time == "2026-01-29 14:30:00"
+    assert {r.trans_num: r.violations for r in refused.read().collect()} == {
+        "T2": "range:amt", "T3": "missing:transaction_time", "T4": "missing:amt"}
+    assert sorted((r.value[:5], r.reason, r.source_file[-6:]) for r in broken.read().collect()) == [
+        (good[:5], "not a JSON string", "a.json"), ("no JS", "not a JSON string", "b.json")]
+    run()  # nothing new has landed
+    assert payments.read().count() == 2 and broken.read().count() == 2 and refused.read().count() == 3
+
+
+def test_a_replayed_batch_is_stored_once(spark):
+    log = ST.StoredRows.create(spark, "log")
+    for batch_id in (0, 1, 1):
+        log.put(spark.createDataFrame([(f"r{batch_id}",)], "x string"), batch_id)
+    assert sorted(r.x for r in log.read().collect()) == ["r0", "r1"]
+
+
+def test_day_counts_in_order_late_rows_and_bounded_state(spark):
+    import datetime as dt
+
+    day = lambda d, h=12: dt.datetime(2024, 1, d, h)
+    schema = "trans_num string, is_fraud boolean, predicted_at timestamp_ntz"
+    landing, out = new_location(spark, "landing_days"), new_location(spark, "days")
+    for k in range(1, 17):
+        rows = [(f"a{k}", False, day(k)), (f"b{k}", True, day(k)), (f"c{k}", True, day(k, 13))]
+        if k == 4:
+            rows.append(("late", True, day(3, 23)))  # a day behind: counted
+        if k == 9:
+            rows.append(("lost", True, day(2)))  # a week behind: its day is final
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+    q = SS.run(SS.daily_counts_stream(SS.read_landed(spark, landing)), SS.daily_upserter(out), "days", output_mode="update")
+    got = {(r.day.day, r.predicted_fraud): r.n for r in SS.read_daily(spark, out).collect()}
+    want = {(k, f): 2 if f else 1 for k in range(1, 17) for f in (False, True)}
+    assert got == want | {(3, True): 3}
+    states = [p.stateOperators[0] for p in q.recentProgress if p.stateOperators]
+    # six days at most, of sixteen: those of the delay and of the batches that the watermark lags
+    assert max(s.numRowsTotal for s in states) <= 12 and any(s.numRowsDroppedByWatermark for s in states)
