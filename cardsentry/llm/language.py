@@ -12,16 +12,16 @@ stretches of a batch in step, as matrix products.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import regex
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.llm.common import packed, read, unpacked
+from cardsentry.llm.common import key_hash, packed, read, unpacked
 from cardsentry.llm.sampling import bounded_sample, fold
 
 # Bound of the training sample: rows per language, and stretches of each row.
@@ -35,7 +35,7 @@ RATE = 0.02
 # Stretches that run in step.
 WIDE = 2048
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass
@@ -151,16 +151,28 @@ def stretches_of(blob: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return full.reshape(n, STEPS).T, used.reshape(n, STEPS).T
 
 
-def train(rows: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 5) -> Network:
-    """Fit a network on (language, text) rows; every language weighs the same."""
+def some_stretches(text: Column, doc_id: Column) -> Column:
+    """STRETCHES of a text's stretches, chosen by hash of its id; all of fewer."""
+    n = F.ceil(F.octet_length(text) / F.lit(STEPS)).cast("bigint")
+    drawn = F.array_distinct(F.array(*[F.pmod(key_hash(f"stretch{k}", doc_id), n) for k in range(STRETCHES)]))
+    at = F.when(n > STRETCHES, drawn).otherwise(F.sequence(F.lit(0).cast("bigint"), F.greatest(n, F.lit(1)) - 1))
+    piece = lambda i: F.substr(text.cast("binary"), (i * STEPS + 1).cast("int"), F.lit(STEPS))
+    return F.when(n > 0, F.transform(at, piece)).otherwise(F.array().cast("array<binary>"))
+
+
+def train(rows: list[tuple[str, str | list[bytes]]], epochs: int = EPOCHS, seed: int = 5) -> Network:
+    """Fit a network on (language, text) rows, or (language, stretches) as
+    ``some_stretches`` gives them; every language weighs the same."""
     rng = np.random.default_rng(seed)
     languages = sorted({lang for lang, _ in rows})
     net = Network.fresh(languages or [UNKNOWN])
     parts, used, labels = [], [], []
     for lang, text in rows:
-        if not text:
+        pieces = [text.encode()] if isinstance(text, str) else text
+        pieces = [stretches_of(np.frombuffer(p, np.uint8)) for p in pieces if p]
+        if not pieces:
             continue
-        b, u = stretches_of(np.frombuffer(text.encode(), np.uint8))
+        b, u = (np.concatenate(x, axis=1) for x in zip(*pieces))
         for i in rng.permutation(b.shape[1])[:STRETCHES]:
             parts.append(b[:, i])
             used.append(u[:, i])
@@ -220,10 +232,10 @@ def document_probabilities(net: Network, texts: list[str | None]) -> np.ndarray:
 
 
 def fit_languages(docs: DataFrame, held_out: int = 2, folds: int = 4) -> Network:
-    """Train on rows with text and language outside the held-out fold, at most
-    SAMPLE per language."""
+    """Train on rows with text and language outside the held-out fold: at most
+    SAMPLE per language, 64 times that in all, and STRETCHES of each text."""
     known = docs.select("doc_id", "lang").where("lang is not null").where(fold(F.col("doc_id"), folds) != held_out)
-    return train(bounded_sample(known, docs, "lang", SAMPLE))
+    return train(bounded_sample(known, docs, "lang", SAMPLE, cut=some_stretches))
 
 
 def with_language(docs: DataFrame, net: Network) -> DataFrame:

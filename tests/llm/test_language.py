@@ -56,3 +56,31 @@ def test_und_nulls_repeats_and_clashes(docs):
     assert L.with_language(docs([]), net).collect() == []
     nothing = L.fit_languages(docs([(1, None), (2, "x", None)]))
     assert [r.lang_pred for r in L.with_language(docs([(1, "abc")]), nothing).collect()] == ["und"]
+
+
+def test_letters_are_those_of_any_script_and_nothing_else(docs):
+    net = L.train([("a", "abc " * 50), ("b", "xyz " * 50)], epochs=2)
+    texts = ["½ ² 12", "Ⅷ ㊀", "_", "漢", "ß", "1a"]
+    out = {r.doc_id: r.lang_pred for r in L.with_language(docs(list(enumerate(texts))), net).collect()}
+    assert [out[i] == "und" for i in range(6)] == [True, True, True, False, False, False]
+
+
+def test_many_labels_and_bounded_stretches(docs, spark):
+    from pyspark.sql import functions as F
+
+    from cardsentry.llm.sampling import bounded_sample
+
+    rows = [(i, f"text {i} é" * 40, f"l{i % 70}") for i in range(700)]
+    net = L.fit_languages(docs(rows))
+    assert len(net.languages) == 70
+    known = docs(rows).select("doc_id", "lang")
+    few = bounded_sample(known, docs(rows), "lang", 5, most_rows=90)
+    assert len(few) == 90 and len({lang for lang, _ in few}) == 70
+    assert few == bounded_sample(known, docs(rows), "lang", 5, most_rows=90)
+    texts = {0: "", 1: "a", 2: "x" * 64, 3: "é" * 33, 4: "y" * 256, 5: "é" * 5000}
+    cut = docs(texts.items()).select("doc_id", "text", L.some_stretches(F.col("text"), F.col("doc_id")).alias("s"))
+    for r in cut.collect():
+        raw = texts[r.doc_id].encode()
+        every = [raw[k:k + 64] for k in range(0, len(raw), 64)]
+        got = [bytes(x) for x in r.s]
+        assert got == every if len(every) <= 4 else (1 <= len(got) <= 4 and set(got) <= set(every))
