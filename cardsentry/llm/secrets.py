@@ -58,6 +58,8 @@ MORE_RULES = (
 RULES = BASE_RULES + MORE_RULES
 # A literal set that grows past this is cut up into trigrams.
 MOST_LITERALS = 64
+# Matches whose places are added up together.
+CHUNK = 256
 
 # A query is an OR of ANDs of trigrams; ANY matches every document.
 Query = frozenset
@@ -162,12 +164,19 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame | None:
     return held.select(F.col("doc_id").alias("id"), kinds.alias("kinds")).where(F.size("kinds") > 0)
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)``, an array, with ``value`` computed once however often it
+    is used."""
+    return F.flatten(F.transform(F.array(value), use))
+
+
 def spans_of(text: Column, rule: Rule, rank: int) -> Column:
     """Spans of the leftmost non-overlapping matches of a rule that count:
     structs of start, rank, kind, stop, in code points.
 
-    The pieces between the matches give the places: each match starts where
-    the pieces and matches before it end.
+    The pieces between the matches give the places: each match starts where the
+    pieces and matches before it end. These are added up in chunks of matches,
+    then over the chunks, as an array that grows is copied for each new element.
     """
     pattern = F.lit(rule.pattern)
     found = F.regexp_extract_all(text, pattern, F.lit(0))
@@ -184,7 +193,26 @@ def spans_of(text: Column, rule: Rule, rank: int) -> Column:
         return F.struct(stop.alias("at"), F.array_append(s["out"], span).alias("out"))
 
     none = F.array().cast("array<struct<start:int, stop:int, size:int>>")
-    placed = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda s: s["out"])
+    zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
+
+    def chunked(matches: Column) -> Column:
+        last = F.floor((F.greatest(F.size(matches), F.lit(1)) - 1) / F.lit(CHUNK)).cast("int")
+        return F.transform(
+            F.sequence(F.lit(0), last), lambda k: F.aggregate(F.slice(matches, k * CHUNK + 1, F.lit(CHUNK)), zero, step)
+        )
+
+    def shifted(chunks: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        begins = F.aggregate(
+            chunks, start,
+            lambda s, c: F.struct((s["at"] + c["at"]).alias("at"), F.array_append(s["out"], s["at"]).alias("out")),
+            lambda s: s["out"],
+        )
+        move = lambda c, at: F.transform(c["out"], lambda m: F.struct(
+            (m["start"] + at).alias("start"), (m["stop"] + at).alias("stop"), m["size"].alias("size")))
+        return F.flatten(F.zip_with(chunks, begins, move))
+
+    placed = _once(zipped, lambda matches: _once(chunked(matches), shifted))
     return F.transform(
         F.filter(placed, lambda m: m["size"] >= rule.least),
         lambda m: F.struct(

@@ -64,3 +64,16 @@ def test_missing_and_repeated_ids_clashes_and_empty(docs):
     assert S.with_spans(docs([])).collect() == []
     only = S.with_spans(docs([(1, "ab" * 16)]), (S.Rule("hex", "[0-9a-f]{32,}", 32),)).collect()
     assert spans(only[0]) == [(0, 0, "hex", 32)]
+
+
+def test_very_many_matches_of_one_text(docs):
+    import time
+
+    bits = ["token=abcdefgh1 ", "é", "AKIAABCDEFGH1234 ", "pass ", "0123456789abcdef" * 2 + "\n", "secret: short "]
+    rng = random.Random(2)
+    texts = {n: "".join(rng.choice(bits) for _ in range(n)) for n in (250, 256, 257, 511, 1025, 60_000)}
+    start = time.time()
+    out = rows_of(S.with_spans(docs(texts.items())))
+    assert time.time() - start < 60
+    assert {i: spans(r) for i, r in out.items()} == {i: plain(t) for i, t in texts.items()}
+    assert len(spans(out[60_000])) > 25_000
