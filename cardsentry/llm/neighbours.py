@@ -282,8 +282,9 @@ def count_links(classes: DataFrame, component: DataFrame) -> DataFrame:
     return dealt.mapInPandas(run, f"id {kind}, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def audit(tagged: DataFrame, turn: int) -> tuple[float, DataFrame]:
+def audit(tagged: DataFrame, turn: int) -> tuple[float | None, DataFrame]:
     """The mean recall of a sample of queries, and the links it misses (u, v).
+    The recall is None if no query has a link: then there is nothing to measure.
 
     AUDIT queries come from components of at most K + 1 classes (also those
     that are alone) and AUDIT from larger ones, others in each turn. The recall
@@ -316,7 +317,7 @@ def audit(tagged: DataFrame, turn: int) -> tuple[float, DataFrame]:
     true = materialize(true, "vector-audit")
     each = true.groupBy("id", "small").agg((F.sum(F.when(F.col("u") == F.col("v"), F.col("n")).otherwise(0)) / F.sum("n")).alias("recall"))
     means = [r["recall"] for r in each.groupBy("small").agg(F.avg("recall").alias("recall")).collect()]
-    return min(means, default=1.0), true.where("u <> v").select("u", "v").distinct()
+    return min(means, default=None), true.where("u <> v").select("u", "v").distinct()
 
 
 def near_vectors(vectors: DataFrame) -> DataFrame:
@@ -353,10 +354,13 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
                 break
             found = refine(graph, _tagged(classes, component), turn * ROUNDS + round_)
         recall, missed = audit(_tagged(classes, component), turn)
-        log.info("turn %d: mean recall %.4f of the audit's worse half", turn, recall)
+        if recall is None:
+            log.info("turn %d: recall not measured, no query of the audit has a link", turn)
+        else:
+            log.info("turn %d: mean recall %.4f of the audit's worse half", turn, recall)
         if not missed.isEmpty():
             component = _close(component, missed)
-        if recall >= TARGET:
+        if recall is None or recall >= TARGET:
             break
     else:
         log.warning("mean recall below %.2f after %d turns: comparing all vectors", TARGET, TRIES)
