@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -43,14 +44,16 @@ from cardsentry.sources.storage import materialize
 BINS_LOG = 8
 # Bins of a band at most, and how many pairs at the threshold may share no band.
 BAND_ROWS = 8
-MISSED = 1e-4
+MISSED = 3e-4
 # Members of a centre that one group of the confirming step takes.
 DEALT = 64
 # Logarithms of the least and largest number of counters that order shingles by
 # how common they are (shared counters cost selectivity, not results), counters
 # that are put together at a time, and ratio of set sizes of a class.
 LEAST_COUNTERS, MOST_COUNTERS, COUNTERS_TOGETHER = 12, 24, 12
-STEP = 1.05
+STEP = 1.1
+# Rows of texts that a Python worker holds at a time.
+BATCH = "2000"
 # Rounds of further candidates before the exact comparison, and how many of them
 # a class has in a round.
 ROUNDS, TRIES = 2, 12
@@ -72,6 +75,18 @@ class Near:
         return max(fits, default=1)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of BATCH rows while the steps inside are run."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, BATCH)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @lru_cache(maxsize=2)
 def _attempts(bins: int, rounds: int) -> np.ndarray:
     """attempt[t, b]: the bin that empty bin b looks at in attempt t."""
@@ -336,15 +351,16 @@ def near_groups(docs: DataFrame, near: Near = Near()) -> DataFrame:
     with a null doc_id form no links and have a null component. An empty table
     gives an empty table.
     """
-    signed = materialize(signatures(docs, near), "near-signatures")
-    usable = signed.where("digest is not null and doc_id is not null")
-    repeated = not signed.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).isEmpty()
-    one = F.struct("doc_id", "text_hash")
-    classes = usable.groupBy("digest").agg(
-        F.min(one).alias("one"), F.min_by("bands", one).alias("bands"), F.first("n_shingles").alias("n")
-    ).select(F.monotonically_increasing_id().alias("id"), "digest", "one.*", "n", "bands")
-    classes = materialize(classes, "near-classes")
-    comps = _class_components(classes, docs, repeated, near)
+    with small_batches(docs.sparkSession):
+        signed = materialize(signatures(docs, near), "near-signatures")
+        usable = signed.where("digest is not null and doc_id is not null")
+        repeated = not signed.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).isEmpty()
+        one = F.struct("doc_id", "text_hash")
+        classes = usable.groupBy("digest").agg(
+            F.min(one).alias("one"), F.min_by("bands", one).alias("bands"), F.first("n_shingles").alias("n")
+        ).select(F.monotonically_increasing_id().alias("id"), "digest", "one.*", "n", "bands")
+        classes = materialize(classes, "near-classes")
+        comps = _class_components(classes, docs, repeated, near)
     placed = classes.select("id", "digest", one.alias("one")).join(comps, "id", "left")
     placed = placed.withColumn("comp", F.coalesce("comp", "id"))
     heads = placed.groupBy("comp").agg(F.min("one").alias("head"))
