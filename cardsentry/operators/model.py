@@ -67,11 +67,16 @@ def train(train_rows: DataFrame, label: str = "is_fraud", config: ForestConfig |
 
     Every tree level is one pass over the rows, so the rows are spread over
     at least the cluster's default parallelism (a no-op when the input already
-    has more partitions, as any large table does)."""
+    has more partitions, as any large table does).
+
+    The forest's copy goes without the summary of its training: that holds the
+    session, which cannot be sent to the tasks once the session has observed a
+    write (a stream's tables count their rows so)."""
     parallelism = train_rows.sparkSession.sparkContext.defaultParallelism
     if train_rows.rdd.getNumPartitions() < parallelism:
         train_rows = train_rows.repartition(parallelism)
-    return build_pipeline(label, config).fit(train_rows)
+    fitted = build_pipeline(label, config).fit(train_rows)
+    return PipelineModel(stages=[*fitted.stages[:-1], fitted.stages[-1].copy()])
 
 
 def score(model: PipelineModel, rows: DataFrame, keep: list[str] | None = None) -> DataFrame:

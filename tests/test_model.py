@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardsentry.plans.catalog import Inputs, queries
+from cardsentry.operators import model as M
 from cardsentry.plans import q_ml
 
 SF = "/root/testdata/sf0.001"
@@ -49,3 +50,16 @@ def test_feature_names_cover_vector(inputs):
 
 def test_registry_exposes_ml_keys():
     assert {"ml_train_score", "ml_feature_importance", "ml_roundtrip", "ml_model_run"} <= set(queries())
+
+
+def test_a_trained_model_scores_after_an_observed_write(spark, inputs):
+    """Writes of the stored tables are observed; the session then cannot be
+    sent to a task, so a model that scores must not hold it."""
+    from pyspark.sql.observation import Observation
+
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == 3
+    model = q_ml._fitted(inputs)
+    assert not model.stages[-1].hasSummary
+    assert M.score(model, q_ml._split_rows(inputs)).count() > 0
