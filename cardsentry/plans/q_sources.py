@@ -50,7 +50,7 @@ def src_csv_quarantine(i: Inputs):
 
 
 def _feed_lines(i: Inputs):
-    pay = i.payments.withColumn("current_time", dates.ntz_epoch(F.col("transaction_time"), "MILLISECOND"))
+    pay = i.spread_payments.withColumn("current_time", dates.ntz_epoch(F.col("transaction_time"), "MILLISECOND"))
     lines = feed.encode_split_documents(pay, _FEED_COLS, "id", rows_per_doc=100)
     path = new_location(i.spark, "feed_json")
     lines.select("value").write.text(path)

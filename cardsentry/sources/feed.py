@@ -143,6 +143,10 @@ def read_documents(lines: DataFrame, value_col: str = "value") -> DataFrame:
     and data, every entry of ``data`` has a value for each column, and
     ``index``, if there, a label for each entry. An empty ``data`` array is no
     fault; a missing ``index`` is none either.
+
+    Each line is parsed once: as a generated column the document is a value that
+    is there, while a projected one would be put in place of every use, and so be
+    parsed again for each of them and for each entry of ``data``.
     """
     text_ = unwrap_json_string(F.col(value_col))
     doc = F.from_json(F.col("_text"), SPLIT_DOC_SCHEMA)
@@ -156,7 +160,8 @@ def read_documents(lines: DataFrame, value_col: str = "value") -> DataFrame:
         .when(ragged, F.lit("ragged rows"))
         .when(F.size(d["index"]) != F.size(d["data"]), F.lit("index does not fit"))
     )
-    return (lines.withColumn("_text", text_).withColumn("document", doc)
+    return (lines.select("*", F.explode_outer(F.array(text_)).alias("_text"))
+            .select("*", F.explode_outer(F.array(doc)).alias("document"))
             .withColumn("reason", reason).drop("_text"))
 
 

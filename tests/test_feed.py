@@ -82,3 +82,12 @@ def test_damaged_history_lines_are_set_apart(spark, tmp_path):
     rows = sound.orderBy("amt").collect()
     assert [r.amt for r in rows] == [None, 4.97] and rows[1].merchant == "fraud_Rippin, Kub" and rows[1].is_fraud == 0
     assert sorted(r.line for r in lost.collect()) == sorted([lines[2], lines[3], lines[4]])
+
+
+def test_a_document_is_parsed_once(spark, tmp_path):
+    """A parse for every use, one of them per entry, made the time grow with the
+    square of a document's entries."""
+    (tmp_path / "d.json").write_text('"{}"\n')
+    rows = feed.extract_feed(spark.read.text(str(tmp_path)))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 2  # the string, and the document in it

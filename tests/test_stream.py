@@ -159,3 +159,21 @@ def test_day_counts_in_order_late_rows_and_bounded_state(spark):
     states = [p.stateOperators[0] for p in q.recentProgress if p.stateOperators]
     # six days at most, of sixteen: those of the delay and of the batches that the watermark lags
     assert max(s.numRowsTotal for s in states) <= 12 and any(s.numRowsDroppedByWatermark for s in states)
+
+
+def test_day_counts_of_pieces_in_several_files(spark):
+    import datetime as dt
+
+    rows = [(f"t{k}", False, dt.datetime(2024, 1, 1) + dt.timedelta(hours=k)) for k in range(480)]
+    df = spark.createDataFrame(rows, "trans_num string, is_fraud boolean, predicted_at timestamp_ntz").repartition(4)
+    got = q_stream._daily_counts(spark, df).collect()
+    assert {r.day: r.n for r in got} == {dt.date(2024, 1, 1 + d): 24 for d in range(20)}
+
+
+def test_a_landed_batch_is_dealt_to_files_and_read_at_once(spark):
+    rows = spark.range(1000).selectExpr("CAST(id % 2 AS int) AS batch_id", "id").coalesce(1)
+    landing = SS.land_batches(rows, new_location(spark, "landing_dealt"), files=4)
+    assert spark.read.parquet(landing).select(F.input_file_name()).distinct().count() == 8
+    seen = []
+    SS.run(SS.read_landed(spark, landing, 4), lambda b, _: seen.append(sorted(r[0] for r in b.select("batch_id").distinct().collect())), "dealt")
+    assert seen == [[0], [1]]
