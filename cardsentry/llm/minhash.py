@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -36,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.llm.common import WORD, col, packed, read, unpacked
+from cardsentry.llm.common import WORD, col, packed, read, small_batches, unpacked
 from cardsentry.llm.components import connected_components
 from cardsentry.llm.textwords import doc_shingles
 from cardsentry.sources.storage import materialize
@@ -52,8 +51,6 @@ DEALT = 64
 # that are put together at a time, and ratio of set sizes of a class.
 LEAST_COUNTERS, MOST_COUNTERS, COUNTERS_TOGETHER = 12, 24, 12
 STEP = 1.1
-# Rows of texts that a Python worker holds at a time.
-BATCH = "2000"
 # Rounds of further candidates before the exact comparison, and how many of them
 # a class has in a round.
 ROUNDS, TRIES = 2, 12
@@ -75,18 +72,6 @@ class Near:
         return max(fits, default=1)
 
 
-@contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Arrow batches of BATCH rows while the steps inside are run."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, BATCH)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 @lru_cache(maxsize=2)
 def _attempts(bins: int, rounds: int) -> np.ndarray:
     """attempt[t, b]: the bin that empty bin b looks at in attempt t."""

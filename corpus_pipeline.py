@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsentry.llm import bpe, language, minhash, mixing, secrets
-from cardsentry.llm.common import read
+from cardsentry.llm.common import read, small_batches
 from cardsentry.sources.storage import materialize
 
 # A document whose best language is less likely than this is of none of them.
@@ -20,11 +20,14 @@ LEAST_SCORE = 0.4
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents without letters, or of no language that the
-    network tells apart, go. The network is trained on the stage's input."""
+    network tells apart, go. The network is trained on the stage's input. The kept
+    rows are written here: Python workers serve later stages too and keep the
+    memory that their largest batch took."""
     net = language.fit_languages(docs)
     labelled = language.with_language(docs, net)
     kept = labelled.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.select(*docs.columns)
+    with small_batches(spark):
+        return materialize(kept.select(*docs.columns), "identified")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,6 +46,26 @@ def test_rows_that_language_id_rejects_go(docs, spark):
     assert {r.doc_id for r in out.collect()} == {r[0] for r in rows}
 
 
+def test_workers_are_sent_long_texts_a_few_megabytes_at_a_time(docs, spark):
+    table = docs([(i, "ab " * 40_000) for i in range(100)]).coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield b[["text"]].map(len).agg(["sum"]).rename(columns={"text": "n"})
+
+    with minhash.small_batches(spark):
+        seen = [r.n for r in table.mapInPandas(sizes, "n bigint").collect()]
+    assert sum(seen) == 12_000_000 and max(seen) < 5_000_000
+
+
+def test_languages_are_told_in_small_batches(docs, spark):
+    rows = [(i, f"the cat and the dog {i} were here", "en") for i in range(20)]
+    rows += [(100 + i, f"der Hund und die Katze {i} waren hier", "de") for i in range(20)]
+    out = P.identify(spark, docs(rows), SF)
+    # nothing is left for a later write to run in batches of the session's size
+    assert out.count() == 40 and "Python" not in out._jdf.queryExecution().toString()
+
+
 def test_empty_input(docs, spark):
     table = docs([])
     for _, stage in P.STAGES:
