@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.llm.common import SPACES, WORD, read
+from cardsentry.llm.common import SPACES, read
 from cardsentry.sources.storage import materialize
 
 BUCKETS = 16384
@@ -27,17 +27,26 @@ SYMBOLS = "#*$%&|<>"
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{SPACES}]+", -1), "")
+
+
+def words_from(words: Column, place: int) -> Column:
+    """The words from a place (counted from 1) on."""
+    return F.slice(words, F.lit(place), F.greatest(F.size(words) - (place - 1), F.lit(0)))
+
+
+def bucket_of(gram: Column, buckets: int) -> Column:
+    return F.crc32(gram.cast("binary")) % F.lit(buckets)
+
+
+def pair_of(first: Column, second: Column) -> Column:
+    return F.concat(first, F.lit(" "), second)
 
 
 def buckets_of(words: Column, buckets: int) -> Column:
     """Hash buckets of every word and of every pair of neighbours."""
-    n = F.size(words)
-    bucket = lambda s: F.crc32(s.cast("binary")) % F.lit(buckets)
-    single = F.transform(words, bucket)
-    first = F.slice(words, F.lit(1), F.greatest(n - 1, F.lit(0)))
-    second = F.slice(words, F.lit(2), F.greatest(n - 1, F.lit(0)))
-    pairs = F.zip_with(first, second, lambda a, b: bucket(F.concat_ws(" ", a, b)))
+    single = F.transform(words, lambda w: bucket_of(w, buckets))
+    pairs = F.transform(words_from(words, 2), lambda w, i: bucket_of(pair_of(F.get(words, i), w), buckets))
     return F.concat(single, pairs)
 
 
@@ -54,7 +63,11 @@ def fit_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> D
         docs.select("doc_id", "text")
         .join(flags.hint("merge"), "doc_id", "left")  # the labels grow with the corpus
         .select(F.col("is_trusted"), words_of(F.col("text")).alias("words"))
-        .select("is_trusted", F.explode(buckets_of(F.col("words"), buckets)).alias("bucket"))
+        # a row a word, hashed by compiled code; the last one has no neighbour
+        .select("is_trusted", F.inline(F.arrays_zip(F.col("words").alias("a"), words_from(F.col("words"), 2).alias("b"))))
+        .select("is_trusted", F.explode(F.array(
+            bucket_of(F.col("a"), buckets), bucket_of(pair_of(F.col("a"), F.col("b")), buckets))).alias("bucket"))
+        .where("bucket is not null")
     )
     counts = materialize(
         grams.groupBy("bucket").agg(F.count("is_trusted").alias("t"), F.count("*").alias("r")), "ngram-counts"
@@ -72,28 +85,22 @@ def fit_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> D
 def base_features(docs: DataFrame) -> DataFrame:
     """The counts of the rules, and ``words`` for later steps."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    has_word = lambda line: F.length(F.translate(line, SPACES, "")) > 0
+    has_word = lambda line: F.length(F.ltrim(line, F.lit(SPACES))) > 0
     lines = F.filter(F.split(text, "\n", -1), has_word)
     out = docs.select("doc_id", "text", words_of(F.col("text")).alias("words"), lines.alias("lines"))
-    third = lambda i: F.expr("slice(words, %d, greatest(size(words) - 2, 0))" % i)
     hashed = F.transform(
-        F.arrays_zip(third(1).alias("a"), third(2).alias("b"), third(3).alias("c")),
-        lambda w: F.xxhash64(w["a"], w["b"], w["c"]),
+        words_from(F.col("words"), 3), lambda w, i: F.xxhash64(F.get("words", i), F.get("words", i + 1), w)
     )
     out = out.withColumn("windows", hashed)
     # place of every window in the order of hashes, where a text repeats one
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
     ordered = F.when(
-        repeats, F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        repeats, F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     )
     out = out.withColumn("ordered", ordered)
-    same = lambda a, b: F.col("ordered")[a]["h"] == F.col("ordered")[b]["h"]
-    last = F.size("ordered") - 1
-    twice = F.filter(
-        "ordered",
-        lambda x, j: ((j > 0) & same(F.greatest(j - 1, F.lit(0)), j)) | ((j < last) & same(F.least(j + 1, last), j)),
-    )
-    out = out.withColumn("places", F.array_sort(F.transform(twice, lambda x: x["i"])))
+    at = lambda j: F.get("ordered", j)["h"]  # null beside either end
+    twice = F.filter("ordered", lambda x, j: (at(j - 1) == x["h"]) | (at(j + 1) == x["h"]))
+    out = out.withColumn("places", F.sort_array(F.transform(twice, lambda x: x["i"])))
     # each window covers three words, less what the next one covers again
     covered = F.aggregate(
         "places",
@@ -106,8 +113,8 @@ def base_features(docs: DataFrame) -> DataFrame:
         "doc_id",
         "words",
         size(F.col("words")).alias("n_words"),
-        F.length(F.translate(text, SPACES, "")).cast("bigint").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
+        F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("bigint").alias("n_symbols"),
         (size(F.col("lines")) - size(F.array_distinct("lines"))).alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("bigint").alias("n_repeat_words"),
     )
@@ -127,7 +134,8 @@ def quality_verdicts(
     model = fit_ratios(docs, trusted, buckets)
     rows = base_features(docs)
     rows = rows.withColumn("grams", buckets_of(F.col("words"), buckets))
-    rows = rows.withColumn("ratio", model.select("ratio").scalar())
+    # every row gets a copy of the model while it is scored; millionths of a logarithm fit an int
+    rows = rows.withColumn("ratio", model.select(F.col("ratio").cast("array<int>")).scalar())
     total = F.aggregate("grams", F.lit(0).cast("bigint"), lambda s, b: s + F.get("ratio", b.cast("int")))
     rows = rows.withColumn("sum", total)
     n_grams = F.size("grams")

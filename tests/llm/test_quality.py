@@ -65,3 +65,16 @@ def test_no_trusted_rows_repeats_clashes_and_empty(docs, spark):
     out = Q.quality_verdicts(table, none).collect()
     assert len(out) == 4 and {r.n_words for r in out} == {60, 2, 0}
     assert Q.quality_verdicts(docs([]), none).collect() == []
+
+
+def test_texts_are_read_by_compiled_steps(docs, spark):
+    """Per character or per comparison, interpreted steps cost more than the CPU budget."""
+    edges = [(1, " \t a  b\x0bc\f "), (2, "#*$%&|<>]^-\\ [x]"), (3, "a b c a b c"), (4, "\r\n"), (5, "\xa0\n\xa0\n \n x")]
+    table = Q.base_features(docs(edges))
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(step in plan for step in ("translate(", "array_sort(", "arrays_zip("))
+    got = {r.doc_id: tuple(r)[1:] for r in table.collect()}
+    assert got == {
+        1: (["a", "b", "c"], 3, 3, 0, 0, 0), 2: (["#*$%&|<>]^-\\", "[x]"], 2, 15, 8, 0, 0),
+        3: (["a", "b", "c"] * 2, 6, 6, 0, 0, 6), 4: ([], 0, 0, 0, 0, 0), 5: (["\xa0", "\xa0", "x"], 3, 3, 0, 1, 0),
+    }
