@@ -1,9 +1,11 @@
 """Training, scoring, importances and persistence of the fraud forest.
 
-MLlib's random forest trains level by level over the partitions (one
+The random forest is trained level by level over the partitions (one
 aggregation of split statistics per level), so training scales with the
-cluster; the fitted ``PipelineModel`` (preprocessing + forest) is saved with
-MLWriter under the shared folder and loaded by the scoring jobs.
+cluster: by MLlib, which holds rows dense, while rows times slots are few, and
+on compact rows (``forest``) beyond. Either gives an MLlib model; the fitted
+``PipelineModel`` (preprocessing + forest) is saved with MLWriter under the
+shared folder and loaded by the scoring jobs.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardsentry.functions import scoring
-from cardsentry.operators import prep
+from cardsentry.operators import forest, prep
 from cardsentry.schemas import FOREST_PARAMS
 
 # Hyper-parameter mapping of the original forest (scikit-learn names) onto
@@ -40,6 +42,9 @@ class ForestConfig:
     # of more nodes per pass over the data, and node ids cached between levels
     max_memory_mb: int = 1024
     cache_node_ids: bool = True
+    bootstrap: bool = True
+    # rows times slots up to which MLlib trains, on dense rows of 4 bytes a number
+    dense_numbers: int = 1 << 28
 
 
 def build_pipeline(label: str = "is_fraud", config: ForestConfig | None = None) -> Pipeline:
@@ -55,6 +60,7 @@ def build_pipeline(label: str = "is_fraud", config: ForestConfig | None = None)
         featureSubsetStrategy=cfg.feature_subset_strategy,
         maxMemoryInMB=cfg.max_memory_mb,
         cacheNodeIds=cfg.cache_node_ids,
+        bootstrap=cfg.bootstrap,
     )
     if cfg.class_weighted:
         forest.setWeightCol("weight")
@@ -69,14 +75,25 @@ def train(train_rows: DataFrame, label: str = "is_fraud", config: ForestConfig |
     at least the cluster's default parallelism (a no-op when the input already
     has more partitions, as any large table does).
 
+    The bags and draws of ``forest`` are not MLlib's, so that a forest of the same
+    seed has other trees there.
+
     The forest's copy goes without the summary of its training: that holds the
     session, which cannot be sent to the tasks once the session has observed a
     write (a stream's tables count their rows so)."""
+    cfg = config or ForestConfig()
     parallelism = train_rows.sparkSession.sparkContext.defaultParallelism
     if train_rows.rdd.getNumPartitions() < parallelism:
         train_rows = train_rows.repartition(parallelism)
-    fitted = build_pipeline(label, config).fit(train_rows)
-    return PipelineModel(stages=[*fitted.stages[:-1], fitted.stages[-1].copy()])
+    *preparing, trainer = build_pipeline(label, cfg).getStages()
+    prepared = Pipeline(stages=preparing).fit(train_rows)
+    width = prep.vector_width(prepared)
+    if train_rows.count() * width <= cfg.dense_numbers:
+        fitted = trainer.fit(prepared.transform(train_rows)).copy()
+    else:
+        rows, numbers, slots, sizes = prep.compact(prepared, train_rows)
+        fitted = forest.fit(rows, numbers, slots, sizes, label, trainer)
+    return PipelineModel(stages=[*prepared.stages, fitted])
 
 
 def score(model: PipelineModel, rows: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -213,14 +213,36 @@ def preprocessing_stages(numeric: Sequence[str] = NUMERIC_FEATURES,
     ]
 
 
+def _category_slots(pipeline_model, first: int) -> tuple[CategoryDictionaryModel, list[int], list[int]]:
+    """The dictionary stage; how many vector slots each of its columns has; where they begin."""
+    stage = next(s for s in pipeline_model.stages if isinstance(s, CategoryDictionaryModel))
+    sizes = [max(n, 2) - 1 for n in stage.getOrDefault(stage.sizes)]
+    return stage, sizes, [first + sum(sizes[:j]) for j in range(len(sizes))]
+
+
+def vector_width(pipeline_model, numeric: Sequence[str] = NUMERIC_FEATURES) -> int:
+    """How many slots the assembled vector has."""
+    return len(numeric) + sum(_category_slots(pipeline_model, len(numeric))[1])
+
+
+def compact(pipeline_model, rows: DataFrame, numeric: Sequence[str] = NUMERIC_FEATURES,
+            ) -> tuple[DataFrame, list[Column], list[Column], list[int]]:
+    """The assembled vector without its zeros: rows with their category numbers;
+    the numeric slots; for each category column the slot that is 1 (-1: none is);
+    how many slots each category column has."""
+    scaler = next(s for s in pipeline_model.stages if isinstance(s, PopulationStandardScalerModel))
+    stage, sizes, begins = _category_slots(pipeline_model, len(numeric))
+    slots = [F.when(F.col(c) < n, F.col(c).cast("int") + F.lit(begin)).otherwise(F.lit(-1))
+             for c, n, begin in zip(stage.getOutputCols(), sizes, begins)]
+    return stage.transform(rows), scaler.vector_columns(), slots, sizes
+
+
 def feature_names(pipeline_model, slots: Sequence[int] | None = None, numeric: Sequence[str] = NUMERIC_FEATURES,
                   categorical: Sequence[str] = CATEGORICAL_FEATURES) -> list[str]:
     """Names of the assembled vector slots, or of those asked for: numeric names,
     then ``column_value`` for every encoded (non-dropped) category. Only the
     categories of these slots are read."""
-    stage = next(s for s in pipeline_model.stages if isinstance(s, CategoryDictionaryModel))
-    sizes = [max(n, 2) - 1 for n in stage.getOrDefault(stage.sizes)]
-    begins = [len(numeric) + sum(sizes[:j]) for j in range(len(sizes))]
+    stage, sizes, begins = _category_slots(pipeline_model, len(numeric))
     width = len(numeric) + sum(sizes)
     slots = range(width) if slots is None else slots
     asked = []
